@@ -1,0 +1,6 @@
+"""Streaming.
+
+The rating and click workloads this library reproduces are batch only: there is
+no stream source, window, watermark or stateful operator to match, so nothing is
+built here (see README, "Not built").
+"""
