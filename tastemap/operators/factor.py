@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from ..functions.expr import block_of, dot, portable_init, sigmoid
 from ..session import cut_lineage
 from .bias import BiasModel, bias_fit, bias_residuals
+from .blocks import block_product, broadcastable, build_blocks
 from .linalg import (apply_matrix, cholesky_qr_apply, global_array_sum, grouped_array_sum,
-                     join_factors, normal_equation_step, salted_by_key)
+                     join_factors, normal_equation_step, salted_by_key, solve_normal)
 from .prep import dense_index
 from .serve import top_k_per_group
 
@@ -75,16 +76,35 @@ def explicit_als(ratings: DataFrame, k: int = 20, reg: float = 0.001, n_iters: i
     if use_bias:
         bias = bias_model or bias_fit(ratings)
         data = bias_residuals(bias, ratings, "rating")
-    by_user = cut_lineage(salted_by_key(data, "user", "item"))
-    by_item = cut_lineage(salted_by_key(data, "item", "user"))
-    items = by_item.select("item").distinct()
+    data = cut_lineage(data)
+    items = data.select("item").distinct()
     n_items = items.count()
-    n_users = by_user.select("user").distinct().count()
+    n_users = data.select("user").distinct().count()
+    if broadcastable(max(n_users, n_items), k):
+        # factors fit the broadcast limit: blocked matrix, numpy products per block
+        ub = build_blocks(data, "user", "item", "rating")
+        ib = build_blocks(data, "item", "user", "rating")
+
+        def step_users(q):
+            return solve_normal(block_product(ub, q, "item", "f", k, "normal"), "user", k, reg)
+
+        def step_items(p):
+            return solve_normal(block_product(ib, p, "user", "f", k, "normal"), "item", k, reg)
+    else:
+        # shuffle joins + partially aggregated sums, keys salted once
+        by_user = cut_lineage(salted_by_key(data, "user", "item"))
+        by_item = cut_lineage(salted_by_key(data, "item", "user"))
+
+        def step_users(q):
+            return normal_equation_step(by_user, "user", "item", "rating", q, n_items, k, reg)
+
+        def step_items(p):
+            return normal_equation_step(by_item, "item", "user", "rating", p, n_users, k, reg)
     q = cut_lineage(items.select("item", portable_init(F.col("item"), k, seed, init_scale).alias("f")))
     p = None
     for _ in range(n_iters):
-        p = cut_lineage(normal_equation_step(by_user, "user", "item", "rating", q, n_items, k, reg))
-        q = cut_lineage(normal_equation_step(by_item, "item", "user", "rating", p, n_users, k, reg))
+        p = cut_lineage(step_users(q))
+        q = cut_lineage(step_items(p))
     return FactorModel(p.select("user", F.col("f").alias("p")), q.select("item", F.col("f").alias("q")),
                        k, 0.0, bias, params=dict(k=k, reg=reg, n_iters=n_iters, seed=seed))
 
@@ -134,18 +154,25 @@ def truncated_svd(ratings: DataFrame, k: int = 10, n_iter: int = 4, oversample:
     l = min(l, n_users, n_items)
     k = min(k, l)
 
+    fast = broadcastable(max(n_users, n_items), l)
+    blocks = {}
+    if fast:
+        blocks = {"user": build_blocks(a, "user", "item", "a"), "item": build_blocks(a, "item", "user", "a")}
+
     def times(vecs: DataFrame, on: str, key: str, n_rows: int) -> DataFrame:
+        if fast:
+            return block_product(blocks[key], vecs, on, "v", l, "sum").withColumnRenamed("s", "v")
         j = join_factors(a, vecs, on, n_rows, l)
         return grouped_array_sum(j, key, F.transform(F.col("v"), lambda x: x * F.col("a")), "v")
 
-    def ortho(df: DataFrame, key: str) -> DataFrame:
+    def ortho(df: DataFrame, key: str, twice: bool = True) -> DataFrame:
         df = cholesky_qr_apply(df, key, "v", l)
-        return cut_lineage(cholesky_qr_apply(df, key, "v", l))
+        return cut_lineage(cholesky_qr_apply(df, key, "v", l) if twice else df)
 
     omega = a.select("item").distinct().select("item", portable_init(F.col("item"), l, seed).alias("v"))
     qu = ortho(times(omega, "item", "user", n_items), "user")
     for _ in range(n_iter):
-        qi = ortho(times(qu, "user", "item", n_users), "item")
+        qi = ortho(times(qu, "user", "item", n_users), "item", twice=False)
         qu = ortho(times(qi, "item", "user", n_items), "user")
     z = cut_lineage(times(qu, "user", "item", n_users))                 # rows of Bᵀ = Aᵀ Q
     g = global_array_sum(z, F.flatten(F.transform(F.col("v"), lambda x: F.transform(F.col("v"), lambda y: x * y))))

@@ -59,6 +59,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives executor loss, truncates the plan."""
+    """Reliable checkpoint: survives executor loss, truncates the plan.  The input
+    is persisted for the duration so that the checkpoint write does not compute
+    the plan a second time."""
+    from pyspark import StorageLevel
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.checkpoint(eager=True)
+    df.unpersist(blocking=False)
+    return out
