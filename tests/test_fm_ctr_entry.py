@@ -1,0 +1,46 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+from tastemap.operators.fm_ctr import fm_fit, fm_predict, gbdt_lr_fit
+
+
+def test_fm_predicts_unseen_user(spark, ratings_df):
+    m = fm_fit(ratings_df, n_factors=2, n_epochs=5)
+    pairs = spark.createDataFrame([(1, 10), (777, 10)], "user long, item long")
+    got = fm_predict(m, pairs).collect()
+    assert len(got) == 2 and all(r["score"] is not None for r in got)
+
+
+def test_gbdt_lr_probabilities(spark):
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(400, 3))
+    y = (x[:, 0] + 0.5 * x[:, 1] > 0).astype(float)
+    df = spark.createDataFrame([(float(a), float(b), float(c), float(t)) for (a, b, c), t in zip(x, y)],
+                               "a double, b double, c double, label double")
+    m = gbdt_lr_fit(df, ["a", "b", "c"], n_estimators=4, max_leaf_nodes=8)
+    out = m.transform(df).select("label", "prob", "prediction")
+    probs = [r["prob"] for r in out.collect()]
+    assert all(0.0 <= p <= 1.0 for p in probs)
+    acc = out.select(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
+    assert acc > 0.8
+    width = m._leaf_features(df).select("leaf_features").first()[0].size
+    assert width == m._leaf_features(df.limit(5)).select("leaf_features").first()[0].size
+
+
+def test_entry_and_registry(spark):
+    df = E.entry(spark)
+    assert df.columns == ["item", "user", "rank", "score", "p_name"] or set(df.columns) == {
+        "item", "user", "rank", "score", "p_name"}
+    assert df.count() > 0
+    assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_partition_count_does_not_change_results(spark):
+    q = E.queries()["item_knn"]
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    a = sorted(map(tuple, q(spark, "/root/testdata/sf0.001").collect()), key=repr)
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    b = sorted(map(tuple, q(spark, "/root/testdata/sf0.001").collect()), key=repr)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert a == b
