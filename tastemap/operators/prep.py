@@ -112,17 +112,68 @@ def _draw(seed: int) -> Column:
     return md5_draw(F.col("user"), F.col("item"), F.lit(seed))
 
 
+GROUP_ROWS = 1_000_000   # groups above this size are selected by histograms, not one window
+
+
+def smallest_k_per_group(df: DataFrame, group: list[str], key: str, k_of, tie: list[str],
+                         row_key: list[str], key_bits: int = 32, limit: int = GROUP_ROWS,
+                         flag: str = "is_selected", max_group_rows: int | None = None) -> DataFrame:
+    """Mark the k smallest rows of every group in the order (key, *tie); ``key`` is a
+    non-negative integer below 2**key_bits, ``k_of(n)`` gives k from the group
+    size column n, ``row_key`` identifies a row.  When no group exceeds ``limit``
+    rows (``max_group_rows`` if the caller knows a bound, else one aggregation)
+    a window per group does it.  Otherwise light groups keep the window and hot
+    groups never meet in one task: 16-bit histograms of the key, one level after
+    another, find each group's boundary bucket with a window over at most 65,536
+    histogram rows, and only rows tied on the exact boundary key are ranked
+    together."""
+    w = Window.partitionBy(*group).orderBy(key, *tie)
+    if max_group_rows is None:
+        max_group_rows = df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+    if max_group_rows <= limit:
+        n = F.count(F.lit(1)).over(Window.partitionBy(*group))
+        return df.withColumn(flag, F.row_number().over(w) <= k_of(n))
+    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_gn"))
+    d = df.join(counts, group).withColumn("_k", F.least(k_of(F.col("_gn")).cast("long"), F.col("_gn")))
+    light = d.where(F.col("_gn") <= limit).withColumn(flag, F.row_number().over(w) <= F.col("_k"))
+    heavy = d.where((F.col("_gn") > limit) & (F.col("_k") > 0))
+    levels = max(1, -(-key_bits // 16))
+    cur = heavy.withColumn("_need", F.col("_k"))
+    picked = []
+    for lvl in range(levels):
+        shift = 16 * (levels - 1 - lvl)
+        cur = cur.withColumn("_b", F.shiftright(F.col(key), shift).bitwiseAND(F.lit(0xFFFF)))
+        hist = cur.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_c"), F.first("_need").alias("_need"))
+        wc = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+        hist = hist.withColumn("_cum", F.sum("_c").over(wc))
+        bound = (hist.where(F.col("_cum") >= F.col("_need"))
+                 .groupBy(*group).agg(F.min(F.struct("_b", "_cum", "_c")).alias("_m"))
+                 .select(*group, F.col("_m._b").alias("_bs"), (F.col("_m._cum") - F.col("_m._c")).alias("_before")))
+        cur = cur.join(bound, group)
+        picked.append(cur.where(F.col("_b") < F.col("_bs")).select(*row_key))
+        cur = (cur.where(F.col("_b") == F.col("_bs"))
+               .withColumn("_need", F.col("_need") - F.col("_before")).drop("_b", "_bs", "_before"))
+    wt = Window.partitionBy(*group, key).orderBy(*tie)
+    picked.append(cur.withColumn("_rt", F.row_number().over(wt)).where(F.col("_rt") <= F.col("_need"))
+                  .select(*row_key))
+    sel = picked[0]
+    for p_ in picked[1:]:
+        sel = sel.unionByName(p_)
+    heavy_all = d.where(F.col("_gn") > limit)
+    heavy_all = heavy_all.join(sel.withColumn("_hit", F.lit(True)), row_key, "left").withColumn(
+        flag, F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit")
+    return light.unionByName(heavy_all).drop("_gn", "_k")
+
+
 def split_per_group(ratings: DataFrame, frac: float = 0.1, group: str = "user",
-                    seed: int = 1) -> DataFrame:
+                    seed: int = 1, limit: int = GROUP_ROWS) -> DataFrame:
     """Per group, the round-half-even(frac * n) rows with the smallest md5 draw
-    are test.  Returns the input with an ``is_test`` column."""
-    w_all = Window.partitionBy(group)
-    w = Window.partitionBy(group).orderBy(_draw(seed), "user", "item")
-    return (ratings
-            .withColumn("_n", F.count(F.lit(1)).over(w_all))
-            .withColumn("_rn", F.row_number().over(w))
-            .withColumn("is_test", F.col("_rn") <= F.bround(F.lit(frac) * F.col("_n"), 0))
-            .drop("_n", "_rn"))
+    (ties by user, item) are test.  Returns the input with an ``is_test`` column.
+    Hot groups are split (see ``smallest_k_per_group``)."""
+    d = ratings.withColumn("_h", _draw(seed))
+    out = smallest_k_per_group(d, [group], "_h", lambda n: F.bround(F.lit(frac) * n, 0),
+                               ["user", "item"], ["user", "item"], 32, limit, "is_test")
+    return out.drop("_h")
 
 
 def train_test(split: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -198,7 +249,7 @@ def minibatch_ids(df: DataFrame, order_cols: list[str], batch_size: int = -1) ->
 # ---------------------------------------------------------------- T13
 
 def negative_samples(ratings: DataFrame, items: DataFrame | None = None, seed: int = 1,
-                     draws_per_positive: int = 5, ratio: float = 1.0) -> DataFrame:
+                     draws_per_positive: int = 5, ratio: float = 1.0, limit: int = GROUP_ROWS) -> DataFrame:
     """Per user, 5·n uniform item draws (md5 of user:draw:seed modulo the item
     count), known items skipped, first occurrence kept, at most ratio·n negatives.
     Returns positives (label 1) and negatives (label 0)."""
@@ -213,8 +264,9 @@ def negative_samples(ratings: DataFrame, items: DataFrame | None = None, seed: i
     draws = draws.withColumn("item_pos", F.pmod(md5_draw(F.col("user"), F.col("d"), F.lit(seed)), F.lit(n_items)))
     cand = draws.join(idx, "item_pos").join(pos, ["user", "item"], "left_anti")
     first = cand.groupBy("user", "item").agg(F.min("d").alias("d"), F.first("n").alias("n"))
-    w = Window.partitionBy("user").orderBy("d")
-    neg = (first.withColumn("_rn", F.row_number().over(w))
-           .where(F.col("_rn") <= F.floor(F.col("n") * F.lit(ratio)))
-           .select("user", "item", F.lit(0).alias("label")))
+    first = first.withColumn("d", F.col("d").cast("long"))
+    bound = draws_per_positive * (per_user.agg(F.max("n")).first()[0] or 0)   # group size <= 5 n_u
+    sel = smallest_k_per_group(first, ["user"], "d", lambda _n: F.floor(F.col("n") * F.lit(ratio)),
+                               ["item"], ["user", "item"], 48, limit, "_keep", max_group_rows=bound)
+    neg = sel.where(F.col("_keep")).select("user", "item", F.lit(0).alias("label"))
     return pos.select("user", "item", F.lit(1).alias("label")).unionByName(neg)

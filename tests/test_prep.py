@@ -87,3 +87,16 @@ def test_align_scores_keeps_unknown(spark):
     got = rows(T.align_scores(pairs, scores), "user", "item", "score")
     assert got == [(1, 1, 2.5), (1, 99, None)]
     _ = pd
+
+
+def test_hot_group_selection_equals_window(spark):
+    # one user with a third of all rows; the histogram path must equal the window
+    data = [(1, i, 1.0) for i in range(300)] + [(u, i, 1.0) for u in range(2, 40) for i in range(15)]
+    df = spark.createDataFrame(data, "user long, item long, rating double")
+    a = rows(T.split_per_group(df, 0.3, "user", 1), "user", "item", "is_test")
+    b = rows(T.split_per_group(df, 0.3, "user", 1, limit=20), "user", "item", "is_test")
+    assert a == b
+    assert sum(1 for r in a if r[0] == 1 and r[2]) == 90
+    na = rows(T.negative_samples(df, seed=2), "user", "item", "label")
+    nb = rows(T.negative_samples(df, seed=2, limit=20), "user", "item", "label")
+    assert na == nb
