@@ -112,8 +112,11 @@ def self_product(x: DataFrame, group: str, member: str, value: str,
                     F.col(value).cast("double").alias("x"))
     if member_blocks is None or group_blocks is None:
         stats = rows.agg(F.countDistinct("m").alias("nm"), F.count(F.lit(1)).alias("n")).first()
+        heaviest_group = rows.groupBy("g").count().agg(F.max("count")).first()[0] or 0
         par = spark.sparkContext.defaultParallelism
-        b = max(1, math.ceil(stats["nm"] / MEMBERS_PER_BLOCK))
+        # enough member blocks that (a) a block's accumulator stays small and (b) the
+        # rows of the heaviest group falling in two blocks fit one task
+        b = max(1, math.ceil(stats["nm"] / MEMBERS_PER_BLOCK), math.ceil(2 * heaviest_group / ROWS_PER_TASK))
         while b * (b + 1) // 2 < 2 * par and b < 64:
             b += 1
         member_blocks = member_blocks or b
