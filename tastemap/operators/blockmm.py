@@ -21,8 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import block_of
+from ..session import cut_lineage
 
-MEMBERS_PER_BLOCK = 1500       # dense accumulator: 1500² doubles = 18 MB each
+MEMBERS_PER_BLOCK = 4000       # rows are replicated B times: fewer, larger blocks
+DENSE_MAX = 16_000_000         # dense accumulators up to 4000² cells (128 MB each), sparse beyond
 ROWS_PER_TASK = 2_000_000      # rows of X that one task may hold
 PAIR_CHUNK = 4_000_000         # pairs materialised at once inside a task
 
@@ -61,7 +63,7 @@ def _block_task(pdf: pd.DataFrame, min_xy: float | None, squares: bool) -> pd.Da
     gl, xl = left["g"].to_numpy(), left["x"].to_numpy(dtype=np.float64)
     gr, xr = right["g"].to_numpy(), right["x"].to_numpy(dtype=np.float64)
     size = nl * nr
-    dense = size <= 2 * MEMBERS_PER_BLOCK * MEMBERS_PER_BLOCK
+    dense = size <= DENSE_MAX
     if dense:
         zero = np.zeros(0)
         acc = [np.zeros(size), np.zeros(size) if squares else zero,
@@ -111,6 +113,7 @@ def self_product(x: DataFrame, group: str, member: str, value: str,
     rows = x.select(F.col(group).alias("g"), F.col(member).cast("long").alias("m"),
                     F.col(value).cast("double").alias("x"))
     if member_blocks is None or group_blocks is None:
+        rows = cut_lineage(rows)          # sized by three small actions, then read once more
         stats = rows.agg(F.countDistinct("m").alias("nm"), F.count(F.lit(1)).alias("n")).first()
         heaviest_group = rows.groupBy("g").count().agg(F.max("count")).first()[0] or 0
         par = spark.sparkContext.defaultParallelism

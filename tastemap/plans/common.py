@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from ..operators.prep import split_per_group, train_test
+from ..session import cut_lineage
 from ..sources.tables import fixture_ratings
 
 DIGITS = 6
@@ -26,12 +27,16 @@ def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture_ratings(spark, sf_dir)
+    """R, written once per query as a checkpointed table (the prepared ratings
+    table every later action of the query reads instead of re-joining)."""
+    return cut_lineage(fixture_ratings(spark, sf_dir))
 
 
 def split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Per-user 10 % md5 hold-out of R (seed 1): (train, test)."""
-    return train_test(split_per_group(ratings(spark, sf_dir), TEST_FRAC, "user", SEED))
+    """Per-user 10 % md5 hold-out of R (seed 1): (train, test), from one
+    checkpointed flagged table."""
+    flagged = cut_lineage(split_per_group(ratings(spark, sf_dir), TEST_FRAC, "user", SEED))
+    return train_test(flagged)
 
 
 # ------------------------------------------------------------------ SQL (DuckDB)
