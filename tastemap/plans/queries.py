@@ -278,3 +278,22 @@ def known_score(spark, sf):
     train, test = split(spark, sf)
     pairs = test.select("user", "item").unionByName(train.select("user", "item"))
     return finish(B.known_score(train, pairs))
+
+
+@register("topn_candidates", f"""
+WITH {R_CTE}, {SPLIT_CTE}, {bias_ctes('TR')},
+C AS (SELECT DISTINCT TE."user", TE.item FROM TE WHERE TE.item IN (SELECT item FROM TR)
+      AND NOT EXISTS (SELECT 1 FROM TR WHERE TR."user" = TE."user" AND TR.item = TE.item)),
+P AS (SELECT C."user", C.item, mu + bu + bi AS score FROM C JOIN BU USING ("user") JOIN BI USING (item) CROSS JOIN MU),
+K AS (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY round(score, 6) DESC, item) AS rk FROM P)
+SELECT K."user", CAST(rk AS INTEGER) AS rank, K.item, round(score, 6) AS score, p_brand
+FROM K LEFT JOIN part ON p_partkey = K.item WHERE rk <= 3""")
+def topn_candidates(spark, sf):
+    """R1-R5 generic: each user's held-out items as candidates, restricted to items
+    the model knows, unrated only, ranked by the bias model, best 3 with brands."""
+    train, test = split(spark, sf)
+    model = B.bias_fit(train)
+    brands = items_meta(spark, sf).select("item", "p_brand")
+    recs = S.recommend(lambda pairs: B.bias_predict(model, pairs), train, test.select("user", "item"), 3,
+                       selector="unrated", items=train.select("item"), mapping=brands)
+    return finish(recs)

@@ -83,3 +83,14 @@ def test_combine_scores_ignores_missing(spark):
     b = spark.createDataFrame([(1, 1, 4.0), (1, 2, 3.0)], "user long, item long, score double")
     assert rows(S.combine_scores([a, b]), "user", "item", "score") == [(1, 1, 3.0), (1, 2, 3.0)]
     _ = pd
+
+
+def test_generic_recommend(spark, ratings_df):
+    m = B.bias_fit(ratings_df)
+    cand = spark.createDataFrame([(1, 10), (1, 40), (1, 99), (2, 40), (2, 10)], "user long, item long")
+    meta = spark.createDataFrame([(40, "forty")], "item long, name string")
+    out = S.recommend(lambda pairs: B.bias_predict(m, pairs), ratings_df, cand, 5,
+                      selector="unrated", items=ratings_df.select("item"), mapping=meta)
+    assert rows(out, "user", "item", "rank", "name") == [(1, 40, 1, "forty")]
+    rated = S.recommend(lambda pairs: B.bias_predict(m, pairs), ratings_df, cand, 1, selector="rated")
+    assert rows(rated, "user", "rank") == [(1, 1), (2, 1)]
