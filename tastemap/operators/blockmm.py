@@ -114,8 +114,10 @@ def self_product(x: DataFrame, group: str, member: str, value: str,
                     F.col(value).cast("double").alias("x"))
     if member_blocks is None or group_blocks is None:
         rows = cut_lineage(rows)          # sized by three small actions, then read once more
-        stats = rows.agg(F.countDistinct("m").alias("nm"), F.count(F.lit(1)).alias("n")).first()
-        heaviest_group = rows.groupBy("g").count().agg(F.max("count")).first()[0] or 0
+        per_group = rows.groupBy("g").agg(F.count(F.lit(1)).alias("c"))
+        stats = rows.agg(F.countDistinct("m").alias("nm")).crossJoin(
+            per_group.agg(F.max("c").alias("big"))).first()
+        heaviest_group = stats["big"] or 0
         par = spark.sparkContext.defaultParallelism
         # enough member blocks that (a) a block's accumulator stays small and (b) the
         # rows of the heaviest group falling in two blocks fit one task

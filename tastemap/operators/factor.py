@@ -78,8 +78,8 @@ def explicit_als(ratings: DataFrame, k: int = 20, reg: float = 0.001, n_iters: i
         data = bias_residuals(bias, ratings, "rating")
     data = cut_lineage(data)
     items = data.select("item").distinct()
-    n_items = items.count()
-    n_users = data.select("user").distinct().count()
+    sizes = data.agg(F.countDistinct("user").alias("u"), F.countDistinct("item").alias("i")).first()
+    n_users, n_items = sizes["u"], sizes["i"]
     if broadcastable(max(n_users, n_items), k):
         # factors fit the broadcast limit: blocked matrix, numpy products per block
         ub = build_blocks(data, "user", "item", "rating")
@@ -149,8 +149,8 @@ def truncated_svd(ratings: DataFrame, k: int = 10, n_iter: int = 4, oversample:
         a = bias_residuals(bias, ratings, "a")
     a = cut_lineage(a)
     l = k + oversample
-    n_users = a.select("user").distinct().count()
-    n_items = a.select("item").distinct().count()
+    sizes = a.agg(F.countDistinct("user").alias("u"), F.countDistinct("item").alias("i")).first()
+    n_users, n_items = sizes["u"], sizes["i"]
     l = min(l, n_users, n_items)
     k = min(k, l)
 
@@ -166,6 +166,7 @@ def truncated_svd(ratings: DataFrame, k: int = 10, n_iter: int = 4, oversample:
         return grouped_array_sum(j, key, F.transform(F.col("v"), lambda x: x * F.col("a")), "v")
 
     def ortho(df: DataFrame, key: str, twice: bool = True) -> DataFrame:
+        df = cut_lineage(df)              # the product is computed once, read by the Gramians
         df = cholesky_qr_apply(df, key, "v", l)
         return cut_lineage(cholesky_qr_apply(df, key, "v", l) if twice else df)
 
