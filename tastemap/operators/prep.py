@@ -259,8 +259,7 @@ def negative_samples(ratings: DataFrame, items: DataFrame | None = None, seed: i
     idx = dense_index(items.select("item"), "item", "item_pos")
     n_items = idx.agg(F.max("item_pos")).first()[0] + 1
     per_user = pos.groupBy("user").agg(F.count(F.lit(1)).alias("n"))
-    draws = per_user.select(
-        "user", "n", F.explode(F.sequence(F.lit(1), F.col("n") * draws_per_positive)).alias("d"))
+    draws = explode_range(per_user.select("user", "n"), ["user"], F.lit(1), F.col("n") * draws_per_positive, "d")
     draws = draws.withColumn("item_pos", F.pmod(md5_draw(F.col("user"), F.col("d"), F.lit(seed)), F.lit(n_items)))
     cand = draws.join(idx, "item_pos").join(pos, ["user", "item"], "left_anti")
     first = cand.groupBy("user", "item").agg(F.min("d").alias("d"), F.first("n").alias("n"))
@@ -270,3 +269,28 @@ def negative_samples(ratings: DataFrame, items: DataFrame | None = None, seed: i
                                ["item"], ["user", "item"], 48, limit, "_keep", max_group_rows=bound)
     neg = sel.where(F.col("_keep")).select("user", "item", F.lit(0).alias("label"))
     return pos.select("user", "item", F.lit(1).alias("label")).unionByName(neg)
+
+
+# ---------------------------------------------------------------- generated ranges
+
+RANGE_CHUNK = 100_000          # integers generated from one row in one task
+ROWS_PER_PARTITION = 2_000_000
+
+
+def explode_range(df: DataFrame, keys: list[str], start: Column, stop: Column, out: str,
+                  chunk: int = RANGE_CHUNK) -> DataFrame:
+    """Every row of ``df`` times the integers start..stop (inclusive) in ``out``.
+    A row-multiplying generate straight after a small aggregate would run in the
+    few partitions the aggregate needed (a hot key's whole range in one task);
+    here each range is cut into chunks of at most ``chunk`` values, the chunk rows
+    are hash-partitioned on (keys, chunk) into enough partitions for the total
+    number of generated rows, and only then exploded."""
+    spark = df.sparkSession
+    d = df.withColumn("_s", start.cast("long")).withColumn("_e", stop.cast("long")).where(F.col("_e") >= F.col("_s"))
+    total = d.agg(F.sum(F.col("_e") - F.col("_s") + 1)).first()[0] or 0
+    parts = max(spark.sparkContext.defaultParallelism, -(-int(total) // ROWS_PER_PARTITION))
+    c = d.withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_e") - F.col("_s")) / chunk))))
+    c = (c.withColumn("_lo", F.col("_s") + F.col("_c") * chunk)
+         .withColumn("_hi", F.least(F.col("_e"), F.col("_s") + (F.col("_c") + 1) * chunk - 1))
+         .repartition(parts, *keys, "_c"))
+    return c.withColumn(out, F.explode(F.sequence("_lo", "_hi"))).drop("_s", "_e", "_c", "_lo", "_hi")

@@ -100,3 +100,13 @@ def test_hot_group_selection_equals_window(spark):
     na = rows(T.negative_samples(df, seed=2), "user", "item", "label")
     nb = rows(T.negative_samples(df, seed=2, limit=20), "user", "item", "label")
     assert na == nb
+
+
+def test_explode_range_chunks_hot_rows(spark):
+    df = spark.createDataFrame([(1, 250_003), (2, 3), (3, 0)], "user long, n long")
+    out = T.explode_range(df, ["user"], F.lit(1), F.col("n"), "d", chunk=1000)
+    got = {r["user"]: (r["c"], r["lo"], r["hi"]) for r in
+           out.groupBy("user").agg(F.count("*").alias("c"), F.min("d").alias("lo"), F.max("d").alias("hi")).collect()}
+    assert got == {1: (250_003, 1, 250_003), 2: (3, 1, 3)}        # empty range: no rows
+    assert out.groupBy("d", "user").count().where("count > 1").count() == 0
+    assert out.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
