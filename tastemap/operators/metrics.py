@@ -83,3 +83,9 @@ def mean_popularity(recs: DataFrame, train: DataFrame) -> DataFrame:
     pop = train.groupBy("item").agg(F.count(F.lit(1)).alias("_pop"))
     return (recs.select("item").join(pop, "item", "left")
             .agg(F.avg(F.log1p(F.coalesce(F.col("_pop"), F.lit(0)).cast("double"))).alias("popularity")))
+
+
+def fit_error(predict, ratings: DataFrame) -> DataFrame:
+    """M8: RMSE / MAE of a fitted model on its observed training cells;
+    ``predict(pairs)`` returns the pairs with a ``score`` column."""
+    return rmse_mae(predict(ratings.select("user", "item", "rating")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +13,17 @@ from ..operators.bias import BiasModel
 from ..operators.factor import FactorModel
 
 
+@dataclass
+class TableModel:
+    """Any trained state that is a set of tables, e.g. a similarity table for
+    the neighbourhood predictors: {"sims": (i, j, sim)} plus parameters."""
+    tables_: dict[str, DataFrame]
+    params: dict = field(default_factory=dict)
+
+    def tables(self) -> dict[str, DataFrame]:
+        return self.tables_
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -35,7 +47,7 @@ def load_tables(spark: SparkSession, path: str) -> tuple[dict[str, DataFrame], d
 
 
 def save_model(model, path: str) -> None:
-    """BiasModel or FactorModel -> parquet directory."""
+    """BiasModel, FactorModel or TableModel -> parquet directory."""
     if isinstance(model, BiasModel):
         spark = model.item_bias.sparkSession
         params = {"_kind": "bias", "mu": model.mu, "params": model.params}
@@ -49,6 +61,10 @@ def save_model(model, path: str) -> None:
             tables = {**tables, "bias_item": model.bias.item_bias, "bias_user": model.bias.user_bias}
             params["bias_mu"] = model.bias.mu
             params["bias_params"] = model.bias.params
+    elif isinstance(model, TableModel):
+        spark = next(iter(model.tables_.values())).sparkSession
+        params = {"_kind": "tables", "params": model.params}
+        tables = model.tables()
     else:
         raise TypeError(f"cannot save {type(model).__name__}")
     params["_tables"] = list(tables)
@@ -59,6 +75,8 @@ def load_model(spark: SparkSession, path: str):
     tables, params = load_tables(spark, path)
     if params["_kind"] == "bias":
         return BiasModel(params["mu"], tables["item_bias"], tables["user_bias"], params["params"])
+    if params["_kind"] == "tables":
+        return TableModel(tables, params["params"])
     bias = None
     if params.get("has_bias"):
         bias = BiasModel(params["bias_mu"], tables["bias_item"], tables["bias_user"], params["bias_params"])

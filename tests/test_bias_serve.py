@@ -1,5 +1,4 @@
 import numpy as np
-import pandas as pd
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -82,7 +81,6 @@ def test_combine_scores_ignores_missing(spark):
     a = spark.createDataFrame([(1, 1, 2.0), (1, 2, None)], "user long, item long, score double")
     b = spark.createDataFrame([(1, 1, 4.0), (1, 2, 3.0)], "user long, item long, score double")
     assert rows(S.combine_scores([a, b]), "user", "item", "score") == [(1, 1, 3.0), (1, 2, 3.0)]
-    _ = pd
 
 
 def test_generic_recommend(spark, ratings_df):

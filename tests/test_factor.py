@@ -1,6 +1,5 @@
 import numpy as np
 import pandas as pd
-from pyspark.sql import functions as F
 
 from conftest import rows
 from tastemap.functions.expr import INIT_FACTOR_MULT, INIT_ID_MULT, INIT_MODULUS
@@ -142,4 +141,3 @@ def test_lfm_loss_matches_brute_force(spark):
         y[u - 1, i - 1] = 1
     want = np.sum((y - 1 / (1 + np.exp(-(P @ Q.T)))) ** 2) + 0.1 * (np.sum(P ** 2) + np.sum(Q ** 2))
     assert np.isclose(got, want)
-    _ = F

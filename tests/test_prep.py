@@ -1,5 +1,4 @@
 import numpy as np
-import pandas as pd
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -86,7 +85,6 @@ def test_align_scores_keeps_unknown(spark):
     scores = spark.createDataFrame([(1, 1, 2.5)], "user long, item long, score double")
     got = rows(T.align_scores(pairs, scores), "user", "item", "score")
     assert got == [(1, 1, 2.5), (1, 99, None)]
-    _ = pd
 
 
 def test_hot_group_selection_equals_window(spark):

@@ -76,3 +76,14 @@ def test_model_roundtrip_and_fit_or_load(spark, ratings_df):
     fit_or_load(spark, f"{d}/b2", lambda: calls.append(1) or B.bias_fit(ratings_df))
     assert calls == [1]
     assert os.path.isdir(f"{d}/b2/item_bias")
+
+
+def test_similarity_table_model_roundtrip(spark, ratings_df):
+    from tastemap.operators.similarity import item_similarity
+    from tastemap.sources.models import TableModel
+    d = tempfile.mkdtemp(prefix="tastemap-test-")
+    sims = item_similarity(ratings_df)
+    save_model(TableModel({"sims": sims}, {"min_threshold": None}), f"{d}/knn")
+    back = load_model(spark, f"{d}/knn")
+    assert rows(back.tables()["sims"], "i", "j", "sim") == rows(sims, "i", "j", "sim")
+    assert back.params == {"min_threshold": None}
