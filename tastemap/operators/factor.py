@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.expr import block_of, dot, portable_init, sigmoid
 from ..session import cut_lineage
 from .bias import BiasModel, bias_fit, bias_residuals
-from .blocks import block_product, broadcastable, build_blocks
+from .blocks import block_product, block_product_np, broadcastable, build_blocks, collect_vectors
 from .linalg import (apply_matrix, cholesky_qr_apply, global_array_sum, grouped_array_sum,
                      join_factors, normal_equation_step, salted_by_key, solve_normal)
 from .prep import dense_index
@@ -68,9 +68,10 @@ def explicit_als(ratings: DataFrame, k: int = 20, reg: float = 0.001, n_iters: i
     """P9 explicit ALS: x_u = (Σ_i q_i q_iᵀ + reg·I)⁻¹ Σ_i r_ui q_i over observed
     cells (reg not scaled by the count), alternating users and items.  P10
     (``use_bias``): fitted on the bias residuals, the bias added back once.
-    Both sides are salted by key once and checkpointed; every half-step is one
-    join, one partially-aggregated Summarizer sum and a batched numpy solve, and
-    its result is checkpointed to cut the lineage."""
+    Factor tables within the broadcast limit: blocked matrix + broadcast factors,
+    one distributed pass per half-step.  Beyond it: both sides salted by key
+    once; every half-step is a shuffle join, a partially aggregated Summarizer
+    sum and a batched numpy solve, checkpointed to cut the lineage."""
     bias = None
     data = ratings.select("user", "item", "rating")
     if use_bias:
@@ -80,31 +81,33 @@ def explicit_als(ratings: DataFrame, k: int = 20, reg: float = 0.001, n_iters: i
     items = data.select("item").distinct()
     sizes = data.agg(F.countDistinct("user").alias("u"), F.countDistinct("item").alias("i")).first()
     n_users, n_items = sizes["u"], sizes["i"]
+    q = items.select("item", portable_init(F.col("item"), k, seed, init_scale).alias("f"))
     if broadcastable(max(n_users, n_items), k):
-        # factors fit the broadcast limit: blocked matrix, numpy products per block
+        # Both factor tables pass the broadcast size check: the rating matrix is cut
+        # once into checkpointed blocks, and each half-step is one distributed pass
+        # over the blocks against the broadcast other side (numpy per block) followed
+        # by the batched solve.  The broadcast is the lineage cut between steps.
         ub = build_blocks(data, "user", "item", "rating")
         ib = build_blocks(data, "item", "user", "rating")
-
-        def step_users(q):
-            return solve_normal(block_product(ub, q, "item", "f", k, "normal"), "user", k, reg)
-
-        def step_items(p):
-            return solve_normal(block_product(ib, p, "user", "f", k, "normal"), "item", k, reg)
+        q_ids, q_mat = collect_vectors(q, "item", "f")
+        p = None
+        for it in range(n_iters):
+            p = solve_normal(block_product_np(ub, q_ids, q_mat, "normal"), "user", k, reg)
+            p_ids, p_mat = collect_vectors(p, "user", "f")
+            q = solve_normal(block_product_np(ib, p_ids, p_mat, "normal"), "item", k, reg)
+            if it < n_iters - 1:
+                q_ids, q_mat = collect_vectors(q, "item", "f")
+        p, q = cut_lineage(p), cut_lineage(q)
     else:
-        # shuffle joins + partially aggregated sums, keys salted once
+        # shuffle joins + partially aggregated sums, keys salted once; every
+        # half-step checkpointed
         by_user = cut_lineage(salted_by_key(data, "user", "item"))
         by_item = cut_lineage(salted_by_key(data, "item", "user"))
-
-        def step_users(q):
-            return normal_equation_step(by_user, "user", "item", "rating", q, n_items, k, reg)
-
-        def step_items(p):
-            return normal_equation_step(by_item, "item", "user", "rating", p, n_users, k, reg)
-    q = cut_lineage(items.select("item", portable_init(F.col("item"), k, seed, init_scale).alias("f")))
-    p = None
-    for _ in range(n_iters):
-        p = cut_lineage(step_users(q))
-        q = cut_lineage(step_items(p))
+        q = cut_lineage(q)
+        p = None
+        for _ in range(n_iters):
+            p = cut_lineage(normal_equation_step(by_user, "user", "item", "rating", q, n_items, k, reg))
+            q = cut_lineage(normal_equation_step(by_item, "item", "user", "rating", p, n_users, k, reg))
     return FactorModel(p.select("user", F.col("f").alias("p")), q.select("item", F.col("f").alias("q")),
                        k, 0.0, bias, params=dict(k=k, reg=reg, n_iters=n_iters, seed=seed))
 
@@ -154,14 +157,10 @@ def truncated_svd(ratings: DataFrame, k: int = 10, n_iter: int = 4, oversample:
     l = min(l, n_users, n_items)
     k = min(k, l)
 
-    fast = broadcastable(max(n_users, n_items), l)
-    blocks = {}
-    if fast:
-        blocks = {"user": build_blocks(a, "user", "item", "a"), "item": build_blocks(a, "item", "user", "a")}
+    if broadcastable(max(n_users, n_items), l):
+        return _svd_broadcast(a, bias, k, l, n_iter, seed, oversample)
 
     def times(vecs: DataFrame, on: str, key: str, n_rows: int) -> DataFrame:
-        if fast:
-            return block_product(blocks[key], vecs, on, "v", l, "sum").withColumnRenamed("s", "v")
         j = join_factors(a, vecs, on, n_rows, l)
         return grouped_array_sum(j, key, F.transform(F.col("v"), lambda x: x * F.col("a")), "v")
 
@@ -190,6 +189,41 @@ def truncated_svd(ratings: DataFrame, k: int = 10, n_iter: int = 4, oversample:
                                    singular_values=sig.tolist()))
 
 
+def _svd_broadcast(a: DataFrame, bias, k: int, l: int, n_iter: int, seed: int, oversample: int) -> FactorModel:
+    """Randomised SVD when the m x l and n x l bases pass the broadcast size
+    check: the sparse products run distributed over the blocked matrix, the thin
+    bases (already on the driver to be broadcast) are orthonormalised there."""
+    spark = a.sparkSession
+    ub = build_blocks(a, "user", "item", "a")
+    ib = build_blocks(a, "item", "user", "a")
+    omega = a.select("item").distinct().select("item", portable_init(F.col("item"), l, seed).alias("v"))
+    i_ids, om = collect_vectors(omega, "item", "v")
+
+    def product(bm, ids, mat, key):
+        return collect_vectors(block_product_np(bm, ids, mat, "sum"), key, "s")
+
+    def orth(mat):
+        qm, _ = np.linalg.qr(mat)
+        return qm
+
+    u_ids, y = product(ub, i_ids, om, "user")
+    qu = orth(y)
+    for _ in range(n_iter):
+        i_ids, z = product(ib, u_ids, qu, "item")
+        u_ids, y = product(ub, i_ids, orth(z), "user")
+        qu = orth(y)
+    i_ids, z = product(ib, u_ids, qu, "item")                  # rows of Bᵀ = Aᵀ Q
+    w_, sig, vt = np.linalg.svd(z.T, full_matrices=False)      # B = W Σ Vᵀ
+    w_, sig, vt = w_[:, :k], sig[:k], vt[:k]
+    user_f = qu @ w_ * sig[None, :]                            # U Σ
+    item_f = vt.T                                              # V
+    uf = spark.createDataFrame(pd.DataFrame({"user": u_ids, "p": list(user_f)}), "user long, p array<double>")
+    itf = spark.createDataFrame(pd.DataFrame({"item": i_ids, "q": list(item_f)}), "item long, q array<double>")
+    return FactorModel(cut_lineage(uf), cut_lineage(itf), k, 0.0, bias,
+                       params=dict(k=k, n_iter=n_iter, oversample=oversample, seed=seed,
+                                   singular_values=sig.tolist()))
+
+
 # ================================================================== top-N for factor models
 
 USERS_PER_CHUNK = 256

@@ -141,3 +141,14 @@ def test_lfm_loss_matches_brute_force(spark):
         y[u - 1, i - 1] = 1
     want = np.sum((y - 1 / (1 + np.exp(-(P @ Q.T)))) ** 2) + 0.1 * (np.sum(P ** 2) + np.sum(Q ** 2))
     assert np.isclose(got, want)
+
+
+def test_svd_distributed_path_matches(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    a = rng.normal(size=(25, 3)) @ rng.normal(size=(3, 10))
+    pdf = pd.DataFrame([(u + 1, i + 1, a[u, i]) for u in range(25) for i in range(10)], columns=["user", "item", "rating"])
+    monkeypatch.setattr(LA, "BROADCAST_MAX_BYTES", 0)
+    monkeypatch.setattr(BL, "BROADCAST_MAX_BYTES", 0)
+    m = truncated_svd(spark.createDataFrame(pdf), k=3, n_iter=2, oversample=3, use_bias=False)
+    pred = factor_predict(m, spark.createDataFrame(pdf[["user", "item"]])).toPandas().merge(pdf, on=["user", "item"])
+    assert np.allclose(pred.score, pred.rating, atol=1e-6)
