@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import block_of
-from ..session import cut_lineage
+from ..session import cut_lineage, ship_package
 
 MEMBERS_PER_BLOCK = 4000       # rows are replicated B times: fewer, larger blocks
 DENSE_MAX = 16_000_000         # dense accumulators up to 4000² cells (128 MB each), sparse beyond
@@ -110,6 +110,7 @@ def self_product(x: DataFrame, group: str, member: str, value: str,
     and n = number of common groups (xx, yy only with ``squares``).  ``min_xy`` drops pairs with xy <= min_xy
     (applied inside the tasks when the sums are final there)."""
     spark = x.sparkSession
+    ship_package(spark)
     rows = x.select(F.col(group).alias("g"), F.col(member).cast("long").alias("m"),
                     F.col(value).cast("double").alias("x"))
     if member_blocks is None or group_blocks is None:

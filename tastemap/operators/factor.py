@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import block_of, dot, portable_init, sigmoid
-from ..session import cut_lineage
+from ..session import cut_lineage, ship_package
 from .bias import BiasModel, bias_fit, bias_residuals
 from .blocks import block_product, block_product_np, broadcastable, build_blocks, collect_vectors
 from .linalg import (apply_matrix, cholesky_qr_apply, global_array_sum, grouped_array_sum,
@@ -217,8 +217,8 @@ def _svd_broadcast(a: DataFrame, bias, k: int, l: int, n_iter: int, seed: int, o
     w_, sig, vt = w_[:, :k], sig[:k], vt[:k]
     user_f = qu @ w_ * sig[None, :]                            # U Σ
     item_f = vt.T                                              # V
-    uf = spark.createDataFrame(pd.DataFrame({"user": u_ids, "p": list(user_f)}), "user long, p array<double>")
-    itf = spark.createDataFrame(pd.DataFrame({"item": i_ids, "q": list(item_f)}), "item long, q array<double>")
+    uf = spark.createDataFrame(pd.DataFrame({"user": u_ids.tolist(), "p": user_f.tolist()}), "user long, p array<double>")
+    itf = spark.createDataFrame(pd.DataFrame({"item": i_ids.tolist(), "q": item_f.tolist()}), "item long, q array<double>")
     return FactorModel(cut_lineage(uf), cut_lineage(itf), k, 0.0, bias,
                        params=dict(k=k, n_iter=n_iter, oversample=oversample, seed=seed,
                                    singular_values=sig.tolist()))
@@ -269,6 +269,7 @@ def factor_top_n(model: FactorModel, ratings: DataFrame, n: int, exclude_rated:
     user (n_u = the user's rated count, so rated items can be removed after).
     Item factors are replicated U times and user factors B times."""
     spark = ratings.sparkSession
+    ship_package(spark)
     par = spark.sparkContext.defaultParallelism
     uf = model.user_factors
     itf = model.item_factors
