@@ -102,48 +102,68 @@ def _block_task(pdf: pd.DataFrame, min_xy: float | None, squares: bool) -> pd.Da
     return out
 
 
+MAX_REPLICATION = 64           # member blocks: every row of X is sent to B tasks
+
+
+def _blocked(rows: DataFrame, B: int, C: int, min_xy, squares: bool, final_in_task: bool) -> DataFrame:
+    rows = rows.withColumn("mb", block_of("m", B)).withColumn("gb", block_of("g", C) if C > 1 else F.lit(0))
+    rep = rows.select("g", "m", "x", "mb", "gb", F.explode(F.sequence(F.lit(0), F.lit(B - 1))).alias("o"))
+    rep = rep.select("g", "m", "x", "mb", "gb", F.least("mb", "o").alias("p"), F.greatest("mb", "o").alias("q"))
+
+    def task(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _block_task(pdf, min_xy if final_in_task else None, squares)
+
+    return rep.groupBy("gb", "p", "q").applyInPandas(task, _OUT)
+
+
 def self_product(x: DataFrame, group: str, member: str, value: str,
                  min_xy: float | None = None, squares: bool = False,
                  member_blocks: int | None = None, group_blocks: int | None = None) -> DataFrame:
     """All member pairs (a, b) co-occurring in some group, both orders and the
     diagonal, with xy = Σ x_a x_b, xx = Σ x_a², yy = Σ x_b² (over common groups)
-    and n = number of common groups (xx, yy only with ``squares``).  ``min_xy`` drops pairs with xy <= min_xy
-    (applied inside the tasks when the sums are final there)."""
+    and n = number of common groups (xx, yy only with ``squares``).  ``min_xy``
+    drops pairs with xy <= min_xy (inside the tasks when the sums are final there).
+
+    Sizing: B member blocks (at most MAX_REPLICATION, so the shuffle is at most
+    B times the input) and C group blocks so that a task holds at most
+    ROWS_PER_TASK rows.  Groups too heavy for that (one user with a large share
+    of all rows) are computed apart with their own, larger member blocking; the
+    two partial results are added by one aggregation."""
     spark = x.sparkSession
     ship_package(spark)
     rows = x.select(F.col(group).alias("g"), F.col(member).cast("long").alias("m"),
                     F.col(value).cast("double").alias("x"))
-    if member_blocks is None or group_blocks is None:
-        rows = cut_lineage(rows)          # sized by three small actions, then read once more
-        per_group = rows.groupBy("g").agg(F.count(F.lit(1)).alias("c"))
-        stats = rows.agg(F.countDistinct("m").alias("nm")).crossJoin(
-            per_group.agg(F.max("c").alias("big"))).first()
-        heaviest_group = stats["big"] or 0
-        par = spark.sparkContext.defaultParallelism
-        # enough member blocks that (a) a block's accumulator stays small and (b) the
-        # rows of the heaviest group falling in two blocks fit one task
-        b = max(1, math.ceil(stats["nm"] / MEMBERS_PER_BLOCK), math.ceil(2 * heaviest_group / ROWS_PER_TASK))
-        while b * (b + 1) // 2 < 2 * par and b < 64:
-            b += 1
-        member_blocks = member_blocks or b
-    B = member_blocks
-    rows = rows.withColumn("mb", block_of("m", B))
-    if group_blocks is None:
-        biggest = rows.groupBy("mb").count().agg(F.max("count")).first()[0] or 0
-        group_blocks = max(1, math.ceil(2 * biggest / ROWS_PER_TASK))
-    C = group_blocks
-    rows = rows.withColumn("gb", block_of("g", C) if C > 1 else F.lit(0))
-    rep = rows.select("g", "m", "x", "mb", "gb", F.explode(F.sequence(F.lit(0), F.lit(B - 1))).alias("o"))
-    rep = rep.select("g", "m", "x", "mb", "gb", F.least("mb", "o").alias("p"), F.greatest("mb", "o").alias("q"))
-    final_in_task = C == 1
+    par = spark.sparkContext.defaultParallelism
+    if member_blocks is not None and group_blocks is not None:
+        return _finish(_blocked(rows, member_blocks, group_blocks, min_xy, squares, group_blocks == 1),
+                       group_blocks == 1, min_xy)
+    rows = cut_lineage(rows)          # sized by two small actions, then read once more
+    per_group = rows.groupBy("g").agg(F.count(F.lit(1)).alias("c"))
+    heavy_limit = ROWS_PER_TASK // 4
+    st = rows.agg(F.countDistinct("m").alias("nm"), F.count(F.lit(1)).alias("n")).crossJoin(
+        per_group.agg(F.max("c").alias("big"),
+                      F.sum(F.when(F.col("c") > heavy_limit, F.col("c"))).alias("hn"),
+                      F.count(F.when(F.col("c") > heavy_limit, 1)).alias("hg"))).first()
+    heavy_rows, heavy_groups = st["hn"] or 0, st["hg"] or 0
+    light_n = (st["n"] or 0) - heavy_rows
+    B = member_blocks or max(1, min(MAX_REPLICATION, math.ceil((st["nm"] or 0) / MEMBERS_PER_BLOCK)))
+    while B * (B + 1) // 2 < 2 * par and B < MAX_REPLICATION:
+        B += 1
+    C = group_blocks or max(1, math.ceil(2 * light_n / (B * ROWS_PER_TASK)))
+    if heavy_groups == 0:
+        return _finish(_blocked(rows, B, C, min_xy, squares, C == 1), C == 1, min_xy)
+    marked = rows.join(per_group.where(F.col("c") > heavy_limit).select("g", F.lit(True).alias("_h")), "g", "left")
+    light = marked.where(F.col("_h").isNull()).drop("_h")
+    heavy = marked.where(F.col("_h")).drop("_h")
+    bh = max(2, math.ceil(2 * (st["big"] or 0) / ROWS_PER_TASK))     # a heavy group's rows split by item blocks
+    parts = _blocked(light, B, C, None, squares, False).unionByName(
+        _blocked(heavy, bh, max(1, heavy_groups), None, squares, False))
+    return _finish(parts, False, min_xy)
 
-    def task(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _block_task(pdf, min_xy if final_in_task else None, squares)
 
-    out = rep.groupBy("gb", "p", "q").applyInPandas(task, _OUT)
-    if not final_in_task:
-        out = out.groupBy("a", "b").agg(F.sum("xy").alias("xy"), F.sum("xx").alias("xx"),
-                                        F.sum("yy").alias("yy"), F.sum("n").alias("n"))
-        if min_xy is not None:
-            out = out.where(F.col("xy") > min_xy)
-    return out
+def _finish(out: DataFrame, final_in_task: bool, min_xy) -> DataFrame:
+    if final_in_task:
+        return out
+    out = out.groupBy("a", "b").agg(F.sum("xy").alias("xy"), F.sum("xx").alias("xx"),
+                                    F.sum("yy").alias("yy"), F.sum("n").alias("n"))
+    return out.where(F.col("xy") > min_xy) if min_xy is not None else out

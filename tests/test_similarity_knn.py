@@ -163,3 +163,18 @@ def test_item_knn_and_recommend(spark):
         cand = [(-round(s, 6), i) for (uu, i), s in want.items() if uu == u and s is not None
                 and m[us.index(u), its.index(i)] == 0]
         assert recs[recs.user == u].sort_values("rank").item.tolist() == [i for _, i in sorted(cand)[:3]]
+
+
+def test_block_product_heavy_group_path(spark, monkeypatch):
+    from tastemap.operators import blockmm
+    pdf = _random_ratings(5)
+    heavy = pd.DataFrame([(500, i, float(1 + i % 5)) for i in range(30)], columns=["user", "item", "rating"])
+    pdf = pd.concat([pdf, heavy], ignore_index=True)
+    df = spark.createDataFrame(pdf)
+    us, its, m = _dense(pdf)
+    want = m.T @ m
+    monkeypatch.setattr(blockmm, "ROWS_PER_TASK", 80)     # user 500 (30 rows) is "heavy" (> 20)
+    got = self_product(df, "user", "item", "rating").toPandas()
+    assert len(got) == int(((m != 0).astype(int).T @ (m != 0).astype(int) > 0).sum())
+    for a, b, xy in got[["a", "b", "xy"]].itertuples(index=False):
+        assert np.isclose(xy, want[its.index(a), its.index(b)])
