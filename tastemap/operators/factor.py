@@ -264,10 +264,10 @@ def _topk_block(n: int, link: str, mu: float):
 
 def factor_top_n(model: FactorModel, ratings: DataFrame, n: int, exclude_rated: bool = True) -> DataFrame:
     """Top-n unrated items per user for a dot-product model without emitting the
-    users x items grid: users are cut in U blocks and items in B blocks; each of
-    the U·B tasks scores its block in numpy and emits at most n + n_u rows per
-    user (n_u = the user's rated count, so rated items can be removed after).
-    Item factors are replicated U times and user factors B times."""
+    users x items grid: each task scores a block of users against items in numpy
+    and emits at most n + n_u rows per user (n_u = the user's rated count, so the
+    rated items can be removed after).  Items are broadcast when their table
+    passes the size check, else replicated over user blocks by a cogroup."""
     spark = ratings.sparkSession
     ship_package(spark)
     par = spark.sparkContext.defaultParallelism
@@ -285,6 +285,37 @@ def factor_top_n(model: FactorModel, ratings: DataFrame, n: int, exclude_rated:
     n_u = rated.groupBy("user").agg(F.count(F.lit(1)).alias("n_u"))
     uf = uf.join(n_u, "user", "left").fillna(0, ["n_u"]) if exclude_rated else uf.withColumn("n_u", F.lit(0))
     n_items = itf.count()
+    if broadcastable(n_items, model.k + 1):
+        cand = _top_with_broadcast_items(spark, uf, itf, n, model.link, mu)
+    else:
+        cand = _top_with_replicated_items(uf, itf, n, model.link, mu, par, n_items)
+    if exclude_rated:
+        cand = cand.join(rated, ["user", "item"], "left_anti")
+    return top_k_per_group(cand, ["user"], [F.col("score").desc(), F.col("item").asc()], n).select(
+        "user", "rank", "item", "score")
+
+
+def _top_with_broadcast_items(spark, uf: DataFrame, itf: DataFrame, n: int, link: str, mu: float) -> DataFrame:
+    """Item factors within the broadcast limit: every user partition scores its
+    users against the broadcast item matrix, emitting n + n_u rows per user."""
+    pdf = itf.select("item", "q", F.coalesce("bi", F.lit(0.0)).alias("bi")).toPandas()
+    bc = spark.sparkContext.broadcast(pdf)
+    block = _topk_block(n, link, mu)
+
+    def run(it):
+        items = bc.value
+        for users in it:
+            if len(users):
+                yield block(users, items)
+
+    users = uf.select("user", "p", F.coalesce("bu", F.lit(0.0)).alias("bu"), "n_u")
+    return users.mapInPandas(run, "user long, item long, score double")
+
+
+def _top_with_replicated_items(uf: DataFrame, itf: DataFrame, n: int, link: str, mu: float, par: int,
+                               n_items: int) -> DataFrame:
+    """Item factors beyond the broadcast limit: users in U blocks x items in B
+    blocks; item rows are replicated U times, user rows B times."""
     n_users = uf.count()
     nb = max(1, math.ceil(n_items / ITEMS_PER_BLOCK))
     nu = max(2 * par, math.ceil(n_users / 50_000))
@@ -294,9 +325,5 @@ def factor_top_n(model: FactorModel, ratings: DataFrame, n: int, exclude_rated:
     ir = (itf.select("item", "q", F.coalesce("bi", F.lit(0.0)).alias("bi"))
           .withColumn("ib", block_of("item", nb))
           .withColumn("ub", F.explode(F.sequence(F.lit(0), F.lit(nu - 1)))))
-    cand = (ur.groupBy("ub", "ib").cogroup(ir.groupBy("ub", "ib"))
-            .applyInPandas(_topk_block(n, model.link, mu), "user long, item long, score double"))
-    if exclude_rated:
-        cand = cand.join(rated, ["user", "item"], "left_anti")
-    return top_k_per_group(cand, ["user"], [F.col("score").desc(), F.col("item").asc()], n).select(
-        "user", "rank", "item", "score")
+    return (ur.groupBy("ub", "ib").cogroup(ir.groupBy("ub", "ib"))
+            .applyInPandas(_topk_block(n, link, mu), "user long, item long, score double"))

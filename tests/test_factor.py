@@ -117,7 +117,12 @@ def _toy_model(spark, k=2, link="identity"):
     return FactorModel(uf, itf, k, 0.5, None, link)
 
 
-def test_factor_top_n_matches_brute_force(spark):
+import pytest
+
+
+@pytest.mark.parametrize("limit", [LA.BROADCAST_MAX_BYTES, 0])
+def test_factor_top_n_matches_brute_force(spark, monkeypatch, limit):
+    monkeypatch.setattr(BL, "BROADCAST_MAX_BYTES", limit)      # broadcast items, then replicated items
     m = _toy_model(spark)
     ratings = spark.createDataFrame([(1, 3, 1.0), (1, 5, 1.0), (2, 1, 1.0)], "user long, item long, rating double")
     recs = factor_top_n(m, ratings, 4).toPandas()
@@ -129,7 +134,9 @@ def test_factor_top_n_matches_brute_force(spark):
         assert recs[recs.user == ur.user].sort_values("rank").item.tolist() == [i for _, i in sorted(sc)[:4]]
 
 
-def test_lfm_loss_matches_brute_force(spark):
+@pytest.mark.parametrize("limit", [LA.BROADCAST_MAX_BYTES, 0])
+def test_lfm_loss_matches_brute_force(spark, monkeypatch, limit):
+    monkeypatch.setattr(BL, "BROADCAST_MAX_BYTES", limit)
     m = _toy_model(spark, link="sigmoid")
     m = FactorModel(m.user_factors.drop("bu"), m.item_factors.drop("bi"), 2, 0.0, None, "sigmoid")
     ratings = spark.createDataFrame([(1, 3, 1.0), (4, 5, 1.0), (8, 12, 1.0)], "user long, item long, rating double")
