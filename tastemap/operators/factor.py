@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.expr import block_of, dot, portable_init, sigmoid
 from ..session import cut_lineage, ship_package
 from .bias import BiasModel, bias_fit, bias_residuals
-from .blocks import block_product, block_product_np, broadcastable, build_blocks, collect_vectors
+from .blocks import block_product_np, broadcastable, build_blocks, collect_vectors
 from .linalg import (apply_matrix, cholesky_qr_apply, global_array_sum, grouped_array_sum,
                      join_factors, normal_equation_step, salted_by_key, solve_normal)
 from .prep import dense_index
