@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from ..operators import bias as B
 from ..operators import metrics as M
 from ..operators import serve as S
