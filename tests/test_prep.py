@@ -108,3 +108,18 @@ def test_explode_range_chunks_hot_rows(spark):
     assert got == {1: (250_003, 1, 250_003), 2: (3, 1, 3)}        # empty range: no rows
     assert out.groupBy("d", "user").count().where("count > 1").count() == 0
     assert out.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_split_invariants_property(spark):
+    from hypothesis import given, settings, strategies as st
+
+    @settings(max_examples=4, deadline=None)
+    @given(st.lists(st.tuples(st.integers(1, 6), st.integers(1, 40)), min_size=1, max_size=80, unique=True),
+           st.sampled_from([0.1, 0.25, 0.5]), st.integers(0, 9))
+    def check(pairs, frac, seed):
+        df = spark.createDataFrame([(u, i, 1.0) for u, i in pairs], "user long, item long, rating double")
+        s = T.split_per_group(df, frac, "user", seed).toPandas()
+        assert len(s) == len(pairs)                                   # train ∪ test = ratings, disjoint
+        for u, g in s.groupby("user"):
+            assert int(g.is_test.sum()) == int(round(frac * len(g)))  # Python round: half to even
+    check()
