@@ -60,10 +60,13 @@ def pooled_precision_recall(recs: DataFrame, test: DataFrame, threshold: float =
     r = recs.select("user", "item").distinct()
     users = r.select("user").distinct()
     rel = test.where(F.col("rating") > threshold).select("user", "item").distinct().join(users, "user", "left_semi")
-    hits = r.join(rel, ["user", "item"], "left_semi").agg(F.count(F.lit(1)).alias("hits"))
-    n_rec = r.agg(F.count(F.lit(1)).alias("n_recommended"))
-    n_rel = rel.agg(F.count(F.lit(1)).alias("n_relevant"))
-    out = hits.crossJoin(n_rec).crossJoin(n_rel)
+    one, zero = F.lit(1), F.lit(0)
+    tagged = (r.select(one.alias("_rec"), zero.alias("_rel"), zero.alias("_hit"))
+              .unionByName(rel.select(zero.alias("_rec"), one.alias("_rel"), zero.alias("_hit")))
+              .unionByName(r.join(rel, ["user", "item"], "left_semi")
+                           .select(zero.alias("_rec"), zero.alias("_rel"), one.alias("_hit"))))
+    out = tagged.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(a)
+                       for c, a in (("_hit", "hits"), ("_rec", "n_recommended"), ("_rel", "n_relevant"))])
     return out.select(
         "hits", "n_recommended", "n_relevant",
         F.when(F.col("n_recommended") > 0, F.col("hits") / F.col("n_recommended")).otherwise(0.0).alias("precision"),
@@ -72,9 +75,10 @@ def pooled_precision_recall(recs: DataFrame, test: DataFrame, threshold: float =
 
 def coverage(recs: DataFrame, all_items: DataFrame) -> DataFrame:
     """M6: distinct recommended items / all items."""
-    n_rec = recs.agg(F.countDistinct("item").alias("n_recommended_items"))
-    n_all = all_items.agg(F.countDistinct("item").alias("n_items"))
-    return n_rec.crossJoin(n_all).withColumn("coverage", F.col("n_recommended_items") / F.col("n_items"))
+    tagged = recs.select("item", F.lit(True).alias("_r")).unionByName(all_items.select("item", F.lit(False).alias("_r")))
+    out = tagged.agg(F.countDistinct(F.when(F.col("_r"), F.col("item"))).alias("n_recommended_items"),
+                     F.countDistinct(F.when(~F.col("_r"), F.col("item"))).alias("n_items"))
+    return out.withColumn("coverage", F.col("n_recommended_items") / F.col("n_items"))
 
 
 def mean_popularity(recs: DataFrame, train: DataFrame) -> DataFrame:
