@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
-from .common import table
+from . import html_text, linededup, mixing, neardup_vectors, packing, quality, simhash, topk, toxicity, urls
+from .common import held_out, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -21,3 +21,69 @@ def query(fn):
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), simhash.hex16("fp").alias("fingerprint"), "component_id")
+
+
+@query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("row.doc_id", "text", "n_lines", "n_dropped")
+
+
+ORACLE["op1_line_dedup"] = linededup.line_dedup_sql()
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity.toxicity_scores(docs.select("doc_id", "text"), toxicity.toxicity_fit(docs, labels))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract_main_text(table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text",
+                        F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality.quality_scores(docs.select("doc_id", "text", "n_chars"), quality.quality_fit(docs, labels))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_inner_products(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op6_topk"] = topk.top_products_sql()
+
+
+@query
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = urls.filter_urls(table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", "score")
+
+
+@query
+def op8_embedding_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup_vectors.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+    return found.withColumnRenamed("id", "vec_id")
+
+
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
+    return mixed.select("row.doc_id", "row.text", "row.lang", "row.source", "row.n_chars", "copy", "shuffle_key")
+
+
+ORACLE["op9_mixing"] = mixing.mixing_sql()
+
+
+@query
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
