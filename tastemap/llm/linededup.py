@@ -135,8 +135,8 @@ def line_dedup_sql(depth: int = DEPTH, similarity: float = SIMILARITY, min_docs:
 WITH docs AS (SELECT doc_id AS id, text, string_split(text, chr(10)) AS ls FROM {table}),
 uniq AS (SELECT DISTINCT id, text, ls FROM docs WHERE text IS NOT NULL),
 raw AS (SELECT id, text, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM uniq),
-toks AS (SELECT id, text, pos, list_transform(list_filter(regexp_split_to_array(line, '{spaces}'), t -> t <> ''),
-                t -> CASE WHEN regexp_matches(t, '[0-9]') THEN '{FIELD}' ELSE t END) AS w FROM raw),
+toks AS (SELECT id, text, pos, list_transform(list_filter(regexp_split_to_array(line, '{spaces}'), lambda t: t <> ''),
+                lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '{FIELD}' ELSE t END) AS w FROM raw),
 lines AS (SELECT id, text, pos, w, len(w) AS n, list_slice(w, 1, {depth}) AS lead FROM toks WHERE len(w) >= {depth}),
 uline AS (SELECT DISTINCT n, lead, w FROM lines),
 several AS (SELECT n, lead, count(*) AS m FROM uline GROUP BY n, lead HAVING count(*) > 1),
@@ -156,6 +156,6 @@ gone AS (SELECT t.id, t.text, list(t.pos) AS ps FROM templ t JOIN ranked k
          WHERE k.d >= {min_docs} AND k.r > 1 GROUP BY t.id, t.text)
 SELECT d.id AS doc_id,
        CASE WHEN g.ps IS NULL THEN d.text ELSE coalesce(array_to_string(list_transform(
-            list_filter(range(len(ls)), i -> NOT list_contains(g.ps, i)), i -> ls[i + 1]), chr(10)), '') END AS text,
+            list_filter(range(len(ls)), lambda i: NOT list_contains(g.ps, i)), lambda i: ls[i + 1]), chr(10)), '') END AS text,
        CAST(coalesce(len(ls), 0) AS INTEGER) AS n_lines, CAST(coalesce(len(g.ps), 0) AS INTEGER) AS n_dropped
 FROM docs d LEFT JOIN gone g ON d.id IS NOT DISTINCT FROM g.id AND d.text = g.text"""

@@ -134,7 +134,7 @@ steps(source, parts, mean, k, p, c) AS (
   SELECT source, parts, mean, k + 1, p * mean / (k + 1), c + p * mean / (k + 1) FROM steps WHERE k < {PART_TERMS}),
 cdf AS (SELECT source, any_value(parts) AS parts, list(c ORDER BY k) AS cdf FROM steps GROUP BY source),
 counted AS (
-  SELECT d.*, list_sum(list_transform(range(0, parts), j -> len(list_filter(cdf, c -> c <=
+  SELECT d.*, list_sum(list_transform(range(0, parts), lambda j: len(list_filter(cdf, lambda c: c <=
            CAST(('0x' || substr(md5(key || ':{seed}:' || j), 1, 8)) AS BIGINT) / 4294967296.0)))) AS n
   FROM docs d JOIN cdf ON d.source IS NOT DISTINCT FROM cdf.source),
 copies AS (SELECT *, unnest(range(1, CAST(n AS BIGINT) + 1)) AS copy FROM counted WHERE n > 0)

@@ -132,8 +132,11 @@ def _search(queries: DataFrame, blocks: DataFrame, turn: np.ndarray, k: int) ->
         return pa.table({"query_id": pa.array(q_ids[i]), "vec_id": pa.array(x_ids[j]), "score": pa.array(s)})
 
     keys = ["chunk", "block"]
-    return (queries.select(*keys, "vec_id", "v", "floor").groupBy(*keys)
-            .cogroup(blocks.select(*keys, "vec_id", "v").groupBy(*keys))
+
+    def own(df, *columns):            # columns of its own: both sides may stem from one table
+        return df.select(*[F.col(c).alias(c) for c in (*keys, "vec_id", "v", *columns)])
+
+    return (own(queries, "floor").groupBy(*keys).cogroup(own(blocks).groupBy(*keys))
             .applyInArrow(pair, "query_id long, vec_id long, score long"))
 
 
@@ -165,7 +168,7 @@ def top_inner_products(rows: DataFrame, id_col: str = "vec_id", vector_col: str
 
     # 1. a floor for every query from the block of the longest vectors
     top = blocks.filter(F.col("block") == F.lit(first_block))
-    every_chunk = F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).cast("int")
+    every_chunk = F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))
     seeds = _search(queries.withColumn("block", F.lit(first_block)).withColumn("floor", F.lit(float("-inf"))),
                     top.withColumn("chunk", every_chunk), turn, k)
     seeds = written(seeds, "top-seeds")
@@ -189,10 +192,10 @@ def top_inner_products(rows: DataFrame, id_col: str = "vec_id", vector_col: str
 
 def top_products_sql(k: int = K, query_step: int = QUERY_STEP, scale: int = SCALE, table: str = "embeddings") -> str:
     return f"""
-WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, x -> floor({scale} * CAST(x AS DOUBLE))) AS v
+WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE))) AS v
            FROM {table}
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
       FROM v q JOIN v c ON q.vec_id % {query_step} = 0 AND q.vec_id <> c.vec_id),
 r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,

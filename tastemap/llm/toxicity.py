@@ -20,9 +20,9 @@ from .samples import epochs_in_order, labelled_sample
 
 BITS = 20
 SAMPLE_ROWS = 12_000
-EPOCHS = 2
+EPOCHS = 4
 SEED = 11
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 1.5, 0.5
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 6.0, 0.02
 THRESHOLD = 0.5
 
 
