@@ -35,7 +35,7 @@ END_ID = 1
 CLASSES = 128
 ROUNDS = 400
 STEP = 24.0                       # weight step: exp(-STEP * covered share)
-BUCKET_ROWS = 100_000             # pieces of one length numbered by one window group
+BUCKET_ROWS = 1000                # pieces of one length numbered by one window group
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -232,16 +232,15 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY, classes: int = CLA
         raise ValueError("a piece is longer than a sequence")
     table = pattern_intervals(packing_patterns(histogram, capacity, classes, rounds))
     shared = broadcast_value(pieces, table)
-    buckets = max(1, math.ceil(max(histogram.values(), default=0) / BUCKET_ROWS))
-    numbered = pieces.withColumn("__bucket", F.pmod(F.xxhash64("__uid"), F.lit(buckets)))
-    before = (numbered.groupBy("length", "__bucket").agg(F.count("*").alias("__n"))
-              .withColumn("__before", F.sum("__n").over(
-                  Window.partitionBy("length").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)))
-              .select("length", "__bucket", F.coalesce("__before", F.lit(0)).alias("__before")))
-    if buckets == 1:
-        numbered = numbered.withColumn("__before", F.lit(0).cast("long"))
-    else:
-        numbered = numbered.join(before, ["length", "__bucket"])
+    # a length's pieces are numbered in groups of about BUCKET_ROWS, one after the other
+    groups = spark.createDataFrame([(n, math.ceil(c / BUCKET_ROWS)) for n, c in histogram.items()],
+                                   "length long, __groups long")
+    numbered = (pieces.join(F.broadcast(groups), "length")                              # at most capacity rows
+                .withColumn("__bucket", F.pmod(F.xxhash64("__uid"), F.col("__groups"))).drop("__groups"))
+    sizes = numbered.groupBy("length", "__bucket").agg(F.count("*").alias("__n"))
+    earlier = Window.partitionBy("length").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("length", "__bucket", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    numbered = numbered.join(before, ["length", "__bucket"])
     order = Window.partitionBy("length", "__bucket").orderBy("__uid")
     numbered = numbered.withColumn("__number", F.col("__before") + F.row_number().over(order) - 1)
 
@@ -257,7 +256,6 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY, classes: int = CLA
 
     kept = [c for c in pieces.columns if not c.startswith("__")]
     placed = numbered.withColumn("__place", place("length", "__number"))
-    del spark
     return placed.select(*kept, F.col("__place.sequence_id"), F.col("__place.offset"))
 
 
