@@ -17,7 +17,7 @@ side has one row a key).  The texts move once, to be rebuilt without the dropped
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import packed, written
@@ -26,31 +26,29 @@ DEPTH = 3
 SIMILARITY = 0.8
 MIN_DOCS = 2
 
+BROADCAST_LEAVES = 1_000_000      # rows of 16 bytes; more leaves are joined by a shuffle
+
 FIELD = "<*>"
 SPACES = " \t\r\x0b\x0c"          # white space inside a line
-# A token that holds a digit, found from its start (linear in the length of the line).
-VARIABLE = r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+"
 
 
 def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _masked(text: Column) -> Column:
-    """White space as single spaces, tokens with a digit as the variable field; lines stay."""
-    plain = F.translate(text, SPACES, " " * len(SPACES))
-    plain = F.regexp_replace(plain, " {2,}", " ")
-    spaced = F.regexp_replace(plain, r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+", FIELD)
-    return spaced
-
-
 def line_table(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(id, th, pos, line, n) of the lines with at least ``depth`` tokens; ``docs`` has
-    (id, th, text): th tells texts with one id apart."""
-    lines = docs.select("id", "th", F.posexplode(_lines(_masked(F.col("text")))).alias("pos", "line"))
-    lines = lines.withColumn("line", F.trim("line"))
-    return (lines.withColumn("n", F.length("line") - F.length(F.replace(F.col("line"), F.lit(" "), F.lit(""))) + 1)
-            .filter((F.col("line") != "") & (F.col("n") >= depth)))
+    (id, th, text): th tells texts with one id apart.  ``line`` has single spaces between
+    its tokens and the variable field for tokens with a digit."""
+    lines = docs.select("id", "th", F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
+    line = F.col("line")
+    lines = lines.withColumn("line", F.trim(
+        F.when(line.rlike(f"[{SPACES[1:]}]|  "), F.regexp_replace(line, f"[{SPACES}]+", " ")).otherwise(line)))
+    # a token is tried from its start only: linear in the length of the line
+    lines = lines.withColumn("line", F.when(line.rlike("[0-9]"), F.regexp_replace(
+        line, "(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", FIELD)).otherwise(line))
+    return (lines.withColumn("n", F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1)
+            .filter((line != "") & (F.col("n") >= depth)))
 
 
 def _keys(lines: DataFrame, depth: int) -> DataFrame:
@@ -63,20 +61,25 @@ def leaf_members(lines: DataFrame, keyed: DataFrame, depth: int, similarity: flo
     """(l1, l2, leaf) of the distinct lines that belong to their leaf's template, for leaves
     with several distinct lines."""
     distinct = keyed.groupBy("leaf", "l1", "l2").agg(F.lit(1).alias("one")).drop("one")
-    several = distinct.groupBy("leaf").agg(F.count("*").alias("lines")).filter("lines > 1")
+    several = written(distinct.groupBy("leaf").agg(F.count("*").alias("lines")).filter("lines > 1"), "leaves")
+    if several.count() <= BROADCAST_LEAVES:
+        several = F.broadcast(several)
     lead = F.substring_index("line", " ", depth)
     texts = (lines.withColumn("leaf", F.xxhash64("n", lead)).join(several, "leaf")
-             .groupBy("leaf", F.xxhash64("line").alias("l1"), F.xxhash64("line", F.lit(1)).alias("l2"))
-             .agg(F.first("line").alias("line"), F.first("lines").alias("lines")))
-    texts = written(texts, "leaf-lines")
-    tokens = texts.select("leaf", "lines", F.posexplode(F.split("line", " ")).alias("p", "token"))
-    constant = (tokens.groupBy("leaf", "p", "token").agg(F.count("*").alias("c"), F.first("lines").alias("lines"))
-                .filter(F.col("c") * 2 > F.col("lines")))
-    template = (constant.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("p", "token"))).alias("fixed")))
-    words = F.split("line", " ")
-    agree = F.size(F.filter("fixed", lambda f: words[f["p"]] == f["token"]))
-    return (texts.join(template, "leaf")
-            .filter(agree >= F.lit(similarity) * F.size(words)).select("l1", "l2", "leaf"))
+             .groupBy("leaf", "lines", F.xxhash64("line").alias("l1"), F.xxhash64("line", F.lit(1)).alias("l2"))
+             .agg(F.first("line").alias("line")))
+    texts = written(texts.select("leaf", "lines", "l1", "l2", F.split("line", " ").alias("words")), "leaf-lines")
+    tokens = texts.select("leaf", "lines", F.posexplode("words").alias("p", "token"))
+    most = (tokens.groupBy("leaf", "lines", "p", "token").agg(F.count("*").alias("c"))
+            .groupBy("leaf", "lines", "p").agg(F.max(F.struct("c", "token")).alias("top")))
+    constant = F.when(F.col("top.c") * 2 > F.col("lines"), F.col("top.token"))
+    template = (most.select("leaf", F.struct("p", constant.alias("token")).alias("field"))
+                .groupBy("leaf").agg(F.sort_array(F.collect_list("field")).alias("fields"))
+                .select("leaf", F.col("fields.token").alias("fixed")))
+    same = F.zip_with("words", "fixed", lambda w, f: w == f)
+    agree = F.size(F.filter(same, lambda x: x))
+    return (texts.join(template, "leaf").filter(agree >= F.lit(similarity) * F.size("words"))
+            .select("l1", "l2", "leaf"))
 
 
 def dropped_lines(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMILARITY,

@@ -32,9 +32,10 @@ from .tokens import encoder, vocabulary_path
 
 CAPACITY = 4096
 END_ID = 1
-CLASSES = 128
-ROUNDS = 400
-STEP = 24.0                       # weight step: exp(-STEP * covered share)
+CLASSES = 64
+ROUNDS = 2000
+GRID = 512                        # capacity units of the knapsack
+STEP = 40.0                       # weight step: exp(-STEP * covered share)
 BUCKET_ROWS = 1000                # pieces of one length numbered by one window group
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -105,16 +106,15 @@ def best_configuration(upper: np.ndarray, profit: np.ndarray, capacity: int) ->
     return counts
 
 
-def configuration_lp(upper: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = ROUNDS):
+def configuration_lp(size: np.ndarray, demand: np.ndarray, capacity: int, rounds: int, total: float):
     """[(counts per class, number of sequences)]: an approximate solution of the covering
-    program by multiplicative weights."""
-    total = float((upper * demand).sum()) / capacity
+    program by multiplicative weights; every round adds ``total / rounds`` sequences."""
     share = total / rounds
-    covered = np.zeros(len(upper))
+    covered = np.zeros(len(size))
     found: dict[tuple, float] = {}
     for _ in range(rounds):
         weight = np.exp(-STEP * (covered - covered.min()))
-        config = best_configuration(upper, weight / demand, capacity)
+        config = best_configuration(size, weight / demand, capacity)
         key = tuple(config.tolist())
         found[key] = found.get(key, 0.0) + share
         covered += share * config / demand
@@ -143,8 +143,8 @@ class _Stock:
 
 
 def _fill(stock: _Stock, wanted: list[int], capacity: int) -> dict[int, int]:
-    """One sequence: for each wanted upper length the largest length left below it, then
-    best fit into the gap."""
+    """One sequence: for each wanted upper length (descending) the largest length left that
+    leaves room for the smaller ones wanted, then best fit into the gap."""
     gap, pattern = capacity, {}
 
     def take(limit: int) -> int:
@@ -155,8 +155,11 @@ def _fill(stock: _Stock, wanted: list[int], capacity: int) -> dict[int, int]:
             limit = n - 1
         return 0
 
+    after = sum(wanted)
     for upper in wanted:
-        if n := take(min(upper, gap)):
+        after -= upper
+        # the last one closes the gap: slack of the others is not lost
+        if n := take(min(upper, gap) if after else gap):
             pattern[n] = pattern.get(n, 0) + 1
             gap -= n
     while gap > 0 and (n := take(gap)):
@@ -167,35 +170,37 @@ def _fill(stock: _Stock, wanted: list[int], capacity: int) -> dict[int, int]:
 
 
 def packing_patterns(histogram: dict[int, int], capacity: int = CAPACITY, classes: int = CLASSES,
-                     rounds: int = ROUNDS) -> list[tuple[dict[int, int], int]]:
+                     rounds: int = ROUNDS, grid: int = GRID) -> list[tuple[dict[int, int], int]]:
     """[({length: pieces per sequence}, number of sequences)] that use the histogram up."""
     if not histogram:
         return []
     lengths = np.array(sorted(histogram))
     counts = np.array([histogram[n] for n in lengths.tolist()], dtype=np.float64)
     cls = length_classes(lengths, counts, classes)
-    upper = np.array([lengths[cls == k].max() for k in range(cls.max() + 1)])
-    demand = np.array([counts[cls == k].sum() for k in range(cls.max() + 1)])
+    n_classes = cls.max() + 1
+    demand = np.bincount(cls, counts, n_classes)
+    upper = np.array([lengths[cls == k].max() for k in range(n_classes)])
+    mean = np.bincount(cls, counts * lengths, n_classes) / demand
+    unit = capacity / min(grid, capacity)
+    size = np.maximum(1, np.round(mean / unit)).astype(int)
+    configs = configuration_lp(size, demand, min(grid, capacity), rounds, float((counts * lengths).sum()) / capacity)
+    # configurations of large classes first: small pieces are kept to close gaps
+    configs.sort(key=lambda c: (-max(upper[c[0] > 0], default=0), -c[1]))
     stock, patterns = _Stock(histogram, capacity), []
 
     def emit(wanted: list[int], most: int) -> int:
         pattern = _fill(stock, wanted, capacity)
-        if not pattern:
-            return 0
         times = min(most, min(stock.left[n] // c for n, c in pattern.items()))
         for n, c in pattern.items():
             stock.left[n] -= c * times
         patterns.append((pattern, times))
         return times
 
-    configs = configuration_lp(upper, demand, capacity, rounds)
-    # configurations of large classes first: small pieces are kept to close gaps
-    configs.sort(key=lambda c: (-max(upper[c[0] > 0], default=0), -c[1]))
     for config, x in configs:
         wanted = np.repeat(upper, config)[::-1].tolist()
         todo = math.floor(x)
-        while todo > 0 and stock.largest(capacity) and wanted and (done := emit(wanted, todo)):
-            todo -= done
+        while todo > 0 and wanted and stock.largest(capacity):
+            todo -= emit(wanted, todo)
     while top := stock.largest(capacity):
         emit([top], max(stock.left))
     return patterns

@@ -172,7 +172,8 @@ _MODELS: dict = {}
 def quality_scores(docs: DataFrame, model: DataFrame, text_col: str = "text", chars_col: str = "n_chars",
                    out: str = "score", bits: int = BITS) -> DataFrame:
     """``docs`` with the probability of good quality of each text (null: as empty)."""
-    raw = bytes(model.first()["model"])            # fixed size: 2**bits * (1 + factors) floats
+    fitted = model.first()                         # fixed size: 2**bits * (1 + factors) floats
+    raw = bytes(fitted["model"]) if fitted else FactorisationMachine(bits).to_bytes()
     shared = broadcast_value(docs, raw)
     key = hash(raw)
 
