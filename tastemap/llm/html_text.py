@@ -25,6 +25,7 @@ BROADCAST_HOSTS = 100_000      # winners of at most this many hosts are broadcas
 PATHS_PER_HOST = 3
 MIN_SHARE = 0.05               # of a host's votes that a winning path needs
 SALT = 32
+CLIMB = 0.1
 
 # Fixed values of the HTML standard and of common page markup.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -195,8 +196,23 @@ def container_scores(containers: list[Container]) -> dict[str, float]:
 
 
 def best_path(containers: list[Container]) -> str | None:
+    """The path with the highest score; its parent instead, as long as the parent (below
+    body) holds text blocks of its own, ``CLIMB`` of the path's text or more: sections
+    of an article that also has paragraphs outside them."""
     scores = container_scores(containers)
-    return min(scores, key=lambda p: (-scores[p], p)) if scores else None
+    if not scores:
+        return None
+    best = min(scores, key=lambda p: (-scores[p], p))
+    direct: dict[str, int] = defaultdict(int)
+    for c in containers:
+        direct[c.path] += max(0, sum(len(t) for _, t in c.blocks) - 2 * c.linked)
+    parents = {c.path: c.parent for c in containers}
+    while (up := parents[best]) is not None and up.tag not in ("", "html", "body"):
+        below = sum(n for p, n in direct.items() if p == best or p.startswith(best + ">"))
+        if not direct[up.path] or direct[up.path] < CLIMB * below:
+            break
+        best = up.path
+    return best
 
 
 def text_under(containers: list[Container], path: str) -> str:

@@ -77,7 +77,7 @@ def gram_buckets(texts: list[str], order: int = ORDER, bits: int = BITS):
         if k:
             h = (h + data[at - k] + np.uint64(1)) * MIX_1
             h ^= h >> np.uint64(32)
-        tag = np.uint64(k + 1) * MIX_2
+        tag = np.uint64((k + 1) * int(MIX_2) & 0xFFFFFFFFFFFFFFFF)
         c = (h + tag) * MIX_3
         s = (h + tag + (symbol + np.uint64(1)) * MIX_1) * MIX_2
         contexts.append(((c ^ (c >> np.uint64(29))) * MIX_1 >> shift).astype(np.int64))
