@@ -5,11 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values of the portable factor initialisation (also used by the SQL oracles).
-INIT_ID_MULT = 7919
-INIT_FACTOR_MULT = 104729
-INIT_MODULUS = 10007
-
 TWO_POW_32 = 4294967296.0
 
 
@@ -27,12 +22,17 @@ def unit_draw(*parts) -> Column:
 
 
 def portable_init(id_col: Column, k: int, seed: int, scale: float = 1.0) -> Column:
-    """array<double> of k values in [-0.5, 0.5) * scale, a pure function of (id, f, seed)."""
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(k - 1)),
-        lambda f: ((((id_col * INIT_ID_MULT) + f * INIT_FACTOR_MULT + seed) % INIT_MODULUS)
-                   / F.lit(float(INIT_MODULUS)) - F.lit(0.5)) * F.lit(scale),
-    ) if k > 0 else F.array().cast("array<double>")
+    """array<double> of k normal values N(0, scale²), a pure function of (id, f, seed):
+    Box-Muller on the first two 32-bit words of md5('id:f:seed')."""
+    if k <= 0:
+        return F.array().cast("array<double>")
+
+    def one(f):
+        h = F.md5(F.concat_ws(":", id_col.cast("string"), f.cast("string"), F.lit(str(seed))))
+        u = (F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") + 1) / F.lit(TWO_POW_32)
+        v = F.conv(F.substring(h, 9, 8), 16, 10).cast("bigint") / F.lit(TWO_POW_32)
+        return F.sqrt(F.lit(-2.0) * F.log(u)) * F.cos(F.lit(2.0) * F.pi() * v) * F.lit(scale)
+    return F.transform(F.sequence(F.lit(0), F.lit(k - 1)), one)
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -46,12 +46,3 @@ def sigmoid(x: Column) -> Column:
 def block_of(col: Column | str, n: int) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-
-
-def outer_flat(a: Column) -> Column:
-    """Row-major flattening of a·aᵀ (k² values)."""
-    return F.flatten(F.transform(a, lambda x: F.transform(a, lambda y: x * y)))
-
-
-def scale_array(a: Column, s: Column) -> Column:
-    return F.transform(a, lambda x: x * s)

@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 from ..functions.expr import block_of, dot, portable_init, sigmoid
 from ..session import cut_lineage, ship_package
 from .bias import BiasModel, bias_fit, bias_residuals
-from .blocks import block_product_np, broadcastable, build_blocks, collect_vectors
-from .linalg import (apply_matrix, cholesky_qr_apply, global_array_sum, grouped_array_sum,
-                     join_factors, normal_equation_step, salted_by_key, solve_normal)
+from .blocks import block_product, build_blocks
+from .linalg import apply_matrix, cholesky_qr_apply, global_array_sum, solve_normal
 from .prep import dense_index
 from .serve import top_k_per_group
 
@@ -63,60 +62,51 @@ def factor_predict(model: FactorModel, pairs: DataFrame, score_col: str = "score
 # ================================================================== ALS
 
 def explicit_als(ratings: DataFrame, k: int = 20, reg: float = 0.001, n_iters: int = 30,
-                 seed: int = 1, init_scale: float = 0.2, use_bias: bool = False,
+                 seed: int = 1, init_scale: float = 0.1, use_bias: bool = False,
                  bias_model: BiasModel | None = None) -> FactorModel:
     """P9 explicit ALS: x_u = (Σ_i q_i q_iᵀ + reg·I)⁻¹ Σ_i r_ui q_i over observed
-    cells (reg not scaled by the count), alternating users and items.  P10
-    (``use_bias``): fitted on the bias residuals, the bias added back once.
-    Factor tables within the broadcast limit: blocked matrix + broadcast factors,
-    one distributed pass per half-step.  Beyond it: both sides salted by key
-    once; every half-step is a shuffle join, a partially aggregated Summarizer
-    sum and a batched numpy solve, checkpointed to cut the lineage."""
+    cells (reg not scaled by the count), alternating users and items from item factors
+    N(0, init_scale²).  P10 (``use_bias``): fitted on the bias residuals, the bias added
+    back once.  The ratings stay in key blocks; a half-step ships every factor row once
+    to each block that needs it, sums the normal equations there and solves them in
+    batches (``blocks.block_product``).  The lineage is cut once per iteration."""
     bias = None
     data = ratings.select("user", "item", "rating")
     if use_bias:
         bias = bias_model or bias_fit(ratings)
         data = bias_residuals(bias, ratings, "rating")
     data = cut_lineage(data)
-    items = data.select("item").distinct()
-    sizes = data.agg(F.countDistinct("user").alias("u"), F.countDistinct("item").alias("i")).first()
-    n_users, n_items = sizes["u"], sizes["i"]
-    q = items.select("item", portable_init(F.col("item"), k, seed, init_scale).alias("f"))
-    if broadcastable(max(n_users, n_items), k):
-        # Both factor tables pass the broadcast size check: the rating matrix is cut
-        # once into checkpointed blocks, and each half-step is one distributed pass
-        # over the blocks against the broadcast other side (numpy per block) followed
-        # by the batched solve.  The broadcast is the lineage cut between steps.
-        ub = build_blocks(data, "user", "item", "rating")
-        ib = build_blocks(data, "item", "user", "rating")
-        q_ids, q_mat = collect_vectors(q, "item", "f")
-        p = None
-        for it in range(n_iters):
-            p = solve_normal(block_product_np(ub, q_ids, q_mat, "normal"), "user", k, reg)
-            p_ids, p_mat = collect_vectors(p, "user", "f")
-            q = solve_normal(block_product_np(ib, p_ids, p_mat, "normal"), "item", k, reg)
-            if it < n_iters - 1:
-                q_ids, q_mat = collect_vectors(q, "item", "f")
-        p, q = cut_lineage(p), cut_lineage(q)
-    else:
-        # shuffle joins + partially aggregated sums, keys salted once; every
-        # half-step checkpointed
-        by_user = cut_lineage(salted_by_key(data, "user", "item"))
-        by_item = cut_lineage(salted_by_key(data, "item", "user"))
-        q = cut_lineage(q)
-        p = None
-        for _ in range(n_iters):
-            p = cut_lineage(normal_equation_step(by_user, "user", "item", "rating", q, n_items, k, reg))
-            q = cut_lineage(normal_equation_step(by_item, "item", "user", "rating", p, n_users, k, reg))
+    by_user = build_blocks(data, "user", "item", "rating")
+    by_item = build_blocks(data, "item", "user", "rating")
+    q = data.select("item").distinct().select("item", portable_init(F.col("item"), k, seed, init_scale).alias("f"))
+    p = None
+    for it in range(n_iters):
+        p = solve_normal(block_product(by_user, q, "item", "f", "normal"), "user", k, reg)
+        if it == n_iters - 1:
+            p = cut_lineage(p)            # returned as well as used
+        q = cut_lineage(solve_normal(block_product(by_item, p, "user", "f", "normal"), "item", k, reg))
+    by_user.release()
+    by_item.release()
     return FactorModel(p.select("user", F.col("f").alias("p")), q.select("item", F.col("f").alias("q")),
                        k, 0.0, bias, params=dict(k=k, reg=reg, n_iters=n_iters, seed=seed))
 
 
 def als_half_step(ratings: DataFrame, item_factors: DataFrame, k: int, reg: float) -> DataFrame:
     """One user half-step against given item factors (item, f): (user, f)."""
-    n_items = item_factors.count()
-    return normal_equation_step(ratings.select("user", "item", "rating"), "user", "item", "rating",
-                                item_factors, n_items, k, reg)
+    by_user = build_blocks(ratings.select("user", "item", "rating"), "user", "item", "rating")
+    return solve_normal(block_product(by_user, item_factors, "item", "f", "normal"), "user", k, reg)
+
+
+def normal_equation_residuals(model: FactorModel, ratings: DataFrame, reg: float) -> DataFrame:
+    """(item, residual): largest absolute residual of each item's normal equation
+    (Σ p pᵀ + reg·I) q = Σ r p at the returned factors, by joins and per-row sums."""
+    j = (ratings.select("user", "item", "rating").join(model.user_factors.select("user", "p"), "user")
+         .join(model.item_factors.select("item", "q"), "item"))
+    gap = dot(F.col("p"), F.col("q")) - F.col("rating")
+    terms = j.select("item", "q", F.posexplode(F.transform("p", lambda x: x * gap)).alias("f", "t"))
+    sums = terms.groupBy("item", "f").agg(F.sum("t").alias("t"), F.first("q").alias("q"))
+    return (sums.select("item", F.abs(F.col("t") + F.lit(reg) * F.col("q")[F.col("f")]).alias("r"))
+            .groupBy("item").agg(F.max("r").alias("residual")))
 
 
 def als_wr(ratings: DataFrame, k: int = 10, reg: float = 0.1, n_iters: int = 10, seed: int = 1) -> FactorModel:
@@ -142,39 +132,37 @@ def als_wr(ratings: DataFrame, k: int = 10, reg: float = 0.1, n_iters: int = 10,
 def truncated_svd(ratings: DataFrame, k: int = 10, n_iter: int = 4, oversample: int = 10,
                   seed: int = 0, use_bias: bool = True, bias_model: BiasModel | None = None) -> FactorModel:
     """SVD of the (bias-residual) rating matrix with missing cells = 0 by
-    randomised subspace iteration (Halko, Martinsson, Tropp 2011).  The matrix
-    stays a long table; each product is a join + per-key array sum; only l x l
-    Gramians reach the driver.  Scores are row·V·Vᵀ = (UΣ)_u · V_i (+ bias)."""
+    randomised subspace iteration (Halko, Martinsson, Tropp 2011) from a normal test
+    matrix.  The bases stay distributed: products run on the blocked matrix, columns are
+    orthonormalised by Cholesky-QR (twice at the end), and only l x l Gramians reach the
+    driver.  Scores are row·V·Vᵀ = (UΣ)_u · V_i (+ bias)."""
     bias = None
     a = ratings.select("user", "item", F.col("rating").alias("a"))
     if use_bias:
         bias = bias_model or bias_fit(ratings)
         a = bias_residuals(bias, ratings, "a")
     a = cut_lineage(a)
-    l = k + oversample
     sizes = a.agg(F.countDistinct("user").alias("u"), F.countDistinct("item").alias("i")).first()
-    n_users, n_items = sizes["u"], sizes["i"]
-    l = min(l, n_users, n_items)
+    l = min(k + oversample, sizes["u"], sizes["i"])
     k = min(k, l)
+    by_user = build_blocks(a, "user", "item", "a")
+    by_item = build_blocks(a, "item", "user", "a")
 
-    if broadcastable(max(n_users, n_items), l):
-        return _svd_broadcast(a, bias, k, l, n_iter, seed, oversample)
-
-    def times(vecs: DataFrame, on: str, key: str, n_rows: int) -> DataFrame:
-        j = join_factors(a, vecs, on, n_rows, l)
-        return grouped_array_sum(j, key, F.transform(F.col("v"), lambda x: x * F.col("a")), "v")
+    def times(matrix, vecs: DataFrame, on: str) -> DataFrame:
+        return cut_lineage(block_product(matrix, vecs, on, "v").withColumnRenamed("s", "v"))
 
-    def ortho(df: DataFrame, key: str, twice: bool = True) -> DataFrame:
-        df = cut_lineage(df)              # the product is computed once, read by the Gramians
-        df = cholesky_qr_apply(df, key, "v", l)
-        return cut_lineage(cholesky_qr_apply(df, key, "v", l) if twice else df)
+    def ortho(df: DataFrame, key: str) -> DataFrame:
+        return cholesky_qr_apply(df, key, "v", l)
 
     omega = a.select("item").distinct().select("item", portable_init(F.col("item"), l, seed).alias("v"))
-    qu = ortho(times(omega, "item", "user", n_items), "user")
+    y = times(by_user, omega, "item")
     for _ in range(n_iter):
-        qi = ortho(times(qu, "user", "item", n_users), "item", twice=False)
-        qu = ortho(times(qi, "item", "user", n_items), "user")
-    z = cut_lineage(times(qu, "user", "item", n_users))                 # rows of Bᵀ = Aᵀ Q
+        z = times(by_item, ortho(y, "user"), "user")
+        y = times(by_user, ortho(z, "item"), "item")
+    qu = cut_lineage(ortho(cut_lineage(ortho(y, "user")), "user"))
+    z = times(by_item, qu, "user")                                      # rows of Bᵀ = Aᵀ Q
+    by_user.release()
+    by_item.release()
     g = global_array_sum(z, F.flatten(F.transform(F.col("v"), lambda x: F.transform(F.col("v"), lambda y: x * y))))
     g = g.reshape(l, l)
     lam, w = np.linalg.eigh((g + g.T) / 2)
@@ -189,72 +177,32 @@ def truncated_svd(ratings: DataFrame, k: int = 10, n_iter: int = 4, oversample:
                                    singular_values=sig.tolist()))
 
 
-def _svd_broadcast(a: DataFrame, bias, k: int, l: int, n_iter: int, seed: int, oversample: int) -> FactorModel:
-    """Randomised SVD when the m x l and n x l bases pass the broadcast size
-    check: the sparse products run distributed over the blocked matrix, the thin
-    bases (already on the driver to be broadcast) are orthonormalised there."""
-    spark = a.sparkSession
-    ub = build_blocks(a, "user", "item", "a")
-    ib = build_blocks(a, "item", "user", "a")
-    omega = a.select("item").distinct().select("item", portable_init(F.col("item"), l, seed).alias("v"))
-    i_ids, om = collect_vectors(omega, "item", "v")
-
-    def product(bm, ids, mat, key):
-        return collect_vectors(block_product_np(bm, ids, mat, "sum"), key, "s")
-
-    def orth(mat):
-        qm, _ = np.linalg.qr(mat)
-        return qm
-
-    u_ids, y = product(ub, i_ids, om, "user")
-    qu = orth(y)
-    for _ in range(n_iter):
-        i_ids, z = product(ib, u_ids, qu, "item")
-        u_ids, y = product(ub, i_ids, orth(z), "user")
-        qu = orth(y)
-    i_ids, z = product(ib, u_ids, qu, "item")                  # rows of Bᵀ = Aᵀ Q
-    w_, sig, vt = np.linalg.svd(z.T, full_matrices=False)      # B = W Σ Vᵀ
-    w_, sig, vt = w_[:, :k], sig[:k], vt[:k]
-    user_f = qu @ w_ * sig[None, :]                            # U Σ
-    item_f = vt.T                                              # V
-    uf = spark.createDataFrame(pd.DataFrame({"user": u_ids.tolist(), "p": user_f.tolist()}), "user long, p array<double>")
-    itf = spark.createDataFrame(pd.DataFrame({"item": i_ids.tolist(), "q": item_f.tolist()}), "item long, q array<double>")
-    return FactorModel(cut_lineage(uf), cut_lineage(itf), k, 0.0, bias,
-                       params=dict(k=k, n_iter=n_iter, oversample=oversample, seed=seed,
-                                   singular_values=sig.tolist()))
-
-
 # ================================================================== top-N for factor models
 
 USERS_PER_CHUNK = 256
+USERS_PER_BLOCK = 50_000
 ITEMS_PER_BLOCK = 20_000
 
 
 def _topk_block(n: int, link: str, mu: float):
+    """Users (user, p, bu, n_u) against items (item, q, bi): per user the n + n_u best
+    items of the block and all that tie with the last of them."""
     def run(users: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
         if len(users) == 0 or len(items) == 0:
             return pd.DataFrame({"user": [], "item": [], "score": []})
+        items = items.sort_values("item", kind="stable")
         qmat = np.stack(items["q"].to_numpy())
-        bi = items["bi"].to_numpy(dtype=np.float64)
-        iid = items["item"].to_numpy()
-        order = np.argsort(iid, kind="stable")
-        qmat, bi, iid = qmat[order], bi[order], iid[order]
+        bi, iid = items["bi"].to_numpy(dtype=np.float64), items["item"].to_numpy()
         out = []
         for s in range(0, len(users), USERS_PER_CHUNK):
             ch = users.iloc[s:s + USERS_PER_CHUNK]
-            pmat = np.stack(ch["p"].to_numpy())
-            sc = pmat @ qmat.T + bi[None, :] + ch["bu"].to_numpy(dtype=np.float64)[:, None] + mu
-            keep = np.minimum(n + ch["n_u"].to_numpy(), len(iid))
-            for r in range(len(ch)):
-                kk = int(keep[r])
-                row = sc[r]
-                if kk < len(row):
-                    idx = np.argpartition(-row, kk - 1)[:kk]
-                    thr = row[idx].min()
-                    idx = np.nonzero(row >= thr)[0]      # keep ties at the boundary
-                else:
-                    idx = np.arange(len(row))
-                out.append(pd.DataFrame({"user": ch["user"].iat[r], "item": iid[idx], "score": row[idx]}))
+            sc = (np.stack(ch["p"].to_numpy()) @ qmat.T + bi[None, :]
+                  + ch["bu"].to_numpy(dtype=np.float64)[:, None] + mu)
+            keep = np.minimum(n + ch["n_u"].to_numpy(dtype=np.int64), len(iid))
+            most = int(keep.max())
+            best = -np.sort(np.partition(-sc, most - 1, axis=1)[:, :most], axis=1)
+            row, col = np.nonzero(sc >= best[np.arange(len(ch)), keep - 1][:, None])
+            out.append(pd.DataFrame({"user": ch["user"].to_numpy()[row], "item": iid[col], "score": sc[row, col]}))
         res = pd.concat(out, ignore_index=True)
         if link == "sigmoid":
             res["score"] = 1.0 / (1.0 + np.exp(-res["score"]))
@@ -264,13 +212,12 @@ def _topk_block(n: int, link: str, mu: float):
 
 def factor_top_n(model: FactorModel, ratings: DataFrame, n: int, exclude_rated: bool = True) -> DataFrame:
     """Top-n unrated items per user for a dot-product model without emitting the
-    users x items grid: each task scores a block of users against items in numpy
-    and emits at most n + n_u rows per user (n_u = the user's rated count, so the
-    rated items can be removed after).  Items are broadcast when their table
-    passes the size check, else replicated over user blocks by a cogroup."""
+    users x items grid: users in U blocks meet items in B blocks (item rows are
+    replicated U times, user rows B times), each task scores its pair of blocks in numpy
+    and emits at most n + n_u rows per user (n_u = the user's rated count, so the rated
+    items can be removed after)."""
     spark = ratings.sparkSession
     ship_package(spark)
-    par = spark.sparkContext.defaultParallelism
     uf = model.user_factors
     itf = model.item_factors
     if model.bias is not None:
@@ -284,46 +231,22 @@ def factor_top_n(model: FactorModel, ratings: DataFrame, n: int, exclude_rated:
     rated = ratings.select("user", "item").distinct()
     n_u = rated.groupBy("user").agg(F.count(F.lit(1)).alias("n_u"))
     uf = uf.join(n_u, "user", "left").fillna(0, ["n_u"]) if exclude_rated else uf.withColumn("n_u", F.lit(0))
-    n_items = itf.count()
-    if broadcastable(n_items, model.k + 1):
-        cand = _top_with_broadcast_items(spark, uf, itf, n, model.link, mu)
-    else:
-        cand = _top_with_replicated_items(uf, itf, n, model.link, mu, par, n_items)
+    cand = grid_blocks(uf.select("user", "p", F.coalesce("bu", F.lit(0.0)).alias("bu"), "n_u"),
+                       itf.select("item", "q", F.coalesce("bi", F.lit(0.0)).alias("bi")),
+                       _topk_block(n, model.link, mu), "user long, item long, score double")
     if exclude_rated:
         cand = cand.join(rated, ["user", "item"], "left_anti")
     return top_k_per_group(cand, ["user"], [F.col("score").desc(), F.col("item").asc()], n).select(
         "user", "rank", "item", "score")
 
 
-def _top_with_broadcast_items(spark, uf: DataFrame, itf: DataFrame, n: int, link: str, mu: float) -> DataFrame:
-    """Item factors within the broadcast limit: every user partition scores its
-    users against the broadcast item matrix, emitting n + n_u rows per user."""
-    pdf = itf.select("item", "q", F.coalesce("bi", F.lit(0.0)).alias("bi")).toPandas()
-    bc = spark.sparkContext.broadcast(pdf)
-    block = _topk_block(n, link, mu)
-
-    def run(it):
-        items = bc.value
-        for users in it:
-            if len(users):
-                yield block(users, items)
-
-    users = uf.select("user", "p", F.coalesce("bu", F.lit(0.0)).alias("bu"), "n_u")
-    return users.mapInPandas(run, "user long, item long, score double")
-
-
-def _top_with_replicated_items(uf: DataFrame, itf: DataFrame, n: int, link: str, mu: float, par: int,
-                               n_items: int) -> DataFrame:
-    """Item factors beyond the broadcast limit: users in U blocks x items in B
-    blocks; item rows are replicated U times, user rows B times."""
-    n_users = uf.count()
-    nb = max(1, math.ceil(n_items / ITEMS_PER_BLOCK))
-    nu = max(2 * par, math.ceil(n_users / 50_000))
-    ur = (uf.select("user", "p", F.coalesce("bu", F.lit(0.0)).alias("bu"), "n_u")
-          .withColumn("ub", block_of("user", nu))
+def grid_blocks(users: DataFrame, items: DataFrame, block, schema: str) -> DataFrame:
+    """``block(users, items)`` for every pair of a user block and an item block."""
+    par = users.sparkSession.sparkContext.defaultParallelism
+    nu = max(2 * par, math.ceil(users.count() / USERS_PER_BLOCK))
+    nb = max(1, math.ceil(items.count() / ITEMS_PER_BLOCK))
+    ur = (users.withColumn("ub", block_of("user", nu))
           .withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))))
-    ir = (itf.select("item", "q", F.coalesce("bi", F.lit(0.0)).alias("bi"))
-          .withColumn("ib", block_of("item", nb))
+    ir = (items.withColumn("ib", block_of("item", nb))
           .withColumn("ub", F.explode(F.sequence(F.lit(0), F.lit(nu - 1)))))
-    return (ur.groupBy("ub", "ib").cogroup(ir.groupBy("ub", "ib"))
-            .applyInPandas(_topk_block(n, link, mu), "user long, item long, score double"))
+    return ur.groupBy("ub", "ib").cogroup(ir.groupBy("ub", "ib")).applyInPandas(block, schema)

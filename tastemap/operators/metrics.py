@@ -40,7 +40,7 @@ def precision_recall_at_k(pred: DataFrame, k: int | None = 10, threshold: float
         assert_unique_pairs(pred)
     rec = pred.where(_valid(score_col) & (F.col(score_col) > threshold))
     if k is not None:
-        w = Window.partitionBy("user").orderBy(F.round(score_col, 6).desc(), F.col("item"))
+        w = Window.partitionBy("user").orderBy(F.col(score_col).desc(), F.col("item"))
         rec = rec.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k)
     flags = pred.select("user", "item", (F.col(actual_col) > threshold).alias("_rel")).join(
         rec.select("user", "item", F.lit(True).alias("_rec")), ["user", "item"], "left")
@@ -93,3 +93,12 @@ def fit_error(predict, ratings: DataFrame) -> DataFrame:
     """M8: RMSE / MAE of a fitted model on its observed training cells;
     ``predict(pairs)`` returns the pairs with a ``score`` column."""
     return rmse_mae(predict(ratings.select("user", "item", "rating")))
+
+
+def summary(df: DataFrame, column: str) -> DataFrame:
+    """Count, mean, sample deviation, extremes and quartiles (exact) of one column."""
+    q = F.percentile(column, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    return (df.agg(F.count(column).alias("n"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"),
+                   F.min(column).alias("min"), F.max(column).alias("max"), q.alias("_q"))
+            .select("n", "mean", "std", "min", F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("q50"),
+                    F.col("_q")[2].alias("q75"), "max"))

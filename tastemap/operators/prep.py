@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -209,11 +211,12 @@ def split_global(ratings: DataFrame, frac: float = 0.1, seed: int = 1) -> DataFr
             hstar, need2 = hv, need - cum
             break
         cum += c
+    # only the rows with the boundary draw (about one in 2^32) are ranked
     w = Window.partitionBy("_h").orderBy("user", "item")
-    tie_rank = F.when(F.col("_h") == hstar, F.row_number().over(w))
-    return (d.withColumn("_tr", tie_rank)
-            .withColumn("is_test", (F.col("_h") < hstar) | ((F.col("_h") == hstar) & (F.col("_tr") <= need2)))
-            .drop("_h", "_tr"))
+    ties = (d.where(F.col("_h") == hstar).withColumn("_tr", F.row_number().over(w))
+            .withColumn("is_test", F.col("_tr") <= need2).drop("_tr"))
+    rest = d.where(F.col("_h") != hstar).withColumn("is_test", F.col("_h") < hstar)
+    return rest.unionByName(ties).drop("_h")
 
 
 def split_bernoulli(ratings: DataFrame, pivot: float = 0.8, seed: int = 1) -> DataFrame:
@@ -248,25 +251,40 @@ def minibatch_ids(df: DataFrame, order_cols: list[str], batch_size: int = -1) ->
 
 # ---------------------------------------------------------------- T13
 
+@dataclass
+class SamplingTables:
+    index: DataFrame        # (item, item_pos)
+    n_items: int
+    per_user: DataFrame     # (user, n)
+    most: int               # largest n
+
+
+def sampling_tables(pos: DataFrame, items: DataFrame | None = None) -> SamplingTables:
+    """What negative sampling needs beside the positives; make it once for many draws."""
+    if items is None:
+        items = pos.select("item").distinct()
+    idx = dense_index(items.select("item"), "item", "item_pos")
+    per_user = cut_lineage(pos.groupBy("user").agg(F.count(F.lit(1)).alias("n")))
+    return SamplingTables(idx, (idx.agg(F.max("item_pos")).first()[0] or 0) + 1, per_user,
+                          per_user.agg(F.max("n")).first()[0] or 0)
+
+
 def negative_samples(ratings: DataFrame, items: DataFrame | None = None, seed: int = 1,
-                     draws_per_positive: int = 5, ratio: float = 1.0, limit: int = GROUP_ROWS) -> DataFrame:
+                     draws_per_positive: int = 5, ratio: float = 1.0, limit: int = GROUP_ROWS,
+                     tables: SamplingTables | None = None) -> DataFrame:
     """Per user, 5·n uniform item draws (md5 of user:draw:seed modulo the item
     count), known items skipped, first occurrence kept, at most ratio·n negatives.
     Returns positives (label 1) and negatives (label 0)."""
     pos = ratings.select("user", "item").distinct()
-    if items is None:
-        items = pos.select("item").distinct()
-    idx = dense_index(items.select("item"), "item", "item_pos")
-    n_items = idx.agg(F.max("item_pos")).first()[0] + 1
-    per_user = pos.groupBy("user").agg(F.count(F.lit(1)).alias("n"))
-    draws = explode_range(per_user.select("user", "n"), ["user"], F.lit(1), F.col("n") * draws_per_positive, "d")
-    draws = draws.withColumn("item_pos", F.pmod(md5_draw(F.col("user"), F.col("d"), F.lit(seed)), F.lit(n_items)))
-    cand = draws.join(idx, "item_pos").join(pos, ["user", "item"], "left_anti")
+    t = tables or sampling_tables(pos, items)
+    draws = explode_range(t.per_user.select("user", "n"), ["user"], F.lit(1), F.col("n") * draws_per_positive, "d")
+    draws = draws.withColumn("item_pos", F.pmod(md5_draw(F.col("user"), F.col("d"), F.lit(seed)), F.lit(t.n_items)))
+    cand = draws.join(t.index, "item_pos").join(pos, ["user", "item"], "left_anti")
     first = cand.groupBy("user", "item").agg(F.min("d").alias("d"), F.first("n").alias("n"))
     first = first.withColumn("d", F.col("d").cast("long"))
-    bound = draws_per_positive * (per_user.agg(F.max("n")).first()[0] or 0)   # group size <= 5 n_u
     sel = smallest_k_per_group(first, ["user"], "d", lambda _n: F.floor(F.col("n") * F.lit(ratio)),
-                               ["item"], ["user", "item"], 48, limit, "_keep", max_group_rows=bound)
+                               ["item"], ["user", "item"], 48, limit, "_keep",
+                               max_group_rows=draws_per_positive * t.most)          # group size <= 5 n_u
     neg = sel.where(F.col("_keep")).select("user", "item", F.lit(0).alias("label"))
     return pos.select("user", "item", F.lit(1).alias("label")).unionByName(neg)
 

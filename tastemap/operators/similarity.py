@@ -33,10 +33,6 @@ def item_similarity(ratings: DataFrame, min_sim: float | None = None,
     return prod.select(F.col("a").alias("i"), F.col("b").alias("j"), F.col("xy").alias("sim"))
 
 
-def item_norms(ratings: DataFrame) -> DataFrame:
-    return _normalized(ratings, "item").select("item", "norm").distinct()
-
-
 def user_similarity(ratings: DataFrame, min_sim: float | None = None) -> DataFrame:
     """(u, v, sim) on per-user demeaned and normalised rating rows."""
     x = _normalized(ratings, "user")

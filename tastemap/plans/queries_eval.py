@@ -5,11 +5,13 @@ from __future__ import annotations
 from ..operators import bias as B
 from ..operators import metrics as M
 from ..operators import serve as S
-from ..operators.knn import item_knn_predict, item_knn_recommend, user_knn_predict
+from ..operators.knn import item_knn_predict, item_knn_recommend, user_knn_predict, user_knn_recommend
+from ..operators.serve import attach_metadata
 from ..session import cut_lineage
+from ..sources.tables import items_meta
 from .common import R_CTE, SPLIT_CTE, bias_ctes, finish, ratings, split
 from .queries import TOP_N, register
-from .queries_knn import ITEM_KNN, USER_KNN, _knn_sql, item_sim_cte
+from .queries_knn import ITEM_KNN, USER_KNN, _knn_sql, item_sim_cte, user_sim_cte
 
 REL = 2.5  # relevance threshold used by the registered metric queries
 
@@ -68,7 +70,7 @@ def rmse_mae_filled(spark, sf):
 
 @register("prec_recall_at_k", f"""{_BIAS_TEST},
 REC AS (SELECT "user", item FROM (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY round(score, 6) DESC, item) AS rk
-        FROM P WHERE score > {REL}) WHERE rk <= 10),
+        FROM P WHERE round(score, 6) > {REL}) WHERE rk <= 10),
 FL AS (SELECT P."user", P.rating > {REL} AS rel, REC.item IS NOT NULL AS rec FROM P LEFT JOIN REC USING ("user", item)),
 AG AS (SELECT "user", sum(CASE WHEN rel THEN 1 ELSE 0 END) AS n_rel, sum(CASE WHEN rec THEN 1 ELSE 0 END) AS n_rec,
               sum(CASE WHEN rel AND rec THEN 1 ELSE 0 END) AS n_hit FROM FL GROUP BY "user")
@@ -78,7 +80,7 @@ SELECT "user",
 def prec_recall_at_k(spark, sf):
     """M3 per user, k = 10, relevance threshold 2.5, bias scores of the test pairs."""
     _, _, pred = _bias_test(spark, sf)
-    return finish(M.precision_recall_at_k(pred, 10, REL))
+    return finish(M.precision_recall_at_k(finish(pred), 10, REL))
 
 
 @register("pooled_precision_recall", f"""{_BIAS_RECS}, {_POOLED}
@@ -143,7 +145,27 @@ def recommend_all(spark, sf):
     """Item-kNN (sim > 0.1, up to 20 neighbours) top-10 unrated for every user,
     candidates reached through similarities only."""
     train, _ = split(spark, sf)
-    return finish(item_knn_recommend(train, TOP_N, ITEM_KNN))
+    return finish(item_knn_recommend(train, TOP_N, ITEM_KNN, score_digits=6))
+
+
+_USER_RECS = f"""WITH {R_CTE}, {SPLIT_CTE}, {user_sim_cte('TR')},
+SIMT AS (SELECT * FROM USIM WHERE round(sim, 9) > 0.1 AND u <> v),
+C AS (SELECT SIMT.u, TR.item AS t, SIMT.v AS nb, TR.rating AS r, SIMT.sim FROM SIMT JOIN TR ON TR."user" = SIMT.v),
+C2 AS (SELECT * FROM C WHERE NOT EXISTS (SELECT 1 FROM TR WHERE TR."user" = C.u AND TR.item = C.t)),
+K AS (SELECT *, row_number() OVER (PARTITION BY u, t ORDER BY round(sim, 9) DESC, nb) AS rk FROM C2),
+A AS (SELECT u, t, count(*) AS n, sum(r * sim) AS num, sum(sim) AS den FROM K WHERE rk <= 20 GROUP BY u, t),
+SC AS (SELECT u, t, round(num / den, 6) AS score FROM A WHERE n >= 2 AND den > 0),
+TK AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY score DESC, t) AS rank FROM SC)"""
+
+
+@register("recommend_all_user", f"""{_USER_RECS}
+SELECT u AS "user", CAST(rank AS INTEGER) AS rank, t AS item, score, p_name
+FROM TK LEFT JOIN part ON p_partkey = t WHERE rank <= {TOP_N}""")
+def recommend_all_user(spark, sf):
+    """R7 + R5: user-kNN top-10 unrated for every user with part names."""
+    train, _ = split(spark, sf)
+    recs = user_knn_recommend(train, TOP_N, USER_KNN, score_digits=6)
+    return finish(attach_metadata(recs, items_meta(spark, sf).select("item", "p_name")))
 
 
 @register("eval_recommender", f"""{_ITEM_RECS},
@@ -155,7 +177,7 @@ FROM H, NR, NL""")
 def eval_recommender(spark, sf):
     """Precision, recall (threshold 2.5) and coverage of the item-kNN top-10."""
     train, test = split(spark, sf)
-    recs = cut_lineage(item_knn_recommend(train, TOP_N, ITEM_KNN))    # read by two metrics
+    recs = cut_lineage(item_knn_recommend(train, TOP_N, ITEM_KNN, score_digits=6))    # read by two metrics
     pr = M.pooled_precision_recall(recs, test, REL)
     cov = M.coverage(recs, train)
     return finish(pr.crossJoin(cov))

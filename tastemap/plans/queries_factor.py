@@ -6,24 +6,36 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import portable_init, unit_draw
 from ..operators.factor import (als_half_step, als_wr, explicit_als, factor_predict, factor_top_n,
-                                truncated_svd)
+                                normal_equation_residuals, truncated_svd)
 from ..operators.fm_ctr import fm_fit, fm_predict, gbdt_lr_fit
-from ..operators.sgd import funk_svd, lfm, lfm_loss
-from ..sources.tables import read_table
+from ..operators.metrics import rmse_mae
+from ..operators.serve import attach_metadata
+from ..operators.sgd import funk_svd, initial_model, lfm, lfm_loss
+from ..sources.tables import items_meta, read_table
 from .common import R_CTE, SPLIT_CTE, bias_ctes, finish, ratings, split
 from .queries import TOP_N, register
 
 ALS_REG = 0.1
-INIT_SCALE = 0.2
+INIT_SCALE = 0.1
 
 
-def _init_sql(id_expr: str, f: int, seed: int = 1, scale: float = INIT_SCALE) -> str:
-    return (f"((({id_expr} * 7919 + {f} * 104729 + {seed}) % 10007) / CAST(10007 AS DOUBLE) "
-            f"- CAST(0.5 AS DOUBLE)) * CAST({scale} AS DOUBLE)")
+def _init_sql(id_expr: str, f, seed: int = 1, scale: float = INIT_SCALE) -> str:
+    """The same normal value as functions.expr.portable_init."""
+    h = f"md5({id_expr} || ':{f}:{seed}')" if isinstance(f, int) else f"md5({id_expr} || ':' || {f} || ':{seed}')"
+    word = lambda at: f"CAST(('0x' || substr({h}, {at}, 8)) AS BIGINT)"
+    return (f"(sqrt(-2.0 * ln(({word(1)} + 1) / CAST(4294967296 AS DOUBLE)))"
+            f" * cos(2.0 * pi() * ({word(9)} / CAST(4294967296 AS DOUBLE))) * CAST({scale} AS DOUBLE))")
+
+
+def _vectors_sql(src: str, k: int, scale: float) -> str:
+    """P("user", p) and Q(item, q): the untrained factors of all users and items."""
+    vec = lambda col, seed: f"list_transform(range({k}), lambda f: {_init_sql(col, 'f', seed, scale)})"
+    return f"""P AS MATERIALIZED (SELECT "user", {vec('"user"', 1)} AS p FROM (SELECT DISTINCT "user" FROM {src})),
+Q AS MATERIALIZED (SELECT item, {vec('item', 8)} AS q FROM (SELECT DISTINCT item FROM {src}))"""
 
 
 def _als_k1_ctes(src: str) -> str:
-    return f"""Q0 AS (SELECT DISTINCT item, {_init_sql('item', 0)} AS q FROM {src}),
+    return f"""Q0 AS MATERIALIZED (SELECT item, {_init_sql('item', 0)} AS q FROM (SELECT DISTINCT item FROM {src})),
 P1 AS (SELECT "user", sum(q * rating) / (sum(q * q) + {ALS_REG}) AS p FROM {src} JOIN Q0 USING (item) GROUP BY "user"),
 Q1 AS (SELECT item, sum(p * rating) / (sum(p * p) + {ALS_REG}) AS q FROM {src} JOIN P1 USING ("user") GROUP BY item),
 P2 AS (SELECT "user", sum(q * rating) / (sum(q * q) + {ALS_REG}) AS p FROM {src} JOIN Q1 USING (item) GROUP BY "user"),
@@ -31,7 +43,7 @@ Q2 AS (SELECT item, sum(p * rating) / (sum(p * p) + {ALS_REG}) AS q FROM {src} J
 
 
 @register("als_half_step", f"""WITH {R_CTE},
-Q0 AS (SELECT DISTINCT item, {_init_sql('item', 0)} AS q0, {_init_sql('item', 1)} AS q1 FROM R),
+Q0 AS MATERIALIZED (SELECT item, {_init_sql('item', 0)} AS q0, {_init_sql('item', 1)} AS q1 FROM (SELECT DISTINCT item FROM R)),
 S AS (SELECT "user", sum(q0 * q0) + {ALS_REG} AS a, sum(q0 * q1) AS b, sum(q1 * q1) + {ALS_REG} AS d,
              sum(q0 * rating) AS e, sum(q1 * rating) AS f FROM R JOIN Q0 USING (item) GROUP BY "user")
 SELECT "user", round((d * e - b * f) / (a * d - b * b), 6) AS f0, round((a * f - b * e) / (a * d - b * b), 6) AS f1
@@ -70,58 +82,146 @@ def als_biased_k1(spark, sf):
     return finish(factor_predict(m, test))
 
 
-# ------------------------------------------------------------------ rows-only (iterative / MLlib)
+# ------------------------------------------------------------------ untrained factors (same numbers in SQL)
 
-@register("als")
-def als_q(spark, sf):
-    """P9 + P18: explicit ALS k = 8, 5 iterations; held-out scores."""
+START_K = 10
+
+
+@register("factor_scores", f"""WITH {R_CTE}, {SPLIT_CTE}, {_vectors_sql('TR', START_K, 1.0)}
+SELECT TE."user", TE.item, TE.rating, round(list_inner_product(p, q), 6) AS score
+FROM TE LEFT JOIN P USING ("user") LEFT JOIN Q USING (item)""")
+def factor_scores(spark, sf):
+    """p·q of the held-out pairs for known factors (the md5-drawn start, k = 10)."""
     train, test = split(spark, sf)
-    m = explicit_als(train, k=8, reg=ALS_REG, n_iters=5, seed=1)
-    return finish(factor_predict(m, test))
+    return finish(factor_predict(initial_model(train, START_K), test))
+
+
+@register("factor_topn", f"""WITH {R_CTE}, {_vectors_sql('R', START_K, 1.0)},
+G AS (SELECT "user", item, list_inner_product(p, q) AS score FROM P CROSS JOIN Q),
+K AS (SELECT G.*, row_number() OVER (PARTITION BY G."user" ORDER BY score DESC, item) AS rk FROM G ANTI JOIN R USING ("user", item))
+SELECT "user", CAST(rk AS INTEGER) AS rank, K.item, round(score, 6) AS score, p_name
+FROM K LEFT JOIN part ON p_partkey = K.item WHERE rk <= {TOP_N}""")
+def factor_topn(spark, sf):
+    """R7 + R5 for factor models: top-10 unrated items of every user with names, known factors."""
+    r = ratings(spark, sf)
+    recs = factor_top_n(initial_model(r, START_K), r, TOP_N)
+    return finish(attach_metadata(recs, items_meta(spark, sf).select("item", "p_name")))
+
+
+@register("lfm_loss_known", f"""WITH {R_CTE}, {_vectors_sql('R', START_K, 0.3)},
+G AS (SELECT "user", item, 1.0 / (1.0 + exp(-list_inner_product(p, q))) AS s FROM P CROSS JOIN Q),
+E AS (SELECT sum((CASE WHEN R.item IS NULL THEN 0 ELSE 1 END - s) * (CASE WHEN R.item IS NULL THEN 0 ELSE 1 END - s)) AS e
+      FROM G LEFT JOIN R USING ("user", item)),
+N AS (SELECT (SELECT sum(list_inner_product(p, p)) FROM P) + (SELECT sum(list_inner_product(q, q)) FROM Q) AS n)
+SELECT round(e + CAST(0.1 AS DOUBLE) * n, 4) AS loss FROM E, N""")
+def lfm_loss_known(spark, sf):
+    """Full-grid loss of known factors."""
+    r = ratings(spark, sf)
+    return finish(lfm_loss(initial_model(r, START_K, scale=0.3, link="sigmoid"), r, 0.1).select("loss"), 4)
+
+
+STEP_LR, STEP_REG = 0.05, 0.02
+
+
+@register("funksvd_step", f"""WITH {R_CTE},
+A AS (SELECT "user", min(item) AS item FROM R GROUP BY "user"),
+ONE AS (SELECT min("user") AS "user", item FROM A GROUP BY item),
+D AS (SELECT "user", item, rating FROM ONE JOIN R USING ("user", item)),
+MU AS (SELECT avg(rating) AS mu FROM D), {_vectors_sql('D', 4, 0.1)},
+E AS (SELECT "user", item, p, q, rating - mu - list_inner_product(p, q) AS e
+      FROM D JOIN P USING ("user") JOIN Q USING (item) CROSS JOIN MU)
+SELECT 'user' AS side, "user" AS id, round({STEP_LR} * e, 6) AS b,
+       round(p[1] + {STEP_LR} * (e * q[1] - {STEP_REG} * p[1]), 6) AS f0,
+       round(p[4] + {STEP_LR} * (e * q[4] - {STEP_REG} * p[4]), 6) AS f3 FROM E
+UNION ALL
+SELECT 'item', item, round({STEP_LR} * e, 6), round(q[1] + {STEP_LR} * (e * p[1] - {STEP_REG} * q[1]), 6),
+       round(q[4] + {STEP_LR} * (e * p[4] - {STEP_REG} * q[4]), 6) FROM E""")
+def funksvd_step(spark, sf):
+    """One SGD step on ratings that share no user and no item (each user's smallest
+    item, each such item's smallest user), over all blocks and strata."""
+    r = ratings(spark, sf)
+    one = (r.groupBy("user").agg(F.min("item").alias("item")).groupBy("item").agg(F.min("user").alias("user")))
+    m = funk_svd(r.join(one, ["user", "item"]), n_epochs=1, n_factors=4, learning_rate=STEP_LR, reg=STEP_REG)
+    u = m.user_factors.select(F.lit("user").alias("side"), F.col("user").alias("id"), F.col("bu").alias("b"),
+                              F.col("p")[0].alias("f0"), F.col("p")[3].alias("f3"))
+    i = m.item_factors.select(F.lit("item").alias("side"), F.col("item").alias("id"), F.col("bi").alias("b"),
+                              F.col("q")[0].alias("f0"), F.col("q")[3].alias("f3"))
+    return finish(u.unionByName(i))
+
+
+# ------------------------------------------------------------------ fitted at the usual sizes
+
+@register("als", f"""WITH {R_CTE}, {SPLIT_CTE}
+SELECT DISTINCT item, TRUE AS solved FROM TR""")
+def als_q(spark, sf):
+    """Explicit ALS, 20 factors, 30 iterations, on the training split.  Every item's
+    normal equation holds at the returned factors (checked by joins and sums, not by the
+    solver)."""
+    train, _ = split(spark, sf)
+    m = explicit_als(train, k=20, reg=ALS_REG, n_iters=30, seed=1)
+    res = normal_equation_residuals(m, train, ALS_REG)
+    return res.select("item", (F.col("residual") < 1e-6).alias("solved"))
 
 
 @register("als_wr")
 def als_wr_q(spark, sf):
-    """MLlib ALS (weighted λ), k = 8, 5 iterations; held-out scores."""
+    """MLlib ALS (weighted λ), 20 factors, 10 iterations; held-out scores."""
     train, test = split(spark, sf)
-    return finish(factor_predict(als_wr(train, k=8, reg=0.1, n_iters=5), test))
+    return finish(factor_predict(als_wr(train, k=20, reg=0.1, n_iters=10), test))
 
 
 @register("svd_scores")
 def svd_scores(spark, sf):
-    """Biased truncated SVD (k = 10, 3 power iterations); held-out scores."""
+    """Biased truncated SVD (20 factors, 20 power iterations); held-out scores."""
     train, test = split(spark, sf)
-    return finish(factor_predict(truncated_svd(train, k=10, n_iter=3), test))
+    return finish(factor_predict(truncated_svd(train, k=20, n_iter=20), test))
 
 
 @register("funksvd")
 def funksvd_q(spark, sf):
-    """FunkSVD (k = 8, 5 epochs, block SGD); held-out scores."""
+    """P11 at the published setting (30 factors, 100 epochs, lr 0.001, reg 0.005);
+    held-out scores."""
     train, test = split(spark, sf)
-    m = funk_svd(train, n_epochs=5, n_factors=8, learning_rate=0.01, reg=0.02)
-    return finish(factor_predict(m, test))
+    return finish(factor_predict(funk_svd(train), test))
+
+
+@register("eval_funksvd", f"""WITH {R_CTE}, {SPLIT_CTE}
+SELECT count(*) AS n, count(*) FILTER ("user" IN (SELECT "user" FROM TR) AND item IN (SELECT item FROM TR)) AS n_scored,
+       TRUE AS agrees FROM TE""")
+def eval_funksvd(spark, sf):
+    """M9: held-out evaluation of FunkSVD (30 factors, 10 epochs of lr 0.01).  ``agrees``:
+    RMSE and MAE equal those recomputed from the emitted factors by plain expressions."""
+    train, test = split(spark, sf)
+    m = funk_svd(train, n_epochs=10, learning_rate=0.01)
+    got = rmse_mae(factor_predict(m, test))
+    own = (test.join(m.user_factors, "user").join(m.item_factors, "item")
+           .select((F.lit(m.mu) + F.col("bu") + F.col("bi") + F.expr(
+               "aggregate(transform(sequence(0, size(p) - 1), i -> p[i] * q[i]), 0D, (a, x) -> a + x)")
+               - F.col("rating")).alias("e"))
+           .agg(F.sqrt(F.avg(F.col("e") ** 2)).alias("r2"), F.avg(F.abs("e")).alias("m2")))
+    near = (F.abs(F.col("rmse") - F.col("r2")) < 1e-9) & (F.abs(F.col("mae") - F.col("m2")) < 1e-9)
+    return got.crossJoin(own).select("n", "n_scored", near.alias("agrees"))
 
 
 @register("funksvd_topn")
 def funksvd_topn(spark, sf):
     """R7 for factor models: FunkSVD top-10 unrated items for every user."""
     r = ratings(spark, sf)
-    m = funk_svd(r, n_epochs=3, n_factors=8, learning_rate=0.01, reg=0.02)
-    return finish(factor_top_n(m, r, TOP_N))
+    return finish(factor_top_n(funk_svd(r), r, TOP_N))
 
 
 @register("lfm")
 def lfm_q(spark, sf):
-    """Implicit LFM (k = 8, 3 epochs), sigmoid scores of the held-out pairs."""
+    """Implicit LFM (10 factors, 10 epochs), sigmoid scores of the held-out pairs."""
     train, test = split(spark, sf)
-    return finish(factor_predict(lfm(train, k=8, epochs=3), test))
+    return finish(factor_predict(lfm(train), test))
 
 
 @register("lfm_loss")
 def lfm_loss_q(spark, sf):
-    """Full-grid LFM loss after 2 epochs."""
+    """Full-grid LFM loss after 10 epochs."""
     r = ratings(spark, sf)
-    return finish(lfm_loss(lfm(r, k=8, epochs=2), r, 0.1))
+    return finish(lfm_loss(lfm(r), r, 0.1))
 
 
 @register("fm")

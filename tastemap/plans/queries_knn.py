@@ -75,6 +75,18 @@ def user_sim_diag(spark, sf):
     return finish(self_similarity_check(ratings(spark, sf), "user"))
 
 
+@register("user_sim_diag_constant", f"""
+WITH {R_CTE}, I AS (SELECT "user", item, CASE WHEN "user" % 2 = 0 THEN 1.0::DOUBLE ELSE rating END AS rating FROM R),
+{norm_ctes('I', 'user', 'UX')}
+SELECT "user", round(sum(x * x), 6) AS diag FROM UX GROUP BY "user"
+HAVING sum(x * x) > 1 + 1e-6 OR sum(x * x) < 1 - 1e-6""")
+def user_sim_diag_constant(spark, sf):
+    """C4 where constant raters exist: even user ids keep only the fact that they rated."""
+    r = ratings(spark, sf).withColumn(
+        "rating", F.when(F.col("user") % 2 == 0, F.lit(1.0)).otherwise(F.col("rating")))
+    return finish(self_similarity_check(r, "user"))
+
+
 @register("corated_cosine", f"""
 WITH {R_CTE},
 P AS (SELECT a."user" AS a, b."user" AS b, sum(a.rating * b.rating) AS xy, sum(a.rating * a.rating) AS xx,
@@ -159,6 +171,13 @@ def user_knn(spark, sf):
     return finish(user_knn_predict(train, test, USER_KNN, user_bias=model.user_bias))
 
 
+@register("user_knn_threshold", _knn_sql("user", 0.5, True, "sum", 1, 20, False))
+def user_knn_threshold(spark, sf):
+    """P5 at a positive threshold that some similarities equal: sim >= 0.5 takes them in."""
+    train, test = split(spark, sf)
+    return finish(user_knn_predict(train, test, KnnParams(min_nn=1, max_nn=20, min_threshold=0.5, inclusive=True)))
+
+
 @register("user_knn_inclusive", _knn_sql("user", None, True, "sum", 1, 20, False))
 def user_knn_inclusive(spark, sf):
     """P5: unbiased user-kNN, sim >= 0 (zero sims take part), 1..20 neighbours."""

@@ -2,13 +2,14 @@
 
 On a cluster the checkpoint folder comes from ``spark.checkpoint.dir`` (or a
 folder the application already set with ``setCheckpointDir``); it must be a
-shared file system.  Only when nothing is configured (tests, a laptop) do we
-create a local folder ourselves.
+shared file system.  Only for a local master without one (tests, a laptop) do we
+create a folder ourselves.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -17,22 +18,30 @@ from pyspark.sql import DataFrame, SparkSession
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "tastemap", extra: dict | None = None) -> SparkSession:
-    master = master or os.environ.get("TASTEMAP_MASTER", "local[*]")
+    """A session with the settings the operators expect.  The master comes from the
+    argument, the environment or spark-submit; local[*] is only the last resort, and the
+    number of shuffle partitions is Spark's own unless given (AQE coalesces small ones)."""
+    from pyspark import SparkConf
+    master = master or os.environ.get("TASTEMAP_MASTER") or SparkConf().get("spark.master", None) or "local[*]"
     builder = (
         SparkSession.builder.master(master)
         .appName(app_name)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("TASTEMAP_DRIVER_MEMORY", "16g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         # delete reliable checkpoints of iterations once nothing references them
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
+    if shuffle_partitions is None and master.startswith("local"):
+        shuffle_partitions = 2 * (os.cpu_count() or 4)
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master.startswith("local"):
+        builder = builder.config("spark.driver.memory", os.environ.get("TASTEMAP_DRIVER_MEMORY", "16g"))
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -67,14 +76,16 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The session's reliable checkpoint folder; create a local one only if unset."""
+    """The session's reliable checkpoint folder.  A local master without one gets a
+    temporary folder; on a cluster a shared folder must be configured."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Unset: local or test session.  A cluster must configure a shared folder.
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tastemap-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

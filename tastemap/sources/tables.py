@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-RATING_SCHEMA = "user long, item long, rating double"
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -34,22 +32,6 @@ def raw_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast("double").alias("rating"))
 
 
-def event_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R_events: user_id, props.k as item, value as rating, ts kept."""
-    ev = read_table(spark, sf_dir, "events")
-    return ev.select(
-        F.col("user_id").alias("user"),
-        F.get_json_object("props", "$.k").cast("int").cast("long").alias("item"),
-        F.col("value").cast("double").alias("rating"),
-        F.col("ts"),
-    ).where(F.col("item").isNotNull())
-
-
 def items_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("item"), "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
-
-
-def users_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("user"), "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")

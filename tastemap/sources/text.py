@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.expr import unit_draw
 
@@ -22,18 +21,35 @@ CSV_SCHEMAS = {
 CLICK_HOUR_FORMAT = "yyMMddHH"
 
 
+def _decoded_lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+    """(line): the text source keeps a line's bytes as they are; decode them."""
+    return spark.read.text(path).select(F.decode(F.col("value").cast("binary"), encoding).alias("line"))
+
+
 def read_delimited(spark: SparkSession, path: str, columns: list[str], delimiter: str = "::",
                    encoding: str = "UTF-8") -> DataFrame:
-    """One row per line, split on a (multi-character) delimiter, no quoting,
-    all strings, the caller names the columns; trailing whitespace of the line
-    (i.e. of the last field) is stripped."""
-    schema = StructType([StructField(c, StringType(), True) for c in columns])
-    df = (spark.read.schema(schema)
-          .option("sep", delimiter).option("quote", "").option("escape", "")
-          .option("header", "false").option("encoding", encoding).option("mode", "PERMISSIVE")
-          .csv(path))
-    last = columns[-1]
-    return df.withColumn(last, F.regexp_replace(F.col(last), r"\s+$", ""))
+    """One row per line, split on a literal (multi-character) delimiter, no quoting,
+    all strings, empty fields stay empty strings; white space at the end of the line is
+    stripped.  A line whose field count differs from ``columns`` fails the read; such
+    lines can be listed with ``bad_lines``."""
+    fields = _fields(delimiter)
+    n = len(columns)
+    checked = F.when(F.size(fields) == n, fields).otherwise(F.raise_error(F.concat(
+        F.lit(f"expected {n} fields, got "), F.size(fields).cast("string"), F.lit(" in line: "),
+        F.substring("line", 1, 200))))
+    rows = _decoded_lines(spark, path, encoding).select(checked.alias("f"))
+    return rows.select(*[F.col("f")[i].alias(c) for i, c in enumerate(columns)])
+
+
+def _fields(delimiter: str):
+    return F.split(F.regexp_replace("line", r"\s+$", ""), "\\Q" + delimiter + "\\E", -1)
+
+
+def bad_lines(spark: SparkSession, path: str, columns: list[str], delimiter: str = "::",
+              encoding: str = "UTF-8") -> DataFrame:
+    """(line, n_fields) of the lines that ``read_delimited`` would fail on."""
+    rows = _decoded_lines(spark, path, encoding).select("line", F.size(_fields(delimiter)).alias("n_fields"))
+    return rows.where(F.col("n_fields") != len(columns))
 
 
 def load_movielens(spark: SparkSession, base_dir: str, encoding: str = "ISO-8859-1"
@@ -48,7 +64,7 @@ def load_movielens(spark: SparkSession, base_dir: str, encoding: str = "ISO-8859
     users = users.withColumnRenamed("UserID", "user").withColumn("user", F.col("user").cast("long"))
     ratings = ratings.select(F.col("UserID").cast("long").alias("user"), F.col("MovieID").cast("long").alias("item"),
                              F.col("Rating").cast("double").alias("rating"), "Timestamp")
-    return ratings, users, movies
+    return ratings.where(F.col("rating") != 0), users, movies          # 0 means "not rated"
 
 
 def read_users(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> DataFrame:
@@ -68,23 +84,19 @@ def read_movielens_csv(spark: SparkSession, path: str, kind: str) -> DataFrame:
 
 
 def read_rating_maps(spark: SparkSession, path: str, pivot: float = 0.8, seed: int = 1,
-                     max_entries: int = 100_000) -> tuple[DataFrame, DataFrame]:
+                     chunks: int = 1) -> tuple[DataFrame, DataFrame]:
     """Ratings file -> train and test tables of (user, chunk, map<item, rating>).
-    A row goes to train when its md5 draw in [0, 1) is below ``pivot``.  A user
-    with more than ``max_entries`` ratings is spread over several map rows
-    (chunk = hash of the item), so no row holds an unbounded group; the union of
-    a user's chunks is the user's map."""
+    A row goes to train when its md5 draw in [0, 1) is below ``pivot``.  ``chunks`` map
+    rows per user (chunk = hash of the item), so that a user with very many ratings can
+    be spread over several rows; the union of a user's chunks is the user's map."""
     r = read_delimited(spark, path, MOVIELENS_RATINGS, "::").select(
         F.col("UserID").alias("user"), F.col("MovieID").alias("item"), F.col("Rating").cast("int").alias("rating"))
     r = r.withColumn("_train", unit_draw(F.col("user"), F.col("item"), F.lit(seed)) < F.lit(pivot))
+    r = r.withColumn("chunk", F.pmod(F.xxhash64("item"), F.lit(chunks)))
 
     def maps(df: DataFrame) -> DataFrame:
-        n = df.groupBy("user").agg(F.count(F.lit(1)).alias("_n"))
-        chunk = F.when(F.col("_n") > max_entries,
-                       F.pmod(F.xxhash64("item"), F.ceil(F.col("_n") / max_entries))).otherwise(F.lit(0))
-        return (df.join(n, "user").withColumn("chunk", chunk.cast("long"))
-                .groupBy("user", "chunk")
-                .agg(F.map_from_entries(F.collect_list(F.struct("item", "rating"))).alias("ratings")))
+        return df.groupBy("user", "chunk").agg(
+            F.map_from_entries(F.collect_list(F.struct("item", "rating"))).alias("ratings"))
 
     return maps(r.where(F.col("_train"))), maps(r.where(~F.col("_train")))
 

@@ -1,10 +1,14 @@
+import hashlib
+import math
+
 import numpy as np
 import pandas as pd
+import pytest
 
 from conftest import rows
-from tastemap.functions.expr import INIT_FACTOR_MULT, INIT_ID_MULT, INIT_MODULUS
 from tastemap.operators import blocks as BL
-from tastemap.operators import linalg as LA
+from tastemap.operators import factor as FA
+from tastemap.operators import sgd
 from tastemap.operators.factor import FactorModel, explicit_als, factor_predict, factor_top_n, truncated_svd
 from tastemap.operators.sgd import funk_svd, lfm_loss
 
@@ -18,8 +22,22 @@ def _data(seed=0, users=20, items=15, n=150):
 
 
 def _init(ids, k, seed, scale):
-    return np.array([[(((i * INIT_ID_MULT) + f * INIT_FACTOR_MULT + seed) % INIT_MODULUS) / INIT_MODULUS - 0.5
-                      for f in range(k)] for i in ids]) * scale
+    def one(i, f):
+        h = hashlib.md5(f"{i}:{f}:{seed}".encode()).hexdigest()
+        u, v = (int(h[:8], 16) + 1) / 2**32, int(h[8:16], 16) / 2**32
+        return math.sqrt(-2 * math.log(u)) * math.cos(2 * math.pi * v)
+    return np.array([[one(i, f) for f in range(k)] for i in ids]) * scale
+
+
+def test_start_factors_are_normal_and_distinct(spark):
+    from pyspark.sql import functions as F
+    from tastemap.functions.expr import portable_init
+    df = spark.range(20_000).select(portable_init(F.col("id"), 3, 1).alias("f"))
+    assert df.distinct().count() == 20_000
+    m, s, c = df.select(F.avg(F.col("f")[0]), F.stddev(F.col("f")[1]), F.corr(F.col("f")[0], F.col("f")[2])).first()
+    assert abs(m) < 0.03 and abs(s - 1) < 0.03 and abs(c) < 0.03
+    got = spark.range(5).select(portable_init(F.col("id"), 4, 9, 0.1).alias("f")).collect()
+    assert np.allclose([r["f"] for r in got], _init(range(5), 4, 9, 0.1))
 
 
 def _als_numpy(pdf, k, reg, iters, seed, scale):
@@ -44,16 +62,16 @@ def _als_numpy(pdf, k, reg, iters, seed, scale):
     return us, its, p, q
 
 
-def test_als_matches_numpy_both_paths(spark, monkeypatch):
+@pytest.mark.parametrize("per_block", [500_000, 4])
+def test_als_matches_numpy(spark, monkeypatch, per_block):
+    monkeypatch.setattr(BL.build_blocks, "__defaults__", (per_block,))        # whole and split keys
     pdf = _data()
     df = spark.createDataFrame(pdf)
     us, its, p, q = _als_numpy(pdf, 3, 0.1, 3, 1, 0.2)
-    for limit in (LA.BROADCAST_MAX_BYTES, 0):     # blocks + broadcast, then join fallback
-        monkeypatch.setattr(LA, "BROADCAST_MAX_BYTES", limit)
-        monkeypatch.setattr(BL, "BROADCAST_MAX_BYTES", limit)
-        m = explicit_als(df, k=3, reg=0.1, n_iters=3, seed=1, init_scale=0.2)
-        got = dict((u, np.array(v)) for u, v in rows(m.user_factors, "user", "p"))
-        assert all(np.allclose(got[u], p[x], atol=1e-8) for x, u in enumerate(us))
+    m = explicit_als(df, k=3, reg=0.1, n_iters=3, seed=1, init_scale=0.2)
+    got = dict((u, np.array(v)) for u, v in rows(m.user_factors, "user", "p"))
+    assert all(np.allclose(got[u], p[x], atol=1e-8) for x, u in enumerate(us))
+    assert FA.normal_equation_residuals(m, df, 0.1).where("residual > 1e-9").count() == 0
 
 
 def test_blocks_split_heavy_key(spark):
@@ -62,7 +80,7 @@ def test_blocks_split_heavy_key(spark):
     bm = BL.build_blocks(df, "user", "item", "rating", rows_per_block=3)   # every user > 3 cells is split
     assert bm.split_keys
     f = spark.createDataFrame([(int(i), [1.0, float(i)]) for i in pdf.item.unique()], "item long, v array<double>")
-    got = dict((u, np.array(s)) for u, s in rows(BL.block_product(bm, f, "item", "v", 2), "user", "s"))
+    got = dict((u, np.array(s)) for u, s in rows(BL.block_product(bm, f, "item", "v"), "user", "s"))
     for u, g in pdf.groupby("user"):
         assert np.allclose(got[u], [g.rating.sum(), (g.rating * g.item).sum()])
 
@@ -83,7 +101,7 @@ def test_funksvd_one_block_is_sequential(spark):
     k, lr, reg, epochs = 2, 0.01, 0.02, 2
     m = funk_svd(df, n_epochs=epochs, n_factors=k, learning_rate=lr, reg=reg, blocks=1, seed=1)
     us, its = sorted(pdf.user.unique()), sorted(pdf.item.unique())
-    pu, qi = _init(us, k, 1, 0.2), _init(its, k, 8, 0.2)
+    pu, qi = _init(us, k, 1, 0.1), _init(its, k, 8, 0.1)
     bu, bi = np.zeros(len(us)), np.zeros(len(its))
     mu = pdf.rating.mean()
     x = pdf.sort_values(["user", "item"])
@@ -100,12 +118,28 @@ def test_funksvd_one_block_is_sequential(spark):
     assert all(np.allclose(got[u][0], pu[x]) and np.isclose(got[u][1], bu[x]) for x, u in enumerate(us))
 
 
-def test_funksvd_blocks_reduce_training_error(spark):
-    df = spark.createDataFrame(_data(3, 40, 30, 600))
+def test_batches_share_no_user_and_no_item():
+    rng = np.random.default_rng(4)
+    u, i = rng.integers(0, 30, 500), rng.integers(0, 20, 500)
+    t = sgd.batch_numbers(u, i)
+    for b in range(t.max() + 1):
+        at = t == b
+        assert len(set(u[at])) == len(set(i[at])) == at.sum()
+    for x in (u, i):                                   # a user's or item's ratings keep their order
+        for v in set(x):
+            assert (np.diff(t[x == v]) > 0).all()
+
+
+def test_funksvd_model_depends_on_blocks_alone(spark):
     from tastemap.operators.metrics import rmse_mae
-    e1 = rmse_mae(factor_predict(funk_svd(df, n_epochs=1, n_factors=3, learning_rate=0.02, blocks=3), df)).first()
-    e5 = rmse_mae(factor_predict(funk_svd(df, n_epochs=6, n_factors=3, learning_rate=0.02, blocks=3), df)).first()
-    assert e5["rmse"] < e1["rmse"]
+    df = spark.createDataFrame(_data(3, 40, 30, 600))
+    fits = [funk_svd(d, n_epochs=6, n_factors=3, learning_rate=0.02, blocks=3, trace=True)
+            for d in (df, df.repartition(7))]
+    a, b = (sorted(rows(m.user_factors, "user", "p", "bu")) for m in fits)
+    assert [x[0] for x in a] == [x[0] for x in b] and np.allclose([x[1] for x in a], [x[1] for x in b], atol=1e-12)
+    trace = fits[0].params["trace"]
+    assert [t[0] for t in trace] == [5, 6] and trace[1][1] < trace[0][1]
+    assert np.isclose(rmse_mae(factor_predict(fits[0], df)).first()["rmse"], trace[1][1])
 
 
 def _toy_model(spark, k=2, link="identity"):
@@ -117,12 +151,9 @@ def _toy_model(spark, k=2, link="identity"):
     return FactorModel(uf, itf, k, 0.5, None, link)
 
 
-import pytest
-
-
-@pytest.mark.parametrize("limit", [LA.BROADCAST_MAX_BYTES, 0])
-def test_factor_top_n_matches_brute_force(spark, monkeypatch, limit):
-    monkeypatch.setattr(BL, "BROADCAST_MAX_BYTES", limit)      # broadcast items, then replicated items
+@pytest.mark.parametrize("per_block", [20_000, 5])
+def test_factor_top_n_matches_brute_force(spark, monkeypatch, per_block):
+    monkeypatch.setattr(FA, "ITEMS_PER_BLOCK", per_block)
     m = _toy_model(spark)
     ratings = spark.createDataFrame([(1, 3, 1.0), (1, 5, 1.0), (2, 1, 1.0)], "user long, item long, rating double")
     recs = factor_top_n(m, ratings, 4).toPandas()
@@ -134,9 +165,9 @@ def test_factor_top_n_matches_brute_force(spark, monkeypatch, limit):
         assert recs[recs.user == ur.user].sort_values("rank").item.tolist() == [i for _, i in sorted(sc)[:4]]
 
 
-@pytest.mark.parametrize("limit", [LA.BROADCAST_MAX_BYTES, 0])
-def test_lfm_loss_matches_brute_force(spark, monkeypatch, limit):
-    monkeypatch.setattr(BL, "BROADCAST_MAX_BYTES", limit)
+@pytest.mark.parametrize("per_block", [20_000, 5])
+def test_lfm_loss_matches_brute_force(spark, monkeypatch, per_block):
+    monkeypatch.setattr(FA, "ITEMS_PER_BLOCK", per_block)
     m = _toy_model(spark, link="sigmoid")
     m = FactorModel(m.user_factors.drop("bu"), m.item_factors.drop("bi"), 2, 0.0, None, "sigmoid")
     ratings = spark.createDataFrame([(1, 3, 1.0), (4, 5, 1.0), (8, 12, 1.0)], "user long, item long, rating double")
@@ -148,14 +179,3 @@ def test_lfm_loss_matches_brute_force(spark, monkeypatch, limit):
         y[u - 1, i - 1] = 1
     want = np.sum((y - 1 / (1 + np.exp(-(P @ Q.T)))) ** 2) + 0.1 * (np.sum(P ** 2) + np.sum(Q ** 2))
     assert np.isclose(got, want)
-
-
-def test_svd_distributed_path_matches(spark, monkeypatch):
-    rng = np.random.default_rng(1)
-    a = rng.normal(size=(25, 3)) @ rng.normal(size=(3, 10))
-    pdf = pd.DataFrame([(u + 1, i + 1, a[u, i]) for u in range(25) for i in range(10)], columns=["user", "item", "rating"])
-    monkeypatch.setattr(LA, "BROADCAST_MAX_BYTES", 0)
-    monkeypatch.setattr(BL, "BROADCAST_MAX_BYTES", 0)
-    m = truncated_svd(spark.createDataFrame(pdf), k=3, n_iter=2, oversample=3, use_bias=False)
-    pred = factor_predict(m, spark.createDataFrame(pdf[["user", "item"]])).toPandas().merge(pdf, on=["user", "item"])
-    assert np.allclose(pred.score, pred.rating, atol=1e-6)

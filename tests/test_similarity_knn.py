@@ -158,7 +158,7 @@ def test_item_knn_and_recommend(spark):
     # recommend-all = top-n of the scored unrated pairs
     p = KnnParams(min_nn=1, max_nn=3, min_threshold=0.05)
     want = _knn_brute(m, si, pairs, p, us, its, "item")
-    recs = item_knn_recommend(df, 3, p).toPandas()
+    recs = item_knn_recommend(df, 3, p, score_digits=6).toPandas()
     for u in us:
         cand = [(-round(s, 6), i) for (uu, i), s in want.items() if uu == u and s is not None
                 and m[us.index(u), its.index(i)] == 0]

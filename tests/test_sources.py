@@ -23,6 +23,19 @@ def test_delimited_latin1_and_trailing_blank(spark):
                                                         ("2", "Heat, The (1995)", "Action|Crime")]
 
 
+def test_delimited_edges(spark):
+    import pytest
+    d = tempfile.mkdtemp(prefix="tastemap-test-")
+    _write(f"{d}/ok.dat", "1::::x y::z  \n::b.*::c:d::\n\u00e9::'q\"::,::|\n")
+    cols = ["a", "b", "c", "d"]
+    assert rows(X.read_delimited(spark, f"{d}/ok.dat", cols), *cols) == [
+        ("", "b.*", "c:d", ""), ("1", "", "x y", "z"), ("\u00e9", "'q\"", ",", "|")]
+    _write(f"{d}/bad.dat", "1::2::3::4\n3::c::d\n3::c::d::e::f\n")
+    with pytest.raises(Exception, match="expected 4 fields"):
+        X.read_delimited(spark, f"{d}/bad.dat", cols).collect()
+    assert rows(X.bad_lines(spark, f"{d}/bad.dat", cols), "line", "n_fields") == [("3::c::d", 3), ("3::c::d::e::f", 5)]
+
+
 def test_movielens_loader_and_users(spark):
     d = tempfile.mkdtemp(prefix="tastemap-test-")
     _write(f"{d}/ratings.dat", "1::10::5::978300760\n1::20::3::978302109\n2::10::4::978301968\n")
@@ -42,7 +55,7 @@ def test_movielens_loader_and_users(spark):
 def test_rating_maps_split_heavy_user(spark):
     d = tempfile.mkdtemp(prefix="tastemap-test-")
     _write(f"{d}/r.dat", "".join(f"7::{i}::{1 + i % 5}::0\n" for i in range(50)))
-    train, _ = X.read_rating_maps(spark, f"{d}/r.dat", pivot=1.0, max_entries=10)
+    train, _ = X.read_rating_maps(spark, f"{d}/r.dat", pivot=1.0, chunks=8)
     assert train.count() >= 5
     assert train.select(F.sum(F.size("ratings"))).first()[0] == 50
 
