@@ -39,16 +39,27 @@ def _lines(text: Column) -> Column:
 def line_table(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(id, th, pos, line, n) of the lines with at least ``depth`` tokens; ``docs`` has
     (id, th, text): th tells texts with one id apart.  ``line`` has single spaces between
-    its tokens and the variable field for tokens with a digit."""
-    lines = docs.select("id", "th", F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
-    line = F.col("line")
-    lines = lines.withColumn("line", F.trim(
-        F.when(line.rlike(f"[{SPACES[1:]}]|  "), F.regexp_replace(line, f"[{SPACES}]+", " ")).otherwise(line)))
-    # a token is tried from its start only: linear in the length of the line
-    lines = lines.withColumn("line", F.when(line.rlike("[0-9]"), F.regexp_replace(
-        line, "(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", FIELD)).otherwise(line))
-    return (lines.withColumn("n", F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1)
-            .filter((line != "") & (F.col("n") >= depth)))
+    its tokens and the variable field for tokens with a digit.
+
+    The steps are transforms of the array of lines, so that each runs once per line, and
+    the outer explode keeps the optimiser from evaluating the array once more in a filter."""
+    def spaced(x):
+        odd = x.contains("  ")
+        for c in SPACES[1:]:
+            odd = odd | x.contains(c)
+        return F.trim(F.when(odd, F.regexp_replace(x, f"[{SPACES}]+", " ")).otherwise(x))
+
+    def masked(x):
+        # a token is tried from its start only: linear in the length of the line
+        return F.when(x.rlike("[0-9]"), F.regexp_replace(x, "(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", FIELD)).otherwise(x)
+
+    def counted(x):
+        n = F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1
+        return F.struct(x.alias("line"), F.when(x == "", 0).otherwise(n).alias("n"))
+
+    items = F.transform(F.transform(F.transform(_lines(F.col("text")), spaced), masked), counted)
+    return (docs.select("id", "th", F.posexplode_outer(items).alias("pos", "item"))
+            .select("id", "th", "pos", "item.line", "item.n").filter(F.col("n") >= depth))
 
 
 def _keys(lines: DataFrame, depth: int) -> DataFrame:
