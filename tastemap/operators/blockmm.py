@@ -27,6 +27,7 @@ MEMBERS_PER_BLOCK = 4000       # rows are replicated B times: fewer, larger bloc
 DENSE_MAX = 16_000_000         # dense accumulators up to 4000² cells (128 MB each), sparse beyond
 ROWS_PER_TASK = 2_000_000      # rows of X that one task may hold
 PAIR_CHUNK = 4_000_000         # pairs materialised at once inside a task
+MERGE_CODES = 16_000_000       # partial sums that may wait to be merged
 
 _OUT = "a long, b long, xy double, xx double, yy double, n long"
 
@@ -53,7 +54,12 @@ def _accumulate(gl, ml, xl, gr, mr, xr, n_right):
         lo = hi
 
 
-def _block_task(pdf: pd.DataFrame, min_xy: float | None, squares: bool) -> pd.DataFrame:
+def _merged(parts):
+    codes, inv = np.unique(np.concatenate([t[0] for t in parts]), return_inverse=True)
+    return (codes, *[np.bincount(inv, np.concatenate([t[k] for t in parts])) for k in range(1, 5)])
+
+
+def _block_task(pdf: pd.DataFrame, min_xy: float | None, min_n: int | None, squares: bool) -> pd.DataFrame:
     p, q = int(pdf["p"].iat[0]), int(pdf["q"].iat[0])
     left = pdf[pdf["mb"] == p].sort_values("g", kind="stable")
     right = left if p == q else pdf[pdf["mb"] == q].sort_values("g", kind="stable")
@@ -68,7 +74,7 @@ def _block_task(pdf: pd.DataFrame, min_xy: float | None, squares: bool) -> pd.Da
         zero = np.zeros(0)
         acc = [np.zeros(size), np.zeros(size) if squares else zero,
                np.zeros(size) if squares else zero, np.zeros(size)]
-    parts = []
+    parts, pending = [], 0
     for codes, xy, xx, yy in _accumulate(gl, ia, xl, gr, ib, xr, nr):
         if dense:
             acc[0] += np.bincount(codes, xy, size)
@@ -80,18 +86,23 @@ def _block_task(pdf: pd.DataFrame, min_xy: float | None, squares: bool) -> pd.Da
             u, inv = np.unique(codes, return_inverse=True)
             parts.append((u, np.bincount(inv, xy), np.bincount(inv, xx), np.bincount(inv, yy),
                           np.bincount(inv).astype(np.float64)))
+            pending += len(u)
+            if pending > MERGE_CODES and len(parts) > 1:        # merged as they come, not at the end
+                parts = [_merged(parts)]
+                pending = 0
     if dense:
         codes = np.nonzero(acc[3])[0]
         vals = [v[codes] if len(v) else np.zeros(len(codes)) for v in acc]
     elif parts:
-        allc = np.concatenate([t[0] for t in parts])
-        codes, inv = np.unique(allc, return_inverse=True)
-        vals = [np.bincount(inv, np.concatenate([t[k] for t in parts])) for k in range(1, 5)]
+        codes, *vals = _merged(parts)
     else:
         codes, vals = np.zeros(0, dtype=np.int64), [np.zeros(0)] * 4
+    keep = np.ones(len(codes), dtype=bool)
     if min_xy is not None:
-        keep = vals[0] > min_xy
-        codes, vals = codes[keep], [v[keep] for v in vals]
+        keep &= vals[0] > min_xy
+    if min_n is not None:
+        keep &= vals[3] >= min_n
+    codes, vals = codes[keep], [v[keep] for v in vals]
     a, b = ua[codes // nr], ub[codes % nr]
     out = pd.DataFrame({"a": a, "b": b, "xy": vals[0], "xx": vals[1], "yy": vals[2],
                         "n": vals[3].astype(np.int64)})
@@ -105,24 +116,25 @@ def _block_task(pdf: pd.DataFrame, min_xy: float | None, squares: bool) -> pd.Da
 MAX_REPLICATION = 64           # member blocks: every row of X is sent to B tasks
 
 
-def _blocked(rows: DataFrame, B: int, C: int, min_xy, squares: bool, final_in_task: bool) -> DataFrame:
+def _blocked(rows: DataFrame, B: int, C: int, min_xy, min_n, squares: bool, final_in_task: bool) -> DataFrame:
     rows = rows.withColumn("mb", block_of("m", B)).withColumn("gb", block_of("g", C) if C > 1 else F.lit(0))
     rep = rows.select("g", "m", "x", "mb", "gb", F.explode(F.sequence(F.lit(0), F.lit(B - 1))).alias("o"))
     rep = rep.select("g", "m", "x", "mb", "gb", F.least("mb", "o").alias("p"), F.greatest("mb", "o").alias("q"))
 
     def task(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _block_task(pdf, min_xy if final_in_task else None, squares)
+        return _block_task(pdf, *((min_xy, min_n) if final_in_task else (None, None)), squares)
 
     return rep.groupBy("gb", "p", "q").applyInPandas(task, _OUT)
 
 
 def self_product(x: DataFrame, group: str, member: str, value: str,
-                 min_xy: float | None = None, squares: bool = False,
+                 min_xy: float | None = None, squares: bool = False, min_n: int | None = None,
                  member_blocks: int | None = None, group_blocks: int | None = None) -> DataFrame:
     """All member pairs (a, b) co-occurring in some group, both orders and the
     diagonal, with xy = Σ x_a x_b, xx = Σ x_a², yy = Σ x_b² (over common groups)
     and n = number of common groups (xx, yy only with ``squares``).  ``min_xy``
-    drops pairs with xy <= min_xy (inside the tasks when the sums are final there).
+    drops pairs with xy <= min_xy and ``min_n`` those with fewer common groups (inside the
+    tasks when the sums are final there).
 
     Sizing: B member blocks (at most MAX_REPLICATION, so the shuffle is at most
     B times the input) and C group blocks so that a task holds at most
@@ -135,8 +147,8 @@ def self_product(x: DataFrame, group: str, member: str, value: str,
                     F.col(value).cast("double").alias("x"))
     par = spark.sparkContext.defaultParallelism
     if member_blocks is not None and group_blocks is not None:
-        return _finish(_blocked(rows, member_blocks, group_blocks, min_xy, squares, group_blocks == 1),
-                       group_blocks == 1, min_xy)
+        return _finish(_blocked(rows, member_blocks, group_blocks, min_xy, min_n, squares, group_blocks == 1),
+                       group_blocks == 1, min_xy, min_n)
     rows = cut_lineage(rows)          # sized by two small actions, then read once more
     per_group = rows.groupBy("g").agg(F.count(F.lit(1)).alias("c"))
     heavy_limit = ROWS_PER_TASK // 4
@@ -151,19 +163,21 @@ def self_product(x: DataFrame, group: str, member: str, value: str,
         B += 1
     C = group_blocks or max(1, math.ceil(2 * light_n / (B * ROWS_PER_TASK)))
     if heavy_groups == 0:
-        return _finish(_blocked(rows, B, C, min_xy, squares, C == 1), C == 1, min_xy)
+        return _finish(_blocked(rows, B, C, min_xy, min_n, squares, C == 1), C == 1, min_xy, min_n)
     marked = rows.join(per_group.where(F.col("c") > heavy_limit).select("g", F.lit(True).alias("_h")), "g", "left")
     light = marked.where(F.col("_h").isNull()).drop("_h")
     heavy = marked.where(F.col("_h")).drop("_h")
     bh = max(2, math.ceil(2 * (st["big"] or 0) / ROWS_PER_TASK))     # a heavy group's rows split by item blocks
-    parts = _blocked(light, B, C, None, squares, False).unionByName(
-        _blocked(heavy, bh, max(1, heavy_groups), None, squares, False))
-    return _finish(parts, False, min_xy)
+    parts = _blocked(light, B, C, None, None, squares, False).unionByName(
+        _blocked(heavy, bh, max(1, heavy_groups), None, None, squares, False))
+    return _finish(parts, False, min_xy, min_n)
 
 
-def _finish(out: DataFrame, final_in_task: bool, min_xy) -> DataFrame:
+def _finish(out: DataFrame, final_in_task: bool, min_xy, min_n) -> DataFrame:
     if final_in_task:
         return out
     out = out.groupBy("a", "b").agg(F.sum("xy").alias("xy"), F.sum("xx").alias("xx"),
                                     F.sum("yy").alias("yy"), F.sum("n").alias("n"))
+    if min_n is not None:
+        out = out.where(F.col("n") >= min_n)
     return out.where(F.col("xy") > min_xy) if min_xy is not None else out

@@ -1,5 +1,5 @@
-"""Factorisation machine (T10, P14) and boosted trees + logistic regression for
-click prediction (T11, P16, P17), as MLlib pipelines."""
+"""Factorisation machine on one-hot user and item (T10, P14) and boosted trees + logistic
+regression for click prediction (T11, P16, P17; MLlib pipelines)."""
 
 from __future__ import annotations
 
@@ -7,45 +7,57 @@ import math
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import FMRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.expr import dot
+from .factor import FactorModel
+from .prep import row_positions
+from .sgd import BLOCKS, funk_svd
+
 
 # ------------------------------------------------------------------ T10 + P14
 
-def one_hot_stages(cols: list[str], out: str = "features") -> list:
-    """Categorical columns -> one-hot blocks -> one vector.  An unseen value at
-    predict time maps to the extra 'unknown' index, which dropLast removes, so its
-    block is all zeros."""
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_ix", handleInvalid="keep") for c in cols]
-    ohe = OneHotEncoder(inputCols=[f"{c}_ix" for c in cols], outputCols=[f"{c}_oh" for c in cols],
-                        dropLast=True, handleInvalid="keep")
-    asm = VectorAssembler(inputCols=[f"{c}_oh" for c in cols], outputCol=out)
-    return idx + [ohe, asm]
+def category_slots(df: DataFrame, col: str) -> DataFrame:
+    """(value, slot): the values of a column numbered from 0 by descending frequency, then
+    value.  A distributed order; no list of values reaches the driver."""
+    counts = (df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value"))
+              .agg((-F.count(F.lit(1))).alias("_order")))
+    return row_positions(counts, ["_order", "value"], "slot").select("value", "slot")
+
+
+def one_hot_slots(df: DataFrame, slots: dict[str, DataFrame]) -> DataFrame:
+    """``df`` with ``<col>_slot``, the position of the single 1 in the one-hot row: the
+    blocks of the columns follow one another in the order of ``slots``.  A value that the
+    index does not know has no slot (an all-zero block)."""
+    offset, out = 0, df
+    for col, index in slots.items():
+        own = index.select(F.col("value").alias(col), (F.col("slot") + F.lit(offset)).alias(f"{col}_slot"))
+        out = out.join(own, col, "left")
+        offset += index.count()
+    return out
 
 
 def fm_fit(ratings: DataFrame, n_factors: int = 5, n_epochs: int = 30, learning_rate: float = 0.01,
-           reg: float = 0.01, mini_batch_fraction: float = 1.0, solver: str = "adamW",
-           seed: int = 1) -> PipelineModel:
-    """FM on one-hot user_id and item_id, L2 on weights and factors.  MLlib's
-    FM counts each pairwise interaction once (Q13) and uses adamW/gd instead of
-    Adagrad, so numbers differ from a TensorFlow fit; the model is the same family."""
-    data = ratings.select(F.col("user").cast("string").alias("user_id"),
-                          F.col("item").cast("string").alias("item_id"), F.col("rating").alias("label"))
-    fm = FMRegressor(featuresCol="features", labelCol="label", predictionCol="score", factorSize=n_factors,
-                     maxIter=n_epochs, stepSize=learning_rate, regParam=reg,
-                     miniBatchFraction=mini_batch_fraction, solver=solver, seed=seed)
-    return Pipeline(stages=one_hot_stages(["user_id", "item_id"]) + [fm]).fit(data)
-
-
-def fm_predict(model: PipelineModel, pairs: DataFrame) -> DataFrame:
-    data = pairs.withColumn("user_id", F.col("user").cast("string")).withColumn(
-        "item_id", F.col("item").cast("string"))
-    out = model.transform(data)
-    return out.select(*pairs.columns, "score")
+           reg: float = 0.01, seed: int = 1, blocks: int = BLOCKS, trace: bool = False) -> FactorModel:
+    """Factorisation machine on one-hot user and item, L2 on weights and factors.
+
+    With one active slot per column the model is w0 + w_u + w_i + v_u·v_i (each pairwise
+    interaction counted once, Q13), so its weights are rows of two tables keyed by user
+    and item, and it is fitted by the mini-batches of the block SGD, which share no slot;
+    no coefficient vector exists on the driver.  w0 is the mean of the targets."""
+    return funk_svd(ratings, n_epochs, n_factors, learning_rate, reg, seed=seed, blocks=blocks, trace=trace)
+
+
+def fm_predict(model: FactorModel, pairs: DataFrame) -> DataFrame:
+    """Scores of (user, item) pairs; an unknown user or item is an all-zero block."""
+    zero = F.array_repeat(F.lit(0.0), model.k)
+    j = pairs.join(model.user_factors, "user", "left").join(model.item_factors, "item", "left")
+    score = (F.lit(model.mu) + F.coalesce("bu", F.lit(0.0)) + F.coalesce("bi", F.lit(0.0))
+             + dot(F.coalesce("p", zero), F.coalesce("q", zero)))
+    return j.select(*pairs.columns, score.alias("score"))
 
 
 # ------------------------------------------------------------------ T11 + P16 + P17
@@ -78,6 +90,16 @@ class GbdtLrModel:
             x = st.transform(x)
         return x
 
+    def slot_probability(self):
+        """The positive class's probability from ``leaf_array`` by a plain expression: the
+        logistic function of the intercept and the weight of each tree's active slot."""
+        weights = F.array(*[F.lit(float(w)) for w in self.lr_model.coefficients.toArray()])
+        total, offset = F.lit(float(self.lr_model.intercept)), 0
+        for t, size in enumerate(self.feature_model.stages[3].categorySizes):
+            total = total + weights[F.lit(offset) + F.col("leaf_array")[t].cast("int")]
+            offset += size + 1                               # one slot more for unseen leaves
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
+
     def transform(self, df: DataFrame) -> DataFrame:
         """Class and probability of the positive class."""
         out = self.lr_model.transform(self._leaf_features(df))

@@ -53,8 +53,8 @@ def corated_cosine(ratings: DataFrame, by: str = "user", min_support: int = 5) -
     Σxy / sqrt(Σx²·Σy²) with all sums over the common columns; pairs with fewer than
     ``min_support`` common columns are 0 (not emitted); the diagonal is 1."""
     other = "item" if by == "user" else "user"
-    prod = self_product(ratings, other, by, "rating", squares=True)
-    off = prod.where((F.col("a") != F.col("b")) & (F.col("n") >= min_support)).select(
+    prod = self_product(ratings, other, by, "rating", squares=True, min_n=min_support)
+    off = prod.where(F.col("a") != F.col("b")).select(
         "a", "b", (F.col("xy") / F.sqrt(F.col("xx") * F.col("yy"))).alias("sim"), "n")
     diag = ratings.select(F.col(by).alias("a")).distinct().select(
         "a", F.col("a").alias("b"), F.lit(1.0).alias("sim"), F.lit(None).cast("long").alias("n"))

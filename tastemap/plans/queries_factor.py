@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.expr import portable_init, unit_draw
 from ..operators.factor import (als_half_step, als_wr, explicit_als, factor_predict, factor_top_n,
                                 normal_equation_residuals, truncated_svd)
-from ..operators.fm_ctr import fm_fit, fm_predict, gbdt_lr_fit
+from ..operators.fm_ctr import category_slots, fm_fit, fm_predict, gbdt_lr_fit, one_hot_slots
 from ..operators.metrics import rmse_mae
 from ..operators.serve import attach_metadata
 from ..operators.sgd import funk_svd, initial_model, lfm, lfm_loss
@@ -239,9 +239,35 @@ def lfm_loss_q(spark, sf):
 
 @register("fm")
 def fm_q(spark, sf):
-    """P14 + T10: factorisation machine on one-hot user and item; held-out scores."""
+    """Factorisation machine on one-hot user and item (5 factors, 30 epochs); held-out scores."""
     train, test = split(spark, sf)
-    return finish(fm_predict(fm_fit(train, n_factors=4, n_epochs=10, learning_rate=0.01), test))
+    return finish(fm_predict(fm_fit(train, blocks=FIT_BLOCKS), test))
+
+
+@register("fm_known", f"""WITH {R_CTE}, {SPLIT_CTE}, {_vectors_sql('TR', START_K, 1.0)}
+SELECT "user", item, round(coalesce(list_inner_product(p, q), 0.0), 6) AS score
+FROM (SELECT "user", item FROM TE UNION ALL SELECT -1, item FROM TE) LEFT JOIN P USING ("user") LEFT JOIN Q USING (item)""")
+def fm_known(spark, sf):
+    """P14 prediction for known weights, with an unknown user (an all-zero block) per pair."""
+    train, test = split(spark, sf)
+    m = initial_model(train, START_K)
+    m.user_factors = m.user_factors.withColumn("bu", F.lit(0.0))
+    m.item_factors = m.item_factors.withColumn("bi", F.lit(0.0))
+    pairs = test.select("user", "item")
+    unknown = pairs.select(F.lit(-1).cast("long").alias("user"), "item")
+    return finish(fm_predict(m, pairs.unionByName(unknown)))
+
+
+@register("one_hot", f"""WITH {R_CTE}, {SPLIT_CTE},
+US AS (SELECT "user", row_number() OVER (ORDER BY count(*) DESC, "user") - 1 AS user_slot FROM TR GROUP BY "user"),
+ITS AS (SELECT item, row_number() OVER (ORDER BY count(*) DESC, item) - 1 + (SELECT count(*) FROM US) AS item_slot
+       FROM TR GROUP BY item)
+SELECT "user", item, user_slot, item_slot FROM R LEFT JOIN US USING ("user") LEFT JOIN ITS USING (item)""")
+def one_hot(spark, sf):
+    """Active one-hot slots of every rating, indexes from the training split."""
+    train, _ = split(spark, sf)
+    slots = {c: category_slots(train, c) for c in ("user", "item")}
+    return one_hot_slots(ratings(spark, sf).select("user", "item"), slots)
 
 
 def click_events(spark, sf):
@@ -269,3 +295,16 @@ def gbdt_lr_prob(spark, sf):
 
 
 
+
+
+@register("gbdt_lr_check", """
+SELECT event_id, CAST(event_type = 'purchase' AS DOUBLE) AS label, TRUE AS agrees FROM events
+WHERE CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR) || ':1'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.8""")
+def gbdt_lr_check(spark, sf):
+    """The held-out events; ``agrees``: the pipeline's probability equals the
+    one computed from the leaves' slots and the weights by a plain expression."""
+    ev = click_events(spark, sf)
+    held = unit_draw(F.col("event_id"), F.lit(1)) >= 0.8
+    m = gbdt_lr_fit(ev.where(~held), ["value", "hour", "k"], "label", n_estimators=5, max_leaf_nodes=10)
+    out = m.transform(ev.where(held))
+    return out.select("event_id", "label", (F.abs(F.col("prob") - m.slot_probability()) < 1e-9).alias("agrees"))

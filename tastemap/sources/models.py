@@ -7,10 +7,13 @@ import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.bias import BiasModel
 from ..operators.factor import FactorModel
+from ..operators.fm_ctr import GbdtLrModel
 
 
 @dataclass
@@ -47,7 +50,7 @@ def load_tables(spark: SparkSession, path: str) -> tuple[dict[str, DataFrame], d
 
 
 def save_model(model, path: str) -> None:
-    """BiasModel, FactorModel or TableModel -> parquet directory."""
+    """BiasModel, FactorModel (also FM), TableModel or GbdtLrModel -> parquet directory."""
     if isinstance(model, BiasModel):
         spark = model.item_bias.sparkSession
         params = {"_kind": "bias", "mu": model.mu, "params": model.params}
@@ -65,6 +68,13 @@ def save_model(model, path: str) -> None:
         spark = next(iter(model.tables_.values())).sparkSession
         params = {"_kind": "tables", "params": model.params}
         tables = model.tables()
+    elif isinstance(model, GbdtLrModel):
+        spark = SparkSession.getActiveSession()
+        base = path.rstrip("/")
+        model.feature_model.write().overwrite().save(f"{base}/features")
+        model.lr_model.write().overwrite().save(f"{base}/regression")
+        params = {"_kind": "gbdt_lr", "n_trees": model.n_trees, "feature_cols": model.feature_cols}
+        tables = {}
     else:
         raise TypeError(f"cannot save {type(model).__name__}")
     params["_tables"] = list(tables)
@@ -75,6 +85,10 @@ def load_model(spark: SparkSession, path: str):
     tables, params = load_tables(spark, path)
     if params["_kind"] == "bias":
         return BiasModel(params["mu"], tables["item_bias"], tables["user_bias"], params["params"])
+    if params["_kind"] == "gbdt_lr":
+        base = path.rstrip("/")
+        return GbdtLrModel(PipelineModel.load(f"{base}/features"), LogisticRegressionModel.load(f"{base}/regression"),
+                           params["n_trees"], params["feature_cols"])
     if params["_kind"] == "tables":
         return TableModel(tables, params["params"])
     bias = None

@@ -1,8 +1,11 @@
+import tempfile
+
 import numpy as np
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from tastemap.operators.fm_ctr import fm_fit, fm_predict, gbdt_lr_fit
+from tastemap.sources.models import load_model, save_model
 
 
 def test_fm_predicts_unseen_user(spark, ratings_df):
@@ -10,6 +13,11 @@ def test_fm_predicts_unseen_user(spark, ratings_df):
     pairs = spark.createDataFrame([(1, 10), (777, 10)], "user long, item long")
     got = fm_predict(m, pairs).collect()
     assert len(got) == 2 and all(r["score"] is not None for r in got)
+    path = tempfile.mkdtemp(prefix="tastemap-test-") + "/fm"
+    save_model(m, path)
+    assert sorted(map(tuple, fm_predict(load_model(spark, path), pairs).collect())) == sorted(map(tuple, got))
+    item = m.item_factors.where("item = 10").first()
+    assert abs([r["score"] for r in got if r["user"] == 777][0] - (m.mu + item["bi"])) < 1e-12
 
 
 def test_gbdt_lr_probabilities(spark):
@@ -24,6 +32,12 @@ def test_gbdt_lr_probabilities(spark):
     assert all(0.0 <= p <= 1.0 for p in probs)
     acc = out.select(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
     assert acc > 0.8
+    near = m.transform(df).select(F.max(F.abs(F.col("prob") - m.slot_probability()))).first()[0]
+    assert near < 1e-9
+    path = tempfile.mkdtemp(prefix="tastemap-test-") + "/gbdt"
+    save_model(m, path)
+    again = load_model(spark, path).transform(df).select("prob")
+    assert [r["prob"] for r in again.collect()] == probs
     width = m._leaf_features(df).select("leaf_features").first()[0].size
     assert width == m._leaf_features(df.limit(5)).select("leaf_features").first()[0].size
 
