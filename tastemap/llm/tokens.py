@@ -3,6 +3,10 @@
 The vocabulary's pieces never span white space, so the ids of a text are those of its
 words in order.  Words repeat far more often than texts: each Python worker keeps the
 ids of up to ``MEMO_WORDS`` words (then starts over) and encodes only new ones.
+
+The tokenizer lower-cases a word and parts letters from punctuation.  For the common
+word, Latin letters with or without closing punctuation, these two steps are done here
+and its model encodes the parts; every other word goes through the whole tokenizer.
 """
 
 from __future__ import annotations
@@ -10,6 +14,7 @@ from __future__ import annotations
 import os
 import re
 from collections import ChainMap
+from unicodedata import is_normalized
 
 import numpy as np
 
@@ -18,6 +23,19 @@ MEMO_WORDS = 1_000_000          # about 200 MB in a worker
 MEMO_CHARS = 40                 # longer words are encoded each time
 CALL_WORDS = 2000               # new words encoded by one call
 MARK = "\x01"
+CLOSING = ".,!?;:"
+LATIN_END = "\u0250"            # letters below are Latin in every Unicode version
+
+
+def _visible_bytes() -> dict[int, str]:
+    """The byte-level rule: printable Latin-1 bytes stand for themselves, the others for
+    the characters from U+0100 on, in order."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in own]
+    return {b: chr(256 + n) for n, b in enumerate(other)}
+
+
+_VISIBLE = _visible_bytes()
 
 _WORDS = re.compile(r"[^ \t\n\r]+")
 _ENCODERS: dict = {}
@@ -34,6 +52,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
         mark = self._ids([MARK])[0]
         self.mark = int(mark[0]) if len(mark) == 1 else None
 
@@ -41,14 +60,45 @@ class WordEncoder:
         return [np.array(e.ids, dtype="<u4")
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _part(self, text: str) -> bytes:
+        """Ids of lower-case letters or of punctuation, by the model alone."""
+        found = self.parts.get(text)
+        if found is None:
+            visible = text if text.isascii() else text.encode().decode("latin-1").translate(_VISIBLE)
+            found = np.array([t.id for t in self.tokenizer.model.tokenize(visible)], dtype="<u4").tobytes()
+            if len(text) <= MEMO_CHARS:
+                self.parts[text] = found
+        return found
+
+    def _plain(self, word: str) -> bytes | None:
+        """Ids of a word of Latin letters with or without closing punctuation; else None."""
+        letters = word.rstrip(CLOSING)
+        if letters and not (letters.isalpha() and max(letters) < LATIN_END
+                            and (letters.isascii() or is_normalized("NFC", letters))):
+            return None
+        lower = letters.lower()
+        if not lower.isalpha() and lower:
+            return None
+        return (self._part(lower) if lower else b"") + (self._part(word[len(letters):]) if len(word) > len(letters) else b"")
+
     def _encode(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of each word.  Words are encoded many to a call, parted by a mark with an id
-        of its own; words that hold the mark are encoded alone."""
+        """Ids of each word.  Words that are not plain are encoded by the whole tokenizer,
+        many to a call, parted by a mark with an id of its own; those that hold the mark
+        are encoded alone."""
+        if len(self.parts) > MEMO_WORDS // 2:
+            self.parts.clear()
         out: dict[str, bytes] = {}
-        alone = [w for w in words if MARK in w] if self.mark is not None else words
-        plain = [w for w in words if MARK not in w] if self.mark is not None else []
-        for at in range(0, len(plain), CALL_WORDS):
-            part = plain[at:at + CALL_WORDS]
+        rest = []
+        for w in words:
+            ids = self._plain(w)
+            if ids is None:
+                rest.append(w)
+            else:
+                out[w] = ids
+        alone = [w for w in rest if MARK in w] if self.mark is not None else rest
+        many = [w for w in rest if MARK not in w] if self.mark is not None else []
+        for at in range(0, len(many), CALL_WORDS):
+            part = many[at:at + CALL_WORDS]
             ids = self._ids([f" {MARK} ".join(part)])[0]
             ends = np.flatnonzero(ids == self.mark)
             if len(ends) != len(part) - 1:

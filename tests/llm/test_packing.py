@@ -25,6 +25,19 @@ def test_word_by_word_ids_are_the_tokenizers():
         assert got == [direct_ids(t) for t in TEXTS]
 
 
+def test_odd_words_match_the_tokenizer():
+    rng = random.Random(2)
+    letters = "abzABZéÉßẞñÑüÜøØœŒæÆĳĲŉſİıǅΣσς́Ωждあ한0١²ª'’-.,!?;:<|>_\x01\u00ad\u0345"
+    words = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 8))) for _ in range(4000)]
+    words += [w + p for w in ("naïve", "Straße", "ÉCOLE", "İstanbul", "ǅ", "ﬁ", "Á", "e") for p in ("", ".", ",!", "...", "'s")]
+    enc = tokens.WordEncoder(tokens.vocabulary_path())
+    from tokenizers import Tokenizer
+    tk = Tokenizer.from_file(tokens.vocabulary_path())
+    got = [np.frombuffer(b, "<u4").tolist() for b in enc(words)]
+    want = [e.ids for e in tk.encode_batch(words, add_special_tokens=False)]
+    assert [(w, g, x) for w, g, x in zip(words, got, want) if g != x] == []
+
+
 def test_best_configuration_is_optimal():
     rng = random.Random(5)
     for _ in range(30):
