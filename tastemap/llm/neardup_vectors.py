@@ -26,7 +26,7 @@ from .topk import _matrix
 
 COSINE = 0.9
 BITS = 62
-WINDOW = 64
+WINDOW = 256
 MISS = 1e-3
 BLOCK = 2048
 SEED = 77
@@ -46,11 +46,18 @@ def projections(width: int, passes: int, seed: int = SEED) -> np.ndarray:
     return np.random.default_rng([seed, width]).standard_normal((passes, BITS, width)).reshape(-1, width).T
 
 
+def _column(rows: DataFrame, vector_col: str):
+    """The vectors as they are if single precision, else as doubles; all arithmetic is in
+    double precision either way, single ones are moved around at half the size."""
+    single = rows.schema[vector_col].dataType.simpleString() == "array<float>"
+    return F.col(vector_col).cast("array<float>" if single else "array<double>")
+
+
 def distinct_vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(node, x, copies, least): the distinct vectors that can link, with the number of
     rows that hold them and their smallest id."""
     x = F.col("x")
-    base = rows.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("x"))
+    base = rows.select(F.col(id_col).alias("id"), _column(rows, vector_col).alias("x"))
     fine = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")))
     some = F.exists(x, lambda c: c != 0.0)
     return (base.filter(x.isNotNull() & fine & some).groupBy("x")
@@ -80,7 +87,8 @@ def _keyed(vectors: DataFrame, width: int, passes: int, seed: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(part.num_rows, p, np.int32)), pa.array(signs @ powers), part.column(0),
                          part.column(1)], names=["pass", "key", "node", "x"])
-    return vectors.select("node", "x").mapInArrow(hashed, "pass int, key long, node long, x array<double>")
+    kind = vectors.schema["x"].dataType.simpleString()
+    return vectors.select("node", "x").mapInArrow(hashed, f"pass int, key long, node long, x {kind}")
 
 
 def band_forest(linked: np.ndarray):
@@ -122,7 +130,8 @@ def window_links(vectors: DataFrame, width: int, passes: int, window: int = WIND
     spark = vectors.sparkSession
     parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
                        vectors.count() * passes // (16 * window)))
-    schema = "a long, b long, seam int, side int, pass int, key long, node long, x array<double>"
+    kind = vectors.schema["x"].dataType.simpleString()
+    schema = f"a long, b long, seam int, side int, pass int, key long, node long, x {kind}"
 
     def compare(batches):
         import pyarrow as pa
@@ -130,7 +139,7 @@ def window_links(vectors: DataFrame, width: int, passes: int, window: int = WIND
         part = TaskContext.get().partitionId()
         kept, kept_rows, seen = None, None, 0
         types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(),
-                 pa.list_(pa.float64())]
+                 pa.list_(pa.float32() if "float" in kind else pa.float64())]
         names = [f.split()[0] for f in schema.split(", ")]
 
         def links(a, b):
@@ -254,7 +263,7 @@ def near_duplicate_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col:
              .select("x", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n"),
                      F.when(F.col("links").isNull(), F.col("least")).otherwise(F.col("smallest")).alias("component")))
     found = found.withColumnRenamed("x", "fx")
-    base = rows.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("x"))
+    base = rows.select(F.col(id_col).alias("id"), _column(rows, vector_col).alias("x"))
     joined = base.join(found, base["x"] == found["fx"], "left")
     component = F.when(F.col("fx").isNull(), F.col("id")).otherwise(F.col("component"))
     return joined.select("id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
