@@ -64,22 +64,21 @@ def line_table(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
 
 def _keys(lines: DataFrame, depth: int) -> DataFrame:
     lead = F.substring_index("line", " ", depth)
-    return lines.select("id", "th", "pos", F.xxhash64("n", lead).alias("leaf"),
-                        F.xxhash64("line").alias("l1"), F.xxhash64("line", F.lit(1)).alias("l2"))
+    # a line is known by 128 bits: the hash of its leaf and its own
+    return lines.select("id", "th", "pos", F.xxhash64("n", lead).alias("leaf"), F.xxhash64("line").alias("l"))
 
 
 def leaf_members(lines: DataFrame, keyed: DataFrame, depth: int, similarity: float) -> DataFrame:
-    """(l1, l2, leaf) of the distinct lines that belong to their leaf's template, for leaves
-    with several distinct lines."""
-    distinct = keyed.groupBy("leaf", "l1", "l2").agg(F.lit(1).alias("one")).drop("one")
+    """(leaf, l) of the distinct lines that belong to their leaf's template, for leaves with
+    several distinct lines."""
+    distinct = keyed.groupBy("leaf", "l").agg(F.lit(1).alias("one")).drop("one")
     several = written(distinct.groupBy("leaf").agg(F.count("*").alias("lines")).filter("lines > 1"), "leaves")
     if several.count() <= BROADCAST_LEAVES:
         several = F.broadcast(several)
     lead = F.substring_index("line", " ", depth)
     texts = (lines.withColumn("leaf", F.xxhash64("n", lead)).join(several, "leaf")
-             .groupBy("leaf", "lines", F.xxhash64("line").alias("l1"), F.xxhash64("line", F.lit(1)).alias("l2"))
-             .agg(F.first("line").alias("line")))
-    texts = written(texts.select("leaf", "lines", "l1", "l2", F.split("line", " ").alias("words")), "leaf-lines")
+             .groupBy("leaf", "lines", F.xxhash64("line").alias("l")).agg(F.first("line").alias("line")))
+    texts = written(texts.select("leaf", "lines", "l", F.split("line", " ").alias("words")), "leaf-lines")
     tokens = texts.select("leaf", "lines", F.posexplode("words").alias("p", "token"))
     most = (tokens.groupBy("leaf", "lines", "p", "token").agg(F.count("*").alias("c"))
             .groupBy("leaf", "lines", "p").agg(F.max(F.struct("c", "token")).alias("top")))
@@ -90,7 +89,7 @@ def leaf_members(lines: DataFrame, keyed: DataFrame, depth: int, similarity: flo
     same = F.zip_with("words", "fixed", lambda w, f: w == f)
     agree = F.size(F.filter(same, lambda x: x))
     return (texts.join(template, "leaf").filter(agree >= F.lit(similarity) * F.size("words"))
-            .select("l1", "l2", "leaf"))
+            .select("leaf", "l"))
 
 
 def dropped_lines(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMILARITY,
@@ -100,11 +99,11 @@ def dropped_lines(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMIL
     lines = line_table(docs, depth)
     keyed = written(_keys(lines, depth), "line-keys")
     members = leaf_members(lines, keyed, depth, similarity)
-    member = members.select("l1", "l2", F.col("leaf").alias("t"))
-    # a leaf's template is keyed (leaf, null), a line of its own (l1, l2)
-    templated = (keyed.join(member, ["l1", "l2"], "left")
-                 .select("id", "th", "pos", F.coalesce("t", "l1").alias("t1"),
-                         F.when(F.col("t").isNull(), F.col("l2")).alias("t2")))
+    member = members.withColumn("member", F.lit(True))
+    # a leaf's template is keyed (leaf, null), a line of its own (leaf, l)
+    templated = (keyed.join(member, ["leaf", "l"], "left")
+                 .select("id", "th", "pos", F.col("leaf").alias("t1"),
+                         F.when(F.col("member").isNull(), F.col("l")).alias("t2")))
     first = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("th"))
     recurring = (templated.groupBy("t1", "t2", "id", "th").agg(F.lit(1).alias("one"))
                  .groupBy("t1", "t2").agg(F.count("*").alias("docs"), F.min(first).alias("first"))
