@@ -37,7 +37,17 @@ def _visible_bytes() -> dict[int, str]:
 
 _VISIBLE = _visible_bytes()
 
+# str.split also parts at four separators that the tokenizer reads as punctuation
+_SEPARATORS = re.compile("[\x1c-\x1f]")
 _WORDS = re.compile(r"[^ \t\n\r]+")
+
+
+def _split(text: str | None) -> list[str]:
+    if not text:
+        return []
+    return _WORDS.findall(text) if _SEPARATORS.search(text) else text.split()
+
+
 _ENCODERS: dict = {}
 
 
@@ -116,7 +126,7 @@ class WordEncoder:
         memo = self.memo
         if len(memo) > MEMO_WORDS:
             memo.clear()
-        split = [_WORDS.findall(t) if t else [] for t in texts]
+        split = [_split(t) for t in texts]
         fresh = set().union(*split).difference(memo)
         known = memo
         if fresh:
@@ -125,7 +135,7 @@ class WordEncoder:
             long = {w: b for w, b in new.items() if len(w) > MEMO_CHARS}
             if long:
                 known = ChainMap(long, memo)
-        return [b"".join([known[w] for w in words]) for words in split]
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
 def encoder(path: str) -> WordEncoder:
