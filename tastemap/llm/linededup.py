@@ -105,10 +105,15 @@ def dropped_lines(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMIL
                  .select("id", "th", "pos", F.col("leaf").alias("t1"),
                          F.when(F.col("member").isNull(), F.col("l")).alias("t2")))
     first = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("th"))
-    recurring = (templated.groupBy("t1", "t2", "id", "th").agg(F.lit(1).alias("one"))
+    if min_docs <= 2:
+        # two documents or more: the first and the last differ (no row per document needed)
+        ends = templated.groupBy("t1", "t2").agg(F.min(first).alias("first"), F.max(first).alias("last"))
+        found = ends.filter(F.lit(min_docs < 2) | (~F.col("first").eqNullSafe(F.col("last"))))
+    else:
+        found = (templated.groupBy("t1", "t2", "id", "th").agg(F.lit(1).alias("one"))
                  .groupBy("t1", "t2").agg(F.count("*").alias("docs"), F.min(first).alias("first"))
-                 .filter(F.col("docs") >= min_docs)
-                 .select(F.col("t1").alias("r1"), F.col("t2").alias("r2"), "first"))
+                 .filter(F.col("docs") >= min_docs))
+    recurring = found.select(F.col("t1").alias("r1"), F.col("t2").alias("r2"), "first")
     again = templated.join(recurring, (F.col("t1") == F.col("r1")) & F.col("t2").eqNullSafe(F.col("r2")))
     again = again.filter(~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("th") == F.col("first.th"))))
     return again.groupBy("id", "th").agg(F.sort_array(F.collect_set("pos")).alias("dropped"))
