@@ -3,25 +3,26 @@
 Rules name a host and a path start; the longest one that fits decides.  The URLs that
 rules accept and reject train two smoothed variable-order Markov models over characters:
 Spark counts, over all such URLs, every context of up to ``ORDER`` characters with and
-without its next character (in ``2**BITS`` hash buckets a class); a character's
-probability at order k mixes its count after the last k characters with the probability
-at order k - 1, so that the order in effect follows the evidence.  The score of a URL is
-the length-normalised log-likelihood difference; the threshold that separates the
-accepted and rejected URLs best is found on histograms of their scores.
+without its next character, each under its own key; a character's probability at
+order k mixes its count after the last k characters with the probability at order
+k - 1, so that the order in effect follows the evidence.  The counts stay a Spark table
+that grows with the URLs.  The score of a URL is the length-normalised log-likelihood
+difference; the threshold that separates the accepted and rejected URLs best is found
+on histograms of their scores.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from .common import broadcast_value, written
-from .features import MIX_1, MIX_2, MIX_3
 
 ORDER = 5
-BITS = 19
+WINDOWS_PER_TASK = 200_000    # distinct windows whose probabilities a task works out
+BLOCK_BYTES = 1 << 20         # of URLs scored together
 MIX_WEIGHT = 2.0              # how many observations the shorter context counts as
 BINS = 4001                   # histogram of scores between -8 and 8 nats a character
 SPAN = 8.0
@@ -58,97 +59,190 @@ def matching_rule(host: Column, path: Column, rules=RULES) -> Column:
 
 # ------------------------------------------------------------------ character models
 
-def gram_buckets(texts: list[str], order: int = ORDER, bits: int = BITS):
-    """(symbol buckets, context buckets) of shape (order + 1, characters), and the text each
-    column belongs to.  Every text is read with a start mark before and an end mark after;
-    its characters are its UTF-8 bytes."""
+def windows_of(texts: list[str], order: int = ORDER):
+    """(windows, owner): of every character of every text, the character and the ``order``
+    before it as one integer (the character in the lowest byte), and its text's place.
+    Every text is read with a start mark before and an end mark after; its characters are
+    its UTF-8 bytes."""
     raw = [t.encode("utf-8", "surrogatepass") + b"\x03" for t in texts]
     pad = b"\x02" * order
-    data = np.frombuffer(pad + pad.join(raw), dtype=np.uint8).astype(np.uint64)
+    data = np.frombuffer(pad + pad.join(raw), dtype=np.uint8).astype(np.int64)
     lengths = np.array([len(r) for r in raw], dtype=np.int64)
     owner = np.repeat(np.arange(len(raw)), lengths)
     starts = order + np.concatenate(([0], np.cumsum(lengths + order)[:-1])) if len(raw) else np.empty(0, np.int64)
     at = np.repeat(starts - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths) + np.arange(lengths.sum())
-    shift = np.uint64(64 - bits)
-    symbol = data[at]
-    h = np.zeros(len(at), dtype=np.uint64)
-    with_symbol, contexts = [], []
+    windows = np.zeros(len(at), dtype=np.int64)
     for k in range(order + 1):
-        if k:
-            h = (h + data[at - k] + np.uint64(1)) * MIX_1
-            h ^= h >> np.uint64(32)
-        tag = np.uint64((k + 1) * int(MIX_2) & 0xFFFFFFFFFFFFFFFF)
-        c = (h + tag) * MIX_3
-        s = (h + tag + (symbol + np.uint64(1)) * MIX_1) * MIX_2
-        contexts.append(((c ^ (c >> np.uint64(29))) * MIX_1 >> shift).astype(np.int64))
-        with_symbol.append(((s ^ (s >> np.uint64(31))) * MIX_3 >> shift).astype(np.int64))
-    return np.stack(with_symbol), np.stack(contexts), owner
-
-
-def gram_counts(labelled: DataFrame, order: int = ORDER, bits: int = BITS) -> DataFrame:
-    """(accepted, kind, bucket, n): how often each bucket occurs over all rows of
-    ``labelled`` (text, accepted), pre-aggregated per batch."""
+        windows |= data[at - k] << (8 * k)
+    return windows, owner
+
+
+def gram_counts(labelled: DataFrame) -> DataFrame:
+    """(window, rejected, accepted): how often each window of ``ORDER`` + 1 characters
+    occurs over all rows of ``labelled`` (text, accepted), pre-aggregated per batch.  The
+    counts of all shorter grams and contexts are sums of these."""
     def count(batches):
         import pyarrow as pa
         for batch in batches:
             texts = batch.column(0).to_pylist()
-            accepted = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            accepted = batch.column(1).to_pylist()
             for side in (False, True):
-                own = [t for t, a in zip(texts, accepted.tolist()) if a == side and t]
+                own = [t for t, a in zip(texts, accepted) if bool(a) == side and t]
                 for s in range(0, len(own), 2000):
-                    grams, contexts, _ = gram_buckets(own[s:s + 2000], order, bits)
-                    for kind, values in ((0, grams), (1, contexts)):
-                        bucket, n = np.unique(values, return_counts=True)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(bucket), side)), pa.array(np.full(len(bucket), kind, np.int32)),
-                             pa.array(bucket.astype(np.int32)), pa.array(n.astype(np.int64))],
-                            names=["accepted", "kind", "bucket", "n"])
-    part = labelled.select("text", "accepted").mapInArrow(count, "accepted boolean, kind int, bucket int, n long")
-    return part.groupBy("accepted", "kind", "bucket").agg(F.sum("n").alias("n"))
+                    window, n = np.unique(windows_of(own[s:s + 2000])[0], return_counts=True)
+                    none = np.zeros(len(n), dtype=np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(window), pa.array(none if side else n), pa.array(n if side else none)],
+                        names=["window", "rejected", "accepted"])
+    part = labelled.select("text", "accepted").mapInArrow(count, "window long, rejected long, accepted long")
+    return _summed(part, F.col("window"), "window")
+
+
+def _summed(counts: DataFrame, key: Column, name: str) -> DataFrame:
+    return counts.groupBy(key.alias(name)).agg(F.sum("rejected").alias("rejected"), F.sum("accepted").alias("accepted"))
+
+
+def _low_bytes(key: Column, n: int) -> Column:
+    return key.bitwiseAND(F.lit((1 << 8 * n) - 1))
+
+
+def _dense_pairs(counts: DataFrame, key: Column) -> np.ndarray:
+    """Counts by a key of two bytes, of shape (2, 2**16)."""
+    rows = _summed(counts, key, "pair").toArrow()                 # at most 2**16 rows
+    table = np.zeros((2, 1 << 16))
+    for side, name in enumerate(("rejected", "accepted")):
+        table[side, rows["pair"].to_numpy()] = rows[name].to_numpy()
+    return table
 
 
 class CharModels:
-    """The two count tables: counts[accepted, kind] is an array of 2**bits floats."""
+    """Both models as tables of exact counts: windows and three-character grams stay
+    Spark tables, pairs of characters are dense arrays."""
 
-    def __init__(self, counts: np.ndarray, order: int = ORDER, bits: int = BITS):
-        self.counts, self.order, self.bits = counts, order, bits
+    def __init__(self, counts: DataFrame, trigrams: DataFrame, pairs: np.ndarray, contexts: np.ndarray):
+        self.counts, self.trigrams, self.contexts = counts, trigrams, contexts
+        square = pairs.reshape(2, 256, 256)                       # side, character before, character
+        self.both_sides = bool(pairs.sum(axis=1).all())
+        p = np.full((2, 1), 1 / 256)
+        p = (square.sum(axis=1) + MIX_WEIGHT * p) / (pairs.sum(axis=1, keepdims=True) + MIX_WEIGHT)
+        p = (square + MIX_WEIGHT * p[:, None, :]) / (square.sum(axis=2, keepdims=True) + MIX_WEIGHT)
+        self.after_one = p.reshape(2, -1)                         # probability after one character
 
     @classmethod
-    def of(cls, counts: DataFrame, order: int = ORDER, bits: int = BITS) -> "CharModels":
-        rows = counts.toArrow()                       # at most 4 * 2**bits rows
-        table = np.zeros((2, 2, 1 << bits), dtype=np.float32)
-        table[rows["accepted"].to_numpy().astype(int), rows["kind"].to_numpy(),
-              rows["bucket"].to_numpy()] = rows["n"].to_numpy()
-        return cls(table, order, bits)
+    def of(cls, counts: DataFrame) -> "CharModels":
+        counts = written(counts, "url-windows")
+        trigrams = written(_summed(counts, _low_bytes(F.col("window"), 3), "gram"), "url-trigrams")
+        return cls(counts, trigrams, _dense_pairs(trigrams, _low_bytes(F.col("gram"), 2)),
+                   _dense_pairs(trigrams, F.shiftright("gram", 8)))
+
+    def differences(self, wanted: DataFrame) -> DataFrame:
+        """(window, difference) of the windows ``wanted``: the log-probability of the last
+        character under the accepted model minus that under the rejected.
+
+        Windows that share their last three context characters meet in a task, where the
+        counts of orders 3 to ``ORDER`` are sums over its rows."""
+        zero = F.lit(0).cast("long")
+        asked = wanted.select("window").distinct().select("window", zero.alias("rejected"), zero.alias("accepted"),
+                                                          F.lit(True).alias("asked"))
+        every = (self.counts.withColumn("asked", F.lit(False)).unionByName(asked).groupBy("window")
+                 .agg(F.sum("rejected").alias("rejected"), F.sum("accepted").alias("accepted"),
+                      F.max("asked").alias("asked")))
+        grams = self.trigrams.select("gram", F.col("rejected").alias("rejected3"), F.col("accepted").alias("accepted3"))
+        every = (every.withColumn("gram", _low_bytes(F.col("window"), 3)).join(grams, "gram", "left")
+                 .select("window", "rejected", "accepted", F.coalesce("rejected3", zero).alias("rejected3"),
+                         F.coalesce("accepted3", zero).alias("accepted3"), "asked"))
+        every = written(every, "url-grams")
+        buckets = max(1, -(-every.count() // WINDOWS_PER_TASK))
+        context = _low_bytes(F.shiftright("window", 8), 3)
+        shared = broadcast_value(self.counts, (self.after_one, self.contexts))
+
+        def mixed(table):
+            import pyarrow as pa
+            after_one, contexts = shared.value
+            window = table["window"].to_numpy()
+            keys = {}
+            for k in range(3, ORDER + 1):
+                keys[k] = [np.unique(z, return_inverse=True)[1] for z in
+                           (window & ((1 << 8 * (k + 1)) - 1), (window >> 8) & ((1 << 8 * k) - 1))]
+            difference = 0.0
+            for side, sign, name in ((1, 1.0, "accepted"), (0, -1.0, "rejected")):
+                own = table[name].to_numpy()
+                p = ((table[name + "3"].to_numpy() + MIX_WEIGHT * after_one[side, window & 0xFFFF])
+                     / (contexts[side, (window >> 8) & 0xFFFF] + MIX_WEIGHT))
+                for gram, ctx in keys.values():
+                    p = (np.bincount(gram, own)[gram] + MIX_WEIGHT * p) / (np.bincount(ctx, own)[ctx] + MIX_WEIGHT)
+                difference = difference + sign * np.log(p)
+            asked = table["asked"].to_numpy().astype(bool)
+            return pa.table({"window": pa.array(window[asked]), "difference": pa.array(difference[asked])})
+
+        return (every.groupBy(F.pmod(F.xxhash64(context), F.lit(buckets)).alias("bucket"))
+                .applyInArrow(lambda key, table: mixed(table), "window long, difference double"))
 
     def score(self, texts: list[str]) -> np.ndarray:
-        """Mean log-probability under the accepted model minus that under the rejected."""
-        out = np.zeros(len(texts))
-        full = [i for i, t in enumerate(texts) if t]
-        if not full or not self.counts.any(axis=(1, 2)).all():
-            return out
-        grams, contexts, owner = gram_buckets([texts[i] for i in full], self.order, self.bits)
-        difference = 0.0
-        for side, sign in ((1, 1.0), (0, -1.0)):
-            p = np.full(grams.shape[1], 1 / 256)
-            for k in range(self.order + 1):
-                both, context = self.counts[side, 0][grams[k]], self.counts[side, 1][contexts[k]]
-                p = (np.minimum(both, context) + MIX_WEIGHT * p) / (context + MIX_WEIGHT)
-            difference = difference + sign * np.log(p)
-        length = np.bincount(owner, minlength=len(full))
-        out[full] = np.bincount(owner, difference, len(full)) / length
+        """Mean log-probability under the accepted model minus that under the rejected, of
+        a few texts."""
+        if not self.both_sides:
+            return np.zeros(len(texts))
+        spark = self.counts.sparkSession
+        wanted = np.unique(windows_of([t for t in texts if t])[0]).tolist()
+        found = self.differences(spark.createDataFrame([(w,) for w in wanted], "window long")).toArrow()
+        return _mean_differences(texts, found["window"].to_numpy(), found["difference"].to_numpy())
+
+
+def _mean_differences(texts: list[str], window: np.ndarray, difference: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(texts))
+    full = [i for i, t in enumerate(texts) if t]
+    if not full:
         return out
+    order = np.argsort(window)
+    mine, owner = windows_of([texts[i] for i in full])
+    values = difference[order][np.searchsorted(window[order], mine)]
+    out[full] = np.bincount(owner, values, len(full)) / np.bincount(owner, minlength=len(full))
+    return out
+
 
+def in_blocks(df: DataFrame, text_col: str) -> DataFrame:
+    """``df`` with ``block``: rows that follow one another, about ``BLOCK_BYTES`` of text."""
+    schema = StructType([*df.schema.fields, StructField("block", LongType())])
+    place = df.columns.index(text_col)
+
+    def number(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        from pyspark import TaskContext
+        part, seen = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            lengths = pc.fill_null(pc.binary_length(batch.column(place)), 0).to_numpy(zero_copy_only=False)
+            ends = seen + np.cumsum(lengths.astype(np.int64) + ORDER)
+            seen = int(ends[-1]) if len(ends) else seen
+            block = (np.int64(part) << 32) + ends // BLOCK_BYTES
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(block)], names=schema.fieldNames())
+    return df.mapInArrow(number, schema)
 
-def with_score(df: DataFrame, models: CharModels, text_col: str, out: str = "score") -> DataFrame:
-    shared = broadcast_value(df, models)
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        values = texts.tolist()
-        return pd.Series(np.concatenate([shared.value.score(values[s:s + 2000])
-                                         for s in range(0, len(values), 2000)] or [np.empty(0)]))
-    return df.withColumn(out, score(F.coalesce(F.col(text_col), F.lit(""))))
+def with_score(blocked: DataFrame, models: CharModels, text_col: str, out: str = "score") -> DataFrame:
+    """``blocked`` (with ``block``, as in_blocks numbers it) with the score of each text.
+    A block asks for each of its windows once, however often it occurs."""
+    if not models.both_sides:
+        return blocked.withColumn(out, F.lit(0.0)).drop("block")
+
+    def ask(batches):
+        import pyarrow as pa
+        for batch in batches:
+            blocks, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            for block in np.unique(blocks).tolist():
+                window = np.unique(windows_of([texts[i] for i in np.flatnonzero(blocks == block) if texts[i]])[0])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(window), block)), pa.array(window)],
+                                                 names=["block", "window"])
+    asked = written(blocked.select("block", text_col).mapInArrow(ask, "block long, window long").distinct(), "url-asked")
+    answers = asked.join(models.differences(asked), "window").select("block", "window", "difference")
+    schema = StructType([*blocked.schema.fields, StructField(out, DoubleType())])
+
+    def answer(rows, found):
+        import pyarrow as pa
+        score = _mean_differences(rows[text_col].to_pylist(), found["window"].to_numpy(), found["difference"].to_numpy())
+        return rows.append_column(out, pa.array(score))
+    return (blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(answer, schema).drop("block"))
 
 
 def calibrated_threshold(scored: DataFrame) -> float:
@@ -180,6 +274,7 @@ def filter_urls(pages: DataFrame, url_col: str = "url", id_col: str = "page_id",
     rows and null ids are judged like any other; extra columns play no part."""
     base = split_url(pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("text")), "text")
     base = base.withColumn("found", matching_rule(F.col("host"), F.col("path"), rules))
+    base = written(in_blocks(base, "text"), "url-blocks")
     labelled = base.filter("found is not null").select("text", (F.col("found.verdict") == "allow").alias("accepted"))
     models = CharModels.of(gram_counts(labelled))
     scored = written(with_score(base, models, "text"), "url-scores")

@@ -1,4 +1,6 @@
 import math
+import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -103,3 +105,30 @@ def test_edges(spark):
                                   "page_id long, url string, score int, host string")
     rows = urls.filter_urls(extra).collect()
     assert len(rows) == 3 and sum(r["rule"] == "com/" for r in rows) == 2
+
+
+def test_scores_stay_exact_beyond_half_a_million_grams(spark):
+    """Far more different grams than fit 2**19 hash buckets: counts of unrelated contexts
+    are not added together."""
+    rng = random.Random(3)
+    train = [("".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=40)), i % 2 == 0) for i in range(20_000)]
+    counts = urls.gram_counts(spark.createDataFrame(train, "text string, accepted boolean"))
+    models = urls.CharModels.of(counts)
+    assert models.counts.count() > 2 ** 19
+    probes = [train[0][0][:15], train[1][0][-15:], "abcabcabc0"]
+    got = models.score(probes)
+    joined = {a: b"".join(b"\x02" * urls.ORDER + t.encode() + b"\x03" for t, x in train if x == a) for a in (True, False)}
+
+    def seen(side, pattern):
+        return sum(1 for _ in re.finditer(b"(?=" + pattern + b")", joined[side], re.S))
+    for text, score in zip(probes, got):
+        s = b"\x02" * urls.ORDER + text.encode() + b"\x03"
+        total = 0.0
+        for i in range(urls.ORDER, len(s)):
+            for side, sign in ((True, 1), (False, -1)):
+                p = 1 / 256
+                for k in range(urls.ORDER + 1):
+                    p = ((seen(side, s[i - k:i + 1]) + urls.MIX_WEIGHT * p)
+                         / (seen(side, s[i - k:i] + b"[^\x02]") + urls.MIX_WEIGHT))
+                total += sign * math.log(p)
+        assert abs(total / (len(s) - urls.ORDER) - score) < 1e-9
