@@ -35,9 +35,11 @@ ORACLE["op1_line_dedup"] = linededup.line_dedup_sql()
 @query
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    scored = toxicity.toxicity_scores(docs.select("doc_id", "text"), toxicity.toxicity_fit(docs, labels))
+    weights = toxicity.toxicity_fit(docs, labels).toArrow()
+    scored = toxicity.toxicity_scores(docs.select("doc_id", "text"), weights)
+    toxic = (F.col("score") >= toxicity.THRESHOLD) & F.lit(weights.num_rows > 0)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
-                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+                         toxic.cast("int").alias("predicted"))
 
 
 @query

@@ -96,8 +96,8 @@ def _dense(key, at, w, bits: int) -> np.ndarray:
 def toxicity_scores(docs: DataFrame, weights: DataFrame, text_col: str = "text", out: str = "score",
                     bits: int = BITS) -> DataFrame:
     """``docs`` with the toxicity probability of each text (null and empty texts: that of
-    the intercept).  ``weights`` has at most 2**bits + 1 rows."""
-    model = weights.toArrow()
+    the intercept).  ``weights``, or the Arrow table of it, has at most 2**bits + 1 rows."""
+    model = weights.toArrow() if isinstance(weights, DataFrame) else weights
     at = model["feature"].to_numpy().copy()
     w = model["weight"].to_numpy().copy()
     shared = broadcast_value(docs, (at, w))
@@ -124,8 +124,12 @@ def toxicity_fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) ->
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the rows that score ``threshold`` or more; columns as before."""
+    """``docs`` without the rows that score ``threshold`` or more; columns as before.
+    Without weights (no usable label) nothing speaks against a document: all are kept."""
     from .common import packed, unpacked
+    weights = toxicity_fit(docs, labels).toArrow()
+    if not weights.num_rows:
+        return docs
     slim = docs.select(F.col("text").alias("__text"), packed(docs))
-    scored = toxicity_scores(slim, toxicity_fit(docs, labels), "__text", "__score")
+    scored = toxicity_scores(slim, weights, "__text", "__score")
     return unpacked(scored.filter(F.col("__score") < threshold), docs.schema)

@@ -89,6 +89,15 @@ def test_toxicity_edges(spark, doc_frame, data):
     assert toxicity.toxicity_scores(doc_frame([]), weights).count() == 0
 
 
+def test_without_usable_labels_nothing_is_dropped(spark, doc_frame, data):
+    docs, labels = data
+    frame = doc_frame(docs[:50])
+    unusable = [[], [(i, 1, None) for i, _, _ in labels], [x for x in labels if is_held(x[0])]]
+    for rows in unusable:
+        kept = toxicity.drop_toxic(frame, spark.createDataFrame(rows, LABELS))
+        assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, frame.collect()))
+
+
 def test_ftrl_against_plain_loop():
     rng = random.Random(8)
     rows = [(np.array(sorted(rng.sample(range(16), 4))), rng.randint(0, 1)) for _ in range(200)]
