@@ -3,9 +3,12 @@
 A page is read as a tree of containers.  Every container is named by its generalised path:
 the tags and classes from the root, digits replaced.  First pass: each page scores its
 containers by the text they hold directly (link text counts against them, part of the
-score passes to the parents) and votes for the path of the best.  Spark adds the votes up
-per host; second pass: each page is read again and gives the text of its containers under
-the first winning path of its host that holds text there, or else of its own best.
+score passes to the parents) and votes for the path of the best, and names the other paths
+that hold text on it.  Spark adds both up per host: a path wins if it is the best on at
+least half of the host's pages that have it, so that every layout of a host has its own.
+Second pass: each page is read again and gives the text under the winning path with the
+most votes, or under another one that scores much higher on the page.  A page whose own
+best path neither wins nor loses on its host stands for itself.
 """
 
 from __future__ import annotations
@@ -15,15 +18,17 @@ from collections import defaultdict
 from html import unescape
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import broadcast_value
 from .urls import split_url
 
-BROADCAST_HOSTS = 100_000      # winners of at most this many hosts are broadcast (under 30 MB)
-PATHS_PER_HOST = 3
-MIN_SHARE = 0.05               # of a host's votes that a winning path needs
+BROADCAST_HOSTS = 100_000      # at most so many paths of hosts are broadcast (under 30 MB)
+MIN_RATE = 0.5                 # of a host's pages with a path: on so many the winning path is the best
+MUCH = 2.0                     # a path with fewer votes is taken if it scores so many times higher
+MOST = 0.5                     # of a page's text: a container with more is not dropped by its name
+MOST_COMMENTS = 0.9            # the same for containers of reader comments
 SALT = 32
 CLIMB = 0.1
 
@@ -36,10 +41,11 @@ RAW_TEXT = set("script style title textarea noscript template iframe noframes xm
 DROPPED = set("""nav header footer aside form button select option fieldset menu dialog svg canvas object
 audio video map input head math""".split()) | RAW_TEXT
 DROPPED_NAMES = re.compile(
-    r"(?:^|[-_ ])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alerts?|popup|modal|"
+    r"^(?:(?:site|page|main|top|bottom|left|right|global|primary|secondary)[-_])?(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alerts?|popup|modal|"
     r"overlay|newsletter|subscribe|sidebar|side|aside|widget\w*|menu\w*|nav\w*|breadcrumbs?|pagination|pager|"
     r"header|masthead|footer|copyright|comments?|commentlist|replies|reply|respond|disqus|share|sharing|"
     r"social|related|recommend\w*|login|signup|search|toolbar|skip|hidden)(?:$|[-_ ])", re.I)
+COMMENT_NAMES = re.compile(r"^(?:comments?|commentlist|replies|reply|respond|disqus)(?:$|[-_ ])", re.I)
 DROPPED_ROLES = set("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 TAG_WEIGHT = {"article": 1.5, "main": 1.3, "body": 0.5, "html": 0.2, "ul": 0.5, "ol": 0.6, "table": 0.8}
 
@@ -51,10 +57,12 @@ _DIGITS = re.compile(r"\d+")
 
 
 class Container:
-    __slots__ = ("tag", "path", "parent", "dropped", "blocks", "linked", "order")
+    __slots__ = ("tag", "path", "parent", "dropped", "named", "blocks", "linked", "order", "had")
 
-    def __init__(self, tag: str, path: str, parent, dropped: bool):
-        self.tag, self.path, self.parent, self.dropped = tag, path, parent, dropped
+    def __init__(self, tag: str, path: str, parent, dropped: bool, named: float = 0.0):
+        """``dropped``: for good; ``named``: dropped by its name, unless it holds more than
+        this share of the page's text (0: not by its name)."""
+        self.tag, self.path, self.parent, self.dropped, self.named = tag, path, parent, dropped, named
         self.blocks: list[tuple[int, str]] = []
         self.linked = 0
 
@@ -77,8 +85,36 @@ def _is_dropped(tag: str, attributes: dict) -> bool:
         return True
     if "display:none" in attributes.get("style", "").replace(" ", "").lower():
         return True
-    names = attributes.get("class", "").split() + [attributes.get("id", "")]
-    return tag not in ("html", "body", "article", "main") and any(DROPPED_NAMES.search(n) for n in names if n)
+    return False
+
+
+def _dropped_name(tag: str, attributes: dict) -> float:
+    """The share of a page's text up to which a container of this name is dropped, or 0."""
+    if tag in ("html", "body", "article", "main"):
+        return 0.0
+    names = [n for n in attributes.get("class", "").split() + [attributes.get("id", "")] if n]
+    if any(COMMENT_NAMES.search(n) for n in names):
+        return MOST_COMMENTS
+    return MOST if any(DROPPED_NAMES.search(n) for n in names) else 0.0
+
+
+def _drop_by_name(containers: list[Container]) -> None:
+    """Takes the text from containers with a dropped name and from those below them, but
+    not where the name stands for most of the page's text outside of links."""
+    for c in containers:
+        c.had = bool(c.blocks)
+    if not any(c.named for c in containers):
+        return
+    size = {id(c): max(0, sum(len(t) for _, t in c.blocks) - c.linked) for c in containers}
+    total = sum(size.values())
+    for c in reversed(containers):                                # children come after their parents
+        if c.parent is not None:
+            size[id(c.parent)] += size[id(c)]
+    gone = set()
+    for c in containers:
+        if (c.parent is not None and id(c.parent) in gone) or (c.named and size[id(c)] <= c.named * total):
+            gone.add(id(c))
+            c.dropped, c.blocks, c.linked = True, [], 0
 
 
 def read_containers(html: str) -> list[Container]:
@@ -159,25 +195,26 @@ def read_containers(html: str) -> list[Container]:
             else:
                 continue
         if tag in INLINE:
-            if attributes and _is_dropped(tag, attributes):
+            if attributes and (_is_dropped(tag, attributes) or _dropped_name(tag, attributes)):
                 quiet.append(tag)
             elif tag == "a":
                 links += 1
             continue
         flush()
         if tag in TEXT_BLOCKS:
-            if tag != "hr" and attributes and _is_dropped(tag, attributes):
+            if tag != "hr" and attributes and (_is_dropped(tag, attributes) or _dropped_name(tag, attributes)):
                 quiet.append(tag)
             continue
         top = stack[-1]
         node = Container(tag, f"{top.path}>{_name(tag, attributes)}" if top.path else _name(tag, attributes), top,
-                         top.dropped or _is_dropped(tag, attributes))
+                         top.dropped or _is_dropped(tag, attributes), _dropped_name(tag, attributes))
         if not rest.endswith("/") or tag not in ("svg", "math"):
             stack.append(node)
         found.append(node)
     if at < len(html) and not quiet:
         parts.append(html[at:])
     flush()
+    _drop_by_name(found)
     return found
 
 
@@ -222,34 +259,67 @@ def text_under(containers: list[Container], path: str) -> str:
     return "\n".join(t for _, t in sorted(blocks))
 
 
-def main_text(html: str | None, winners) -> str:
-    """The text under the first of the host's ``winners`` that holds any, else under the
-    page's own best path; empty if there is none."""
+def held_paths(containers: list[Container]) -> set[str]:
+    """The paths that hold text of their own or below them, dropped by name or not: a box
+    that is most of a few short pages does not win on its host."""
+    held = set()
+    for c in containers:
+        if c.had:
+            while c is not None and c.path not in held:
+                held.add(c.path)
+                c = c.parent
+    return held
+
+
+def main_text(html: str | None, known) -> str:
+    """The text under the page's path: of the paths ``known`` of its host (path, wins; most
+    votes first) the first winning one that holds text here, or one that scores more than
+    ``MUCH`` times as high; the page's own best path counts too if it is not known to lose.
+    Empty if no container holds text."""
     if not html:
         return ""
     containers = read_containers(html)
-    for path in winners if winners is not None else ():
-        if text := text_under(containers, path):
-            return text
     own = best_path(containers)
-    return "" if own is None else text_under(containers, own)
+    held = held_paths(containers)
+    known = {} if known is None else {k["path"]: k["wins"] for k in known if k["path"] in held}
+    paths = [p for p, wins in known.items() if wins and text_under(containers, p)]
+    if own is not None and own not in known:
+        paths.append(own)
+    if len(paths) > 1:
+        scores = container_scores(containers)
+        inside = [max((s for q, s in scores.items() if q == p or q.startswith(p + ">")), default=0.0) for p in paths]
+        taken = 0
+        for i in range(1, len(paths)):
+            if inside[i] > MUCH * inside[taken]:
+                taken = i
+        paths = paths[taken:]
+    if not paths:
+        return "" if own is None else text_under(containers, own)
+    return text_under(containers, paths[0])
 
 
 # ------------------------------------------------------------------ operator
 
-def host_votes(pages: DataFrame, html_col: str = "html") -> DataFrame:
-    """(host, paths): the winning paths of each host, most votes first (ties: by name)."""
-    @F.pandas_udf("string")
+def host_paths(pages: DataFrame, html_col: str = "html") -> DataFrame:
+    """(host, path, votes, wins): the paths that are the best of some page and hold text on
+    two or more pages of the host, and whether they win there."""
+    @F.pandas_udf("array<string>")
     def vote(htmls: pd.Series) -> pd.Series:
-        return pd.Series([best_path(read_containers(h)) if h else None for h in htmls], dtype=object)
-    votes = (pages.select("host", vote(F.col(html_col)).alias("path")).filter("path is not null")
-             .groupBy("host", "path").agg(F.count("*").alias("n")))
-    rank = Window.partitionBy("host").orderBy(F.desc("n"), "path")
-    total = votes.groupBy("host").agg(F.sum("n").alias("total"))
-    first = votes.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= PATHS_PER_HOST)
-    return (first.join(total, "host").filter(F.col("n") >= MIN_SHARE * F.col("total"))
-            .groupBy("host").agg(F.sort_array(F.collect_list(F.struct("rank", "path"))).alias("found"))
-            .select("host", F.col("found.path").alias("paths")))
+        def of(html):
+            containers = read_containers(html) if html else []
+            best = best_path(containers)
+            return None if best is None else [best, *sorted(held_paths(containers) - {best})]
+        return pd.Series([of(h) for h in htmls], dtype=object)
+    votes = (pages.select("host", vote(F.col(html_col)).alias("paths")).filter("paths is not null")
+             .select("host", F.posexplode("paths").alias("place", "path"))
+             .groupBy("host", "path").agg(F.count("*").alias("held"), F.count_if(F.col("place") == 0).alias("votes")))
+    return (votes.filter("votes > 0 and held > 1")
+            .select("host", "path", "votes", (F.col("votes") >= MIN_RATE * F.col("held")).alias("wins")))
+
+
+def _listed():
+    """Paths of a group as an array, most votes first (ties: by name)."""
+    return F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("rank"), "path", "wins")))
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
@@ -259,9 +329,10 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     each; extra columns play no part."""
     base = split_url(pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"),
                                   F.col(html_col).alias("html")), "url").drop("path")
-    winners = host_votes(base).persist()
-    if winners.count() <= BROADCAST_HOSTS:
-        table = {r["host"]: r["paths"] for r in winners.collect()}
+    paths = host_paths(base).persist()
+    if paths.count() <= BROADCAST_HOSTS:
+        table = {r["host"]: [{"path": k["path"], "wins": k["wins"]} for k in r["known"]]
+                 for r in paths.groupBy("host").agg(_listed().alias("known")).collect()}
         shared = broadcast_value(base, table)
 
         @F.pandas_udf("string")
@@ -269,12 +340,20 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
             return pd.Series([main_text(h, shared.value.get(host)) for host, h in zip(hosts, htmls)], dtype=object)
         out = base.select("id", "url", extract("host", "html").alias("text"))
     else:
-        # too many hosts to send around: a join in which every host is spread over SALT keys
+        # too many to send around: every different page asks for the paths it has, with
+        # each path of a host spread over SALT keys
+        @F.pandas_udf("array<string>")
+        def held(htmls: pd.Series) -> pd.Series:
+            return pd.Series([sorted(held_paths(read_containers(h))) for h in htmls], dtype=object)
+
         @F.pandas_udf("string")
-        def extract_by(paths: pd.Series, htmls: pd.Series) -> pd.Series:
-            return pd.Series([main_text(h, p) for p, h in zip(paths, htmls)], dtype=object)
-        salted = winners.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-        mine = base.withColumn("salt", F.pmod(F.xxhash64("html", "id"), F.lit(SALT)).cast("int"))
-        out = mine.join(salted, ["host", "salt"], "left").select("id", "url", extract_by("paths", "html").alias("text"))
-    winners.unpersist()
+        def extract_by(known: pd.Series, htmls: pd.Series) -> pd.Series:
+            return pd.Series([main_text(h, k) for k, h in zip(known, htmls)], dtype=object)
+        keyed = base.withColumn("page", F.sha2("html", 256))
+        salted = paths.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+        asked = (keyed.filter("html is not null").select("host", "page", F.explode(held("html")).alias("path"))
+                 .distinct().withColumn("salt", F.pmod(F.xxhash64("page"), F.lit(SALT)).cast("int")))
+        known = asked.join(salted, ["host", "path", "salt"]).groupBy("host", "page").agg(_listed().alias("known"))
+        out = keyed.join(known, ["host", "page"], "left").select("id", "url", extract_by("known", "html").alias("text"))
+    paths.unpersist()
     return out

@@ -69,5 +69,41 @@ def test_join_of_many_hosts_gives_the_same(spark, monkeypatch):
     assert a == sorted(map(tuple, html_text.extract_main_text(frame).collect()))
 
 
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-sidebar", "with-sidebar wrap", "nav-open", "site-header-on"])
+def test_wrappers_named_after_boxes_keep_their_article(name):
+    page = (f'<html><body><div class="{name}"><div class="text"><p>The long article of this page.</p><p>It goes on.</p>'
+            '</div></div><div class="sidebar"><p>Side.</p></div></body></html>')
+    assert html_text.main_text(page, ()) == "The long article of this page.\nIt goes on."
+
+
+def test_comments_longer_than_the_article_stay_out():
+    page = ('<html><body><div class="text"><p>A short article.</p></div><div class="comments"><p>' + "A reader says. " * 5
+            + '</p></div></body></html>')
+    assert html_text.main_text(page, ()) == "A short article."
+
+
+@pytest.mark.parametrize("limit", [100_000, -1])
+def test_every_layout_of_a_host_keeps_its_article(spark, monkeypatch, limit):
+    """Five layouts on a host, the smallest on 2 of 102 pages, each with a small box under
+    the path of the most frequent."""
+    monkeypatch.setattr(html_text, "BROADCAST_HOSTS", limit)
+    rows, want = [], {}
+    for layout, pages in (("a", 55), ("b", 20), ("c", 15), ("d", 10), ("e", 2)):
+        for i in range(pages):
+            text = f"The long article {len(rows)} of this page in layout {layout}. " * 5
+            box = "" if layout == "a" else '<div class="la"><p>A box.</p></div>'
+            want[len(rows)] = text.strip()
+            rows.append((len(rows), "http://h.com/x", f'<html><body>{box}<div class="l{layout}"><p>{text}</p></div></body></html>'))
+    got = html_text.extract_main_text(spark.createDataFrame(rows, PAGES)).collect()
+    assert {r["id"]: r["text"] for r in got} == want
+
+
+def test_a_long_box_on_short_pages_does_not_win(spark):
+    rows = [(i, "http://h.com/x", site("story", [f"Story {i} " * (40 if i else 1)], "")
+             .replace("</body>", '<div class="sidebar"><p>A box of the site, always the same.</p></div></body>')) for i in range(9)]
+    got = {r["id"]: r["text"] for r in html_text.extract_main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got[0] == "Story 0" and got[1].startswith("Story 1")
+
+
 def test_empty(spark):
     assert html_text.extract_main_text(spark.createDataFrame([], PAGES)).count() == 0
