@@ -3,8 +3,12 @@
 Each pass hashes every distinct vector to the signs of ``BITS`` random projections,
 concatenated into one key, sorts the vectors by it, and compares each with the next
 ``WINDOW`` in the order; the verified pairs of all passes are united into components.
-The number of passes follows from the table's size so that a pair at the threshold is
-missed by all passes with a probability below ``MISS``.
+Vectors that agree in the leading signs are compared whether or not they fit a window: a
+run of equal leading signs that is longer is dealt out as pairs of blocks.  So the number
+of passes follows from the table's size alone, and a pair at the threshold is missed by
+all passes with a probability below ``MISS`` however dense its surroundings are.  Where
+these blocks would cost more than comparing all vectors with one another once, that is
+done instead.
 
 A window does not see all pairs of a large group of near copies, and need not: it only
 has to connect the group.  The links are then counted exactly, by comparing all vectors
@@ -32,12 +36,16 @@ BLOCK = 2048
 SEED = 77
 
 
+def leading_signs(n: int, window: int = WINDOW) -> int:
+    """So many that evenly spread vectors with equal leading signs fit half a window."""
+    return min(BITS, max(1, math.ceil(math.log2(max(2, n) / window) + 1)))
+
+
 def passes_for(n: int, cosine: float = COSINE, window: int = WINDOW, miss: float = MISS) -> int:
     """Two vectors at the threshold agree in a projection's sign with probability
-    1 - angle / pi; they are within a window of each other when they agree in about
-    log2(n / window) leading signs."""
+    1 - angle / pi; they are compared when they agree in ``leading_signs``."""
     agree = 1 - math.acos(cosine) / math.pi
-    met = agree ** max(1.0, math.log2(max(2, n) / window) + 1)
+    met = agree ** leading_signs(n, window)
     return max(4, math.ceil(math.log(miss) / math.log1p(-met)))
 
 
@@ -186,6 +194,73 @@ def window_links(vectors: DataFrame, width: int, passes: int, window: int = WIND
     return found.filter("a is not null").select("a", "b").unionByName(seams).distinct()
 
 
+# ------------------------------------------------------------------ runs longer than a window
+
+def _block_links(width: int, cosine: float):
+    """Rows (chunk, i, j, node, x) of some runs -> a forest of the links within chunk i, or
+    between the chunks i and j, of each run."""
+    def link(table):
+        import pyarrow as pa
+        root, chunk, node, i, j = (table[c].to_numpy() for c in ("root", "chunk", "node", "i", "j"))
+        order = np.lexsort((node, chunk, root))
+        root, chunk, node, i, j = (z[order] for z in (root, chunk, node, i, j))
+        unit = _unit(_matrix(table["x"], width)[order])
+        cuts = np.flatnonzero(np.concatenate(([True], root[1:] != root[:-1], [True])))
+        a, b = [], []
+        for s, e in zip(cuts.tolist(), cuts[1:].tolist()):
+            if i[s] == j[s]:
+                near = np.triu(unit[s:e] @ unit[s:e].T >= cosine, 1)
+            else:
+                m = int(np.searchsorted(chunk[s:e], j[s]))
+                near = np.zeros((e - s, e - s), dtype=bool)
+                near[:m, m:] = unit[s:s + m] @ unit[s + m:e].T >= cosine
+            if near.any():
+                p, q = band_forest(near)
+                a.append(node[s:e][p])
+                b.append(node[s:e][q])
+        none = np.empty(0, np.int64)
+        return pa.table({"a": pa.array(np.concatenate([none, *a])), "b": pa.array(np.concatenate([none, *b]))})
+    return link
+
+
+def _links_within(members: DataFrame, width: int, cosine: float, block: int) -> DataFrame:
+    """Links (a, b) that connect what links within each root of ``members`` (root, size,
+    node, x), as pairs of blocks; small roots share a task."""
+    n_small = members.filter(F.col("size") <= block).count()
+    buckets = max(1, -(-n_small // block))
+    zero = F.lit(0)
+    small = (members.filter(F.col("size") <= block)
+             .select(F.pmod(F.xxhash64("root"), F.lit(buckets)).alias("g"), zero.alias("i"), zero.alias("j"),
+                     zero.alias("chunk"), "root", "node", "x"))
+    chunks = F.ceil(F.col("size") / block).cast("int")
+    large = (members.filter(F.col("size") > block).withColumn("chunks", chunks)
+             .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(zero, F.col("chunks") - 1)))
+             .select(F.col("root").alias("g"), F.least("chunk", "other").alias("i"),
+                     F.greatest("chunk", "other").alias("j"), "chunk", "root", "node", "x"))
+    link = _block_links(width, cosine)
+    parts = [z.groupBy("g", "i", "j").applyInArrow(link, "a long, b long") for z in (small, large)]
+    return parts[0].unionByName(parts[1])
+
+
+def all_links(vectors: DataFrame, n: int, width: int, passes: int, window: int = WINDOW, cosine: float = COSINE,
+              block: int = BLOCK, seed: int = SEED) -> DataFrame:
+    """Links (a, b) among the vectors that agree in the leading signs of some pass."""
+    lead = F.shiftright("key", BITS - leading_signs(n, window)).alias("lead")
+    keyed = _keyed(vectors, width, passes, seed)
+    runs = written(keyed.groupBy("pass", lead).agg(F.count("*").alias("size")).filter(F.col("size") > window + 1)
+                   .withColumn("root", F.monotonically_increasing_id()), "long-runs")
+    work = runs.agg(F.sum(F.col("size").cast("double") * F.col("size"))).first()[0]
+    if work is None:
+        return window_links(vectors, width, passes, window, cosine, seed)
+    if work >= float(n) * n:
+        every = vectors.select(F.lit(0).cast("long").alias("root"), F.lit(n).cast("long").alias("size"), "node", "x")
+        return _links_within(every, width, cosine, block).distinct()
+    members = keyed.withColumn("lead", lead).join(runs, ["pass", "lead"]).select("root", "size", "node", "x")
+    return (window_links(vectors, width, passes, window, cosine, seed)
+            .unionByName(_links_within(written(members, "run-members"), width, cosine, block)).distinct())
+
+
 # ------------------------------------------------------------------ exact counts
 
 def _count_within(width: int, cosine: float):
@@ -252,7 +327,8 @@ def near_duplicate_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col:
     totals = vectors.agg(F.count("*").alias("n"), F.max(F.size("x")).alias("width")).first()
     width = max(1, totals["width"] or 1)
     passes = passes or passes_for(totals["n"], cosine, window)
-    labels = written(connected_components(window_links(vectors, width, passes, window, cosine, seed)), "vector-roots")
+    labels = written(connected_components(all_links(vectors, totals["n"], width, passes, window, cosine, block,
+                                                            seed)), "vector-roots")
     members = vectors.join(labels, "node").select("root", "node", "x", "copies", "least")
     members = written(members, "vector-members")
     links = link_counts(members, width, cosine, block)

@@ -56,6 +56,30 @@ def test_matches_brute_force(spark, block):
     assert sorted(map(tuple, got.collect()), key=str) == brute(rows)
 
 
+@pytest.mark.parametrize("spread", [0, 6000])
+def test_pairs_in_a_dense_cluster_that_does_not_link(spark, spread):
+    """600 vectors at cosine about 0.8 to each other with 60 pairs just above the threshold:
+    runs of equal signs are far longer than the window.  With many others around them only
+    their runs are compared in blocks, alone all vectors are."""
+    rng = np.random.default_rng(9)
+    centre = rng.normal(size=64)
+    centre /= np.linalg.norm(centre)
+
+    def around(c, cosine):
+        other = rng.normal(size=64)
+        other -= (other @ c) / (c @ c) * c
+        return cosine * c + np.sqrt(1 - cosine ** 2) * other / np.linalg.norm(other) * np.linalg.norm(c)
+    dense = [around(centre, 0.9) for _ in range(540)]
+    dense += [around(dense[i], 0.905) for i in range(60)]
+    rows = [(i, [float(x) for x in v.astype(np.float32)], 0) for i, v in enumerate(dense)]
+    rows += [(1000 + i, [float(x) for x in v], 0) for i, v in enumerate(rng.normal(size=(spread, 64)).astype(np.float32))]
+    got = nv.near_duplicate_vectors(spark.createDataFrame(rows, SCHEMA), window=16, block=128, passes=None if not spread else 40)
+    got = {r["id"]: tuple(r) for r in got.collect()}
+    want = brute(rows[:600])
+    assert sum(r[1] for r in want) >= 120
+    assert [r for r in want if got[r[0]] != r] == []
+
+
 def test_copies_and_empty(spark):
     rows = [(i, [1.0, 2.0], 0) for i in range(300)] + [(900 + i, [2.0, -1.0], 0) for i in range(3)]
     got = nv.near_duplicate_vectors(spark.createDataFrame(rows, SCHEMA)).collect()
