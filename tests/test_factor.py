@@ -179,3 +179,34 @@ def test_lfm_loss_matches_brute_force(spark, monkeypatch, per_block):
         y[u - 1, i - 1] = 1
     want = np.sum((y - 1 / (1 + np.exp(-(P @ Q.T)))) ** 2) + 0.1 * (np.sum(P ** 2) + np.sum(Q ** 2))
     assert np.isclose(got, want)
+
+
+def test_registered_fits_see_all_their_ratings_at_the_published_setting(spark, monkeypatch):
+    """Served models learn from all ratings, evaluated ones from the training split, each
+    call from its own data, with the default number of epochs and blocks."""
+    from pyspark.sql import functions as F
+
+    from tastemap.operators.sgd import initial_model
+    from tastemap.plans import queries_factor as qf
+    sf = "/root/testdata/sf0.001"
+    fits = []
+
+    def fit(link):
+        def record(data, **kw):
+            fits.append((data.count(), kw))
+            m = initial_model(data, 4, link=link)
+            if link == "identity":
+                m.user_factors = m.user_factors.withColumn("bu", F.lit(0.0))
+                m.item_factors = m.item_factors.withColumn("bi", F.lit(0.0))
+            return m
+        return record
+    monkeypatch.setattr(qf, "funk_svd", fit("identity"))
+    monkeypatch.setattr(qf, "lfm", fit("sigmoid"))
+    everything, train = qf.ratings(spark, sf).count(), qf.split(spark, sf)[0].count()
+    assert train < everything
+    for name, rows in (("funksvd", train), ("funksvd_topn", everything), ("lfm", train), ("lfm_loss", everything),
+                       ("eval_funksvd", train), ("funksvd_topn", everything)):
+        fn = {"funksvd": qf.funksvd_q, "lfm": qf.lfm_q, "lfm_loss": qf.lfm_loss_q}.get(name) or getattr(qf, name)
+        fits.clear()
+        fn(spark, sf)
+        assert fits == [(rows, {})], name
