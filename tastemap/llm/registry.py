@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, linededup, mixing, neardup_vectors, packing, quality, simhash, topk, toxicity, urls
+from . import byte_bpe, html_text, linededup, mixing, neardup_vectors, packing, quality, simhash, topk, toxicity, urls
 from .common import held_out, table
 
 QUERIES: dict = {}
@@ -89,3 +89,15 @@ ORACLE["op9_mixing"] = mixing.mixing_sql()
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    tokens = byte_bpe.shared_table(docs, public_tokenizers.path(byte_bpe.VOCABULARY))
+    coded = byte_bpe.encode_texts(docs, tokens, public_tokenizers.PATTERN).select("doc_id", "ids")
+    both = byte_bpe.decode_ids(coded, tokens)
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
