@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, html_text, linededup, mixing, neardup_vectors, packing, quality, simhash, topk, toxicity, urls
+from . import byte_bpe, centroids, html_text, linededup, merkle, mixing, neardup_vectors, packing, quality, simhash, topk, toxicity, urls
 from .common import held_out, table
 
 QUERIES: dict = {}
@@ -101,3 +101,19 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.document_manifest(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_merkle_manifest"] = merkle.manifest_sql()
+
+
+@query
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+ORACLE["op13_centroids"] = centroids.clusters_sql()
