@@ -1,18 +1,25 @@
 """Line dedup by a log-template tree (DataFrame functions only).
 
 A line is parsed at fixed depth: its leaf is its number of tokens and its first ``DEPTH``
-tokens, tokens with a digit counting as the variable field ``<*>``.  In a leaf, every
-further position at which no token holds the majority of the distinct lines is a variable
-field too; lines that agree with the leaf's template in a share of at least
-``SIMILARITY`` of their tokens belong to it, every other line is a template of its own.
-A template that occurs in ``MIN_DOCS`` documents or more is recurring: its lines are
-dropped from all documents but the first (the one with the smallest id).  Lines with
-fewer than ``DEPTH`` tokens have no leaf and are kept.
-
-Only hashes and positions of lines are shuffled; token by token work is done for the
-leaves with several distinct lines alone.  A line or leaf that a third of all rows share
+tokens, tokens with a digit counting as the variable field ``<*>``.  The distinct lines of a
+leaf are then compared position by position.  They are one template if they agree in enough
+positions (``CONSTANTS`` tokens and ``CONSTANT_SHARE`` of all) and every other position is
+truly variable: ``VALUES`` values or more, in lines first seen in ``VALUES`` documents or
+more.  A leaf that is no template is split, up to ``LEVELS`` levels deep, by its tokens at
+the positions with fewer values than that (at its position with the fewest values, if there
+is none), and its parts are tried again.  A line in no template stands for itself: it recurs
+only as the same line, up to its digits.
+
+A template or line that occurs in ``MIN_DOCS`` documents or more is recurring: it is dropped
+from all documents but the first (the one with the smallest id).  Lines with fewer than
+``DEPTH`` tokens have no leaf and are kept.
+
+Only hashes and positions of lines are shuffled; token by token work is done for the leaves
+with at least ``VALUES`` distinct lines alone.  A line or leaf that a third of all rows share
 is pre-aggregated before its shuffle, and joins to it can be split (equi-joins whose other
-side has one row a key).  The texts move once, to be rebuilt without the dropped lines.
+side has one row a key).  Leaves are told apart by a hash, but a template is found on the
+tokens themselves, so two leaves under one hash are split apart before anything is dropped.
+The texts move once, to be rebuilt without the dropped lines.
 """
 
 from __future__ import annotations
@@ -23,7 +30,9 @@ from pyspark.sql import functions as F
 from .common import packed, written
 
 DEPTH = 3
-SIMILARITY = 0.8
+LEVELS = 3                        # of nodes below the leading tokens, the leaf included
+VALUES = 3                        # of a variable field, and documents that show them
+CONSTANTS, CONSTANT_SHARE = 5, 0.6
 MIN_DOCS = 2
 
 BROADCAST_LEAVES = 1_000_000      # rows of 16 bytes; more leaves are joined by a shuffle
@@ -68,61 +77,82 @@ def _keys(lines: DataFrame, depth: int) -> DataFrame:
     return lines.select("id", "th", "pos", F.xxhash64("n", lead).alias("leaf"), F.xxhash64("line").alias("l"))
 
 
-def leaf_members(lines: DataFrame, keyed: DataFrame, depth: int, similarity: float) -> DataFrame:
-    """(leaf, l) of the distinct lines that belong to their leaf's template, for leaves with
-    several distinct lines."""
+def _node_stats(lines: DataFrame, values: int, constants: int, share: float) -> DataFrame:
+    """(node, general, cut) of the nodes of lines (node, id, words): whether its lines are one
+    template, else the positions to split it by (null: not worth it)."""
+    tokens = lines.select("node", F.posexplode("words").alias("p", "token"))
+    at = (tokens.groupBy("node", "p", "token").agg(F.count("*").alias("c"))
+          .groupBy("node", "p").agg(F.count("*").alias("d"), F.sum("c").alias("m")))
+    # a position that some lines lack (two leaves under one hash) has one value more
+    whole = lines.groupBy("node").agg(F.count("*").alias("lines"), F.count_distinct("id").alias("docs"))
+    at = at.join(whole, "node").withColumn("d", F.col("d") + (F.col("m") < F.col("lines")).cast("int"))
+    node = at.groupBy("node").agg(
+        F.max("docs").alias("docs"), F.count("*").alias("n"), F.count_if(F.col("d") == 1).alias("fixed"),
+        F.min(F.when(F.col("d") > 1, F.struct("d", "p"))).alias("least"),
+        F.sort_array(F.collect_list(F.when((F.col("d") > 1) & (F.col("d") < values), F.col("p")))).alias("few"))
+    enough = (F.col("fixed") >= constants) & (F.col("fixed") >= F.lit(share) * F.col("n"))
+    general = (F.col("least.d") >= values) & enough
+    cut = F.when(F.size("few") > 0, F.col("few")).otherwise(F.array(F.col("least.p")))
+    return (node.filter(F.col("docs") >= values)         # parts of a node have no more documents than it
+            .select("node", general.alias("general"), F.when(~general, cut).alias("cut")))
+
+
+def template_lines(lines: DataFrame, keyed: DataFrame, depth: int = DEPTH, levels: int = LEVELS, values: int = VALUES,
+                   constants: int = CONSTANTS, share: float = CONSTANT_SHARE) -> DataFrame:
+    """(leaf, l, node) of the distinct lines that belong to a template."""
     distinct = keyed.groupBy("leaf", "l").agg(F.lit(1).alias("one")).drop("one")
-    several = written(distinct.groupBy("leaf").agg(F.count("*").alias("lines")).filter("lines > 1"), "leaves")
+    several = written(distinct.groupBy("leaf").agg(F.count("*").alias("lines")).filter(F.col("lines") >= values)
+                      .select("leaf"), "leaves")
     if several.count() <= BROADCAST_LEAVES:
         several = F.broadcast(several)
     lead = F.substring_index("line", " ", depth)
     texts = (lines.withColumn("leaf", F.xxhash64("n", lead)).join(several, "leaf")
-             .groupBy("leaf", "lines", F.xxhash64("line").alias("l")).agg(F.first("line").alias("line")))
-    texts = written(texts.select("leaf", "lines", "l", F.split("line", " ").alias("words")), "leaf-lines")
-    tokens = texts.select("leaf", "lines", F.posexplode("words").alias("p", "token"))
-    most = (tokens.groupBy("leaf", "lines", "p", "token").agg(F.count("*").alias("c"))
-            .groupBy("leaf", "lines", "p").agg(F.max(F.struct("c", "token")).alias("top")))
-    constant = F.when(F.col("top.c") * 2 > F.col("lines"), F.col("top.token"))
-    template = (most.select("leaf", F.struct("p", constant.alias("token")).alias("field"))
-                .groupBy("leaf").agg(F.sort_array(F.collect_list("field")).alias("fields"))
-                .select("leaf", F.col("fields.token").alias("fixed")))
-    same = F.zip_with("words", "fixed", lambda w, f: w == f)
-    agree = F.size(F.filter(same, lambda x: x))
-    return (texts.join(template, "leaf").filter(agree >= F.lit(similarity) * F.size("words"))
-            .select("leaf", "l"))
-
-
-def dropped_lines(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMILARITY,
-                  min_docs: int = MIN_DOCS) -> DataFrame:
+             .groupBy("leaf", F.xxhash64("line").alias("l")).agg(F.first("line").alias("line"), F.min("id").alias("id")))
+    open_ = written(texts.select("leaf", F.col("leaf").alias("node"), "l", "id", F.split("line", " ").alias("words")), "leaf-lines")
+    found = []
+    for level in range(levels):
+        stats = written(_node_stats(open_, values, constants, share), "nodes")
+        found.append(open_.join(stats.filter("general"), "node").select("leaf", "l", "node"))
+        if level + 1 < levels:
+            parts = open_.join(stats.filter("not general").select("node", "cut"), "node")
+            child = F.xxhash64("node", F.transform("cut", lambda p: F.get("words", p)))
+            parts = parts.select("leaf", child.alias("node"), "l", "id", "words")
+            big = parts.groupBy("node").agg(F.count("*").alias("lines")).filter(F.col("lines") >= values).select("node")
+            open_ = written(parts.join(big, "node", "left_semi").select("leaf", "node", "l", "id", "words"), "leaf-lines")
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def dropped_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, **template) -> DataFrame:
     """(id, th, dropped): positions of the lines to drop, for documents that lose any.
     ``docs`` has (id, th, text)."""
     lines = line_table(docs, depth)
     keyed = written(_keys(lines, depth), "line-keys")
-    members = leaf_members(lines, keyed, depth, similarity)
-    member = members.withColumn("member", F.lit(True))
-    # a leaf's template is keyed (leaf, null), a line of its own (leaf, l)
-    templated = (keyed.join(member, ["leaf", "l"], "left")
-                 .select("id", "th", "pos", F.col("leaf").alias("t1"),
-                         F.when(F.col("member").isNull(), F.col("l")).alias("t2")))
+    members = template_lines(lines, keyed, depth, **template)
+    # known by its leaf and its node (a template's line) or its own hash
+    templated = (keyed.join(members, ["leaf", "l"], "left")
+                 .select("id", "th", "pos", F.col("leaf").alias("t1"), F.coalesce("node", "l").alias("t2"),
+                         F.col("node").isNotNull().alias("t3")))
     first = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("th"))
     if min_docs <= 2:
         # two documents or more: the first and the last differ (no row per document needed)
-        ends = templated.groupBy("t1", "t2").agg(F.min(first).alias("first"), F.max(first).alias("last"))
+        ends = templated.groupBy("t1", "t2", "t3").agg(F.min(first).alias("first"), F.max(first).alias("last"))
         found = ends.filter(F.lit(min_docs < 2) | (~F.col("first").eqNullSafe(F.col("last"))))
     else:
-        found = (templated.groupBy("t1", "t2", "id", "th").agg(F.lit(1).alias("one"))
-                 .groupBy("t1", "t2").agg(F.count("*").alias("docs"), F.min(first).alias("first"))
+        found = (templated.groupBy("t1", "t2", "t3", "id", "th").agg(F.lit(1).alias("one"))
+                 .groupBy("t1", "t2", "t3").agg(F.count("*").alias("docs"), F.min(first).alias("first"))
                  .filter(F.col("docs") >= min_docs))
-    recurring = found.select(F.col("t1").alias("r1"), F.col("t2").alias("r2"), "first")
-    again = templated.join(recurring, (F.col("t1") == F.col("r1")) & F.col("t2").eqNullSafe(F.col("r2")))
+    again = templated.join(found.select("t1", "t2", "t3", "first"), ["t1", "t2", "t3"])
     again = again.filter(~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("th") == F.col("first.th"))))
     return again.groupBy("id", "th").agg(F.sort_array(F.collect_set("pos")).alias("dropped"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,
-                similarity: float = SIMILARITY, min_docs: int = MIN_DOCS) -> DataFrame:
+                min_docs: int = MIN_DOCS, **template) -> DataFrame:
     """(row, text, n_lines, n_dropped) per row of ``docs``: all columns in ``row``, the
-    text without its dropped lines.
+    text without its dropped lines.  ``template``: levels, values, constants, share.
 
     Null texts stay null (no lines), an empty text has one empty line.  Rows with the same
     id and text are one document; a null id comes after all others when the first document
@@ -130,7 +160,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     base = docs.select(packed(docs), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     base = base.withColumn("th", F.xxhash64(F.coalesce("text", F.lit(""))))
     slim = base.filter("text is not null").select("id", "th", "text")
-    lost = dropped_lines(slim, depth, similarity, min_docs).select(
+    lost = dropped_lines(slim, depth, min_docs, **template).select(
         F.col("id").alias("lost_id"), F.col("th").alias("lost_th"), "dropped")
     joined = base.join(lost, base["id"].eqNullSafe(lost["lost_id"]) & (base["th"] == lost["lost_th"]), "left")
     lines = _lines(F.col("text"))
@@ -146,30 +176,41 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 # ------------------------------------------------------------------ the same in SQL
 
-def line_dedup_sql(depth: int = DEPTH, similarity: float = SIMILARITY, min_docs: int = MIN_DOCS,
-                   table: str = "documents") -> str:
+def line_dedup_sql(depth: int = DEPTH, min_docs: int = MIN_DOCS, levels: int = LEVELS, values: int = VALUES,
+                   constants: int = CONSTANTS, share: float = CONSTANT_SHARE, table: str = "documents") -> str:
     spaces = "[ \\t\\r\\x0b\\x0c]+"
+    steps = []
+    for k in range(levels):
+        steps.append(f"""tk{k} AS (SELECT node, unnest(w) AS token, unnest(range(len(w))) AS p FROM o{k}),
+at{k} AS (SELECT node, p, count(DISTINCT token) AS d FROM tk{k} GROUP BY node, p),
+st{k} AS MATERIALIZED (SELECT node, any_value(docs) AS docs, count(*) FILTER (d = 1) AS fixed, count(*) AS n, min(d) FILTER (d > 1) AS least,
+  arg_min(p, d * 1000000 + p) FILTER (d > 1) AS choice, list(p ORDER BY p) FILTER (d > 1 AND d < {values}) AS few
+  FROM at{k} JOIN (SELECT node, count(DISTINCT id) AS docs FROM o{k} GROUP BY node) USING (node) GROUP BY node),
+gen{k} AS (SELECT node, least >= {values} AND fixed >= {constants} AND fixed >= CAST({share} AS DOUBLE) * n AS general,
+  coalesce(few, [choice]) AS cut FROM st{k} WHERE docs >= {values}),
+mem{k} AS (SELECT w, node FROM o{k} JOIN gen{k} USING (node) WHERE general)""")
+        if k + 1 < levels:
+            steps.append(f"""o{k + 1} AS MATERIALIZED (SELECT w, id, node FROM (SELECT w, id,
+    node || chr(10) || array_to_string(list_transform(cut, lambda p: w[p + 1]), ' ') AS node
+  FROM o{k} JOIN gen{k} USING (node) WHERE NOT general) QUALIFY count(*) OVER (PARTITION BY node) >= {values})""")
+    members = " UNION ALL ".join(f"SELECT w, node FROM mem{k}" for k in range(levels))
     return f"""
 WITH docs AS (SELECT doc_id AS id, text, string_split(text, chr(10)) AS ls FROM {table}),
 uniq AS (SELECT DISTINCT id, text, ls FROM docs WHERE text IS NOT NULL),
 raw AS (SELECT id, text, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM uniq),
 toks AS (SELECT id, text, pos, list_transform(list_filter(regexp_split_to_array(line, '{spaces}'), lambda t: t <> ''),
                 lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '{FIELD}' ELSE t END) AS w FROM raw),
-lines AS (SELECT id, text, pos, w, len(w) AS n, list_slice(w, 1, {depth}) AS lead FROM toks WHERE len(w) >= {depth}),
-uline AS (SELECT DISTINCT n, lead, w FROM lines),
-several AS (SELECT n, lead, count(*) AS m FROM uline GROUP BY n, lead HAVING count(*) > 1),
-tok AS (SELECT n, lead, m, unnest(w) AS token, unnest(range(n)) AS p FROM uline JOIN several USING (n, lead)),
-fixed AS (SELECT n, lead, p, token FROM tok GROUP BY n, lead, m, p, token HAVING count(*) * 2 > m),
-wtok AS (SELECT n, lead, w, unnest(w) AS token, unnest(range(n)) AS p FROM uline JOIN several USING (n, lead)),
-member AS (SELECT n, lead, w FROM wtok JOIN fixed USING (n, lead, p, token)
-           GROUP BY n, lead, w HAVING count(*) >= CAST({similarity} AS DOUBLE) * n),
-templ AS (SELECT l.id, l.text, l.pos, l.n, l.lead, CASE WHEN m.w IS NULL THEN l.w END AS own
-          FROM lines l LEFT JOIN member m ON l.n = m.n AND l.lead = m.lead AND l.w = m.w),
-occ AS (SELECT DISTINCT n, lead, own, id, text FROM templ),
-ranked AS (SELECT *, count(*) OVER (PARTITION BY n, lead, own) AS d,
-                  row_number() OVER (PARTITION BY n, lead, own ORDER BY id NULLS LAST, text) AS r FROM occ),
+lines AS MATERIALIZED (SELECT id, text, pos, w FROM toks WHERE len(w) >= {depth}),
+o0 AS MATERIALIZED (SELECT w, min(id) AS id, len(w) || ' ' || array_to_string(list_slice(w, 1, {depth}), ' ') AS node FROM lines
+  GROUP BY w QUALIFY count(*) OVER (PARTITION BY node) >= {values}),
+{", ".join(steps)},
+member AS ({members}),
+templ AS (SELECT l.id, l.text, l.pos, m.node, CASE WHEN m.w IS NULL THEN l.w END AS own FROM lines l LEFT JOIN member m ON l.w = m.w),
+occ AS (SELECT DISTINCT node, own, id, text FROM templ),
+ranked AS (SELECT *, count(*) OVER (PARTITION BY node, own) AS d,
+                  row_number() OVER (PARTITION BY node, own ORDER BY id NULLS LAST, text) AS r FROM occ),
 gone AS (SELECT t.id, t.text, list(t.pos) AS ps FROM templ t JOIN ranked k
-           ON t.n = k.n AND t.lead = k.lead AND t.own IS NOT DISTINCT FROM k.own
+           ON t.node IS NOT DISTINCT FROM k.node AND t.own IS NOT DISTINCT FROM k.own
           AND t.id IS NOT DISTINCT FROM k.id AND t.text = k.text
          WHERE k.d >= {min_docs} AND k.r > 1 GROUP BY t.id, t.text)
 SELECT d.id AS doc_id,
