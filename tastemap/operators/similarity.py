@@ -23,7 +23,7 @@ def item_similarity(ratings: DataFrame, min_sim: float | None = None,
     x = _normalized(ratings, "item")
     if popularity > 0:
         norms = x.select("item", "norm").distinct()
-        prod = self_product(x, "user", "item", "rating", min_xy=None)
+        prod = self_product(x, "user", "item", "rating", min_xy=0.0)   # the sign of xy decides
         sims = (prod.join(norms.select(F.col("item").alias("a"), F.col("norm").alias("na")), "a")
                 .join(norms.select(F.col("item").alias("b"), F.col("norm").alias("nb")), "b")
                 .select(F.col("a").alias("i"), F.col("b").alias("j"),

@@ -135,7 +135,9 @@ def test_user_knn_variants(spark):
     for p, b in [(KnnParams(min_nn=2, max_nn=3, min_threshold=0.1), ub),
                  (KnnParams(min_nn=1, max_nn=4, inclusive=True), None),
                  (KnnParams(min_nn=1, max_nn=4, denominator="abs"), None),
-                 (KnnParams(min_nn=1, max_nn=50), None)]:
+                 (KnnParams(min_nn=1, max_nn=50), None), (KnnParams(min_nn=1, max_nn=3), ub),
+                 (KnnParams(min_nn=3, max_nn=4, inclusive=True), ub), (KnnParams(min_nn=2, max_nn=6, min_threshold=-0.3), None),
+                 (KnnParams(min_nn=2, max_nn=6, min_threshold=-0.3, inclusive=True, denominator="abs"), ub)]:
         got = {(u, i): s for u, i, s in rows(user_knn_predict(df, pdf_pairs, p, user_bias=b), "user", "item", "score")}
         _check(got, _knn_brute(m, su, pairs, p, us, its, "user", bias if b is not None else None))
 
@@ -152,7 +154,8 @@ def test_item_knn_and_recommend(spark):
     ib = spark.createDataFrame([(i, float(b)) for i, b in zip(its, bias)], "item long, bi double")
     for p, b in [(KnnParams(min_nn=1, max_nn=3, min_threshold=0.05), None),
                  (KnnParams(min_nn=2, max_nn=5, min_threshold=0.0), ib),
-                 (KnnParams(min_nn=1, max_nn=5), None)]:
+                 (KnnParams(min_nn=1, max_nn=5), None), (KnnParams(min_nn=3, max_nn=4, inclusive=True), ib),
+                 (KnnParams(min_nn=2, max_nn=6, denominator="abs"), ib)]:
         got = {(u, i): s for u, i, s in rows(item_knn_predict(df, pp, p, item_bias=b), "user", "item", "score")}
         _check(got, _knn_brute(m, si, pairs, p, us, its, "item", bias if b is not None else None))
     # recommend-all = top-n of the scored unrated pairs
@@ -178,3 +181,13 @@ def test_block_product_heavy_group_path(spark, monkeypatch):
     assert len(got) == int(((m != 0).astype(int).T @ (m != 0).astype(int) > 0).sum())
     for a, b, xy in got[["a", "b", "xy"]].itertuples(index=False):
         assert np.isclose(xy, want[its.index(a), its.index(b)])
+
+
+def test_popular_items_are_not_joined_on_the_item_alone(spark, capsys):
+    df = spark.createDataFrame(_random_ratings(3))
+    user_knn_predict(df, df.select("user", "item"), KnnParams(denominator="abs")).explain()
+    plan = capsys.readouterr().out
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    # on the item alone: only the one row per item that counts its raters
+    assert not [j for j in joins if "[t#" in j.split("Inner")[0] and "," not in j.split("]")[0] and "_all" not in j and "Broadcast" not in j
+                and "v#" in j]
