@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -72,3 +74,8 @@ def bias_ctes(src: str, prefix: str = "", user_damping: float = 10, item_damping
         FROM {src}, {p}MU GROUP BY item),
 {p}BU AS (SELECT "user", sum(rating - mu - bi) / (CAST({user_damping} AS DOUBLE) + count(*)) AS bu
         FROM {src} JOIN {p}BI USING (item), {p}MU GROUP BY "user")"""
+
+
+def materialized(ctes: str) -> str:
+    """The same CTEs, each computed once whatever the planner makes of its readers."""
+    return re.sub(r'(^|[\s,])("?\w+"?) AS \(\s*(?=SELECT)', r"\1\2 AS MATERIALIZED (", ctes)

@@ -17,7 +17,7 @@ from ..operators import prep as T
 from ..operators import serve as S
 from ..sources.tables import fixture_ratings, items_meta, raw_ratings, read_table
 from .common import (R_CTE, SEED, SPLIT_CTE, TEST_FRAC, bias_ctes, finish, md5_draw_sql,
-                     ratings, split)
+                     materialized, ratings, split)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -250,9 +250,9 @@ def bias_fit(spark, sf):
 
 
 @register("bias_predict", f"""
-WITH {R_CTE}, {SPLIT_CTE}, {bias_ctes('TR')}
-SELECT TE."user", TE.item, TE.rating, round(mu + bu + bi, 6) AS score
-FROM TE LEFT JOIN BU USING ("user") LEFT JOIN BI USING (item) CROSS JOIN MU""")
+WITH {materialized(f"{R_CTE}, {SPLIT_CTE}, {bias_ctes('TR')}")}
+SELECT TE."user", TE.item, TE.rating, round((SELECT mu FROM MU) + bu + bi, 6) AS score
+FROM TE LEFT JOIN BU USING ("user") LEFT JOIN BI USING (item)""")
 def bias_predict(spark, sf):
     """Fit on the training split, score every test pair (unknown item: NULL)."""
     train, test = split(spark, sf)

@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 from ..functions.expr import portable_init, unit_draw
 from ..operators.factor import (als_half_step, als_wr, explicit_als, factor_predict, factor_top_n,
                                 normal_equation_residuals, truncated_svd)
-from ..operators.fm_ctr import category_slots, fm_fit, fm_predict, gbdt_lr_fit, one_hot_slots
-from ..operators.metrics import rmse_mae
+from ..operators.fm import INTERCEPT, FmModel, category_slots, fm_fit, fm_predict, offset_slots, one_hot_slots
+from ..operators.fm_ctr import gbdt_lr_fit
+from ..operators.trees import boosted_trees_fit
+from ..operators.bias import bias_fit
+from ..operators.metrics import fit_error, rmse_mae
 from ..operators.serve import attach_metadata
 from ..operators.sgd import funk_svd, initial_model, lfm, lfm_loss
 from ..sources.tables import items_meta, read_table
-from .common import R_CTE, SPLIT_CTE, bias_ctes, finish, ratings, split
+from .common import R_CTE, SPLIT_CTE, bias_ctes, finish, materialized, ratings, split
 from .queries import TOP_N, register
 
 ALS_REG = 0.1
@@ -67,13 +70,12 @@ def als_k1(spark, sf):
     return finish(u.unionByName(i))
 
 
-@register("als_biased_k1", f"""WITH {R_CTE}, {SPLIT_CTE}, {bias_ctes('TR')},
-RES AS (SELECT "user", item, rating - mu - bi - bu AS rating
-        FROM TR JOIN BI USING (item) JOIN BU USING ("user") CROSS JOIN MU),
-{_als_k1_ctes('RES')}
-SELECT TE."user", TE.item, TE.rating, round(p * q + mu + bu + bi, 6) AS score
-FROM TE LEFT JOIN P2 USING ("user") LEFT JOIN Q2 USING (item) LEFT JOIN BU USING ("user")
-     LEFT JOIN BI USING (item) CROSS JOIN MU""")
+@register("als_biased_k1", f"""WITH {materialized(f"{R_CTE}, {SPLIT_CTE}, {bias_ctes('TR')}")},
+RES AS MATERIALIZED (SELECT "user", item, rating - (SELECT mu FROM MU) - bi - bu AS rating FROM TR JOIN BI USING (item) JOIN BU USING ("user")),
+{_als_k1_ctes('RES')},
+UF AS (SELECT "user", p, bu FROM BU LEFT JOIN P2 USING ("user")), IFA AS (SELECT item, q, bi FROM BI LEFT JOIN Q2 USING (item))
+SELECT TE."user", TE.item, TE.rating, round(p * q + (SELECT mu FROM MU) + bu + bi, 6) AS score
+FROM TE LEFT JOIN UF USING ("user") LEFT JOIN IFA USING (item)""")
 def als_biased_k1(spark, sf):
     """P10 + P18: ALS (k = 1, two iterations) on bias residuals of the training
     split; test score = mu + b_u + b_i + p·q, bias added once."""
@@ -151,18 +153,39 @@ def funksvd_step(spark, sf):
 
 # ------------------------------------------------------------------ fitted at the usual sizes
 
-@register("als", f"""WITH {R_CTE}, {SPLIT_CTE}
-SELECT DISTINCT item, TRUE AS solved FROM TR""")
+@register("als")
 def als_q(spark, sf):
-    """Explicit ALS, 20 factors, 30 iterations, on the training split.  Every item's
-    normal equation holds at the returned factors (checked by joins and sums, not by the
-    solver)."""
+    """Explicit ALS, 20 factors, 30 iterations, on the training split.  Per item, whether
+    its normal equation holds at the returned factors (checked by joins and sums, not by the
+    solver); values are checked by ``als_k1`` and ``als_k2``."""
     train, _ = split(spark, sf)
     m = explicit_als(train, k=20, reg=ALS_REG, n_iters=30, seed=1)
     res = normal_equation_residuals(m, train, ALS_REG)
     return res.select("item", (F.col("residual") < 1e-6).alias("solved"))
 
 
+def _als_k2_ctes(src: str) -> str:
+    """Two iterations at k = 2: every half-step solves a 2 x 2 system per key."""
+    def half(out, key, other, prev):
+        return f"""{out}_S AS (SELECT {key}, sum(f0 * f0) + {ALS_REG} AS a, sum(f0 * f1) AS b, sum(f1 * f1) + {ALS_REG} AS d,
+  sum(f0 * rating) AS e, sum(f1 * rating) AS f FROM {src} JOIN {prev} USING ({other}) GROUP BY {key}),
+{out} AS MATERIALIZED (SELECT {key}, (d * e - b * f) / (a * d - b * b) AS f0, (a * f - b * e) / (a * d - b * b) AS f1 FROM {out}_S)"""
+    u, i = '"user"', "item"
+    return ",\n".join([f"Z0 AS MATERIALIZED (SELECT item, {_init_sql('item', 0)} AS f0, {_init_sql('item', 1)} AS f1 FROM (SELECT DISTINCT item FROM {src}))",
+                       half("Y1", u, i, "Z0"), half("Z1", i, u, "Y1"), half("Y2", u, i, "Z1"), half("Z2", i, u, "Y2")])
+
+
+@register("als_k2", f"""WITH {R_CTE}, {_als_k2_ctes('R')}
+SELECT 'user' AS side, "user" AS id, round(f0, 6) AS f0, round(f1, 6) AS f1 FROM Y2
+UNION ALL SELECT 'item', item, round(f0, 6), round(f1, 6) FROM Z2""")
+def als_k2(spark, sf):
+    """Explicit ALS, k = 2, two iterations."""
+    m = explicit_als(ratings(spark, sf), k=2, reg=ALS_REG, n_iters=2, seed=1, init_scale=INIT_SCALE)
+    u = m.user_factors.select(F.lit("user").alias("side"), F.col("user").alias("id"), F.col("p")[0].alias("f0"), F.col("p")[1].alias("f1"))
+    i = m.item_factors.select(F.lit("item").alias("side"), F.col("item").alias("id"), F.col("q")[0].alias("f0"), F.col("q")[1].alias("f1"))
+    return finish(u.unionByName(i))
+
+
 @register("als_wr")
 def als_wr_q(spark, sf):
     """MLlib ALS (weighted λ), 20 factors, 10 iterations; held-out scores."""
@@ -170,6 +193,28 @@ def als_wr_q(spark, sf):
     return finish(factor_predict(als_wr(train, k=20, reg=0.1, n_iters=10), test))
 
 
+SVD_ROUNDS = 20
+
+
+def _power_sql(src: str) -> str:
+    """V{n}(item, v): the leading right singular vector of ``src`` by power iteration."""
+    out = [f"V0 AS (SELECT DISTINCT item, CAST(1.0 AS DOUBLE) AS v FROM {src})"]
+    for n in range(SVD_ROUNDS):
+        out.append(f"""U{n} AS (SELECT "user", sum(rating * v) AS u FROM {src} JOIN V{n} USING (item) GROUP BY "user"),
+W{n} AS MATERIALIZED (SELECT item, sum(rating * u) AS w FROM {src} JOIN U{n} USING ("user") GROUP BY item),
+V{n + 1} AS MATERIALIZED (SELECT item, w / sqrt((SELECT sum(w * w) FROM W{n})) AS v FROM W{n})""")
+    return ",\n".join(out)
+
+
+@register("svd_rank1", f"""WITH {R_CTE}, {SPLIT_CTE}, {_power_sql('TR')},
+U AS (SELECT "user", sum(rating * v) AS u FROM TR JOIN V{SVD_ROUNDS} USING (item) GROUP BY "user")
+SELECT TE."user", TE.item, TE.rating, round(u * v, 6) AS score FROM TE LEFT JOIN U USING ("user") LEFT JOIN V{SVD_ROUNDS} USING (item)""")
+def svd_rank1(spark, sf):
+    """The best rank-1 approximation of the ratings (missing cells 0); held-out scores."""
+    train, test = split(spark, sf)
+    return finish(factor_predict(truncated_svd(train, k=1, n_iter=20, use_bias=False), test))
+
+
 @register("svd_scores")
 def svd_scores(spark, sf):
     """Biased truncated SVD (20 factors, 20 power iterations); held-out scores."""
@@ -185,22 +230,75 @@ def funksvd_q(spark, sf):
     return finish(factor_predict(funk_svd(train), test))
 
 
-@register("eval_funksvd", f"""WITH {R_CTE}, {SPLIT_CTE}
-SELECT count(*) AS n, count(*) FILTER ("user" IN (SELECT "user" FROM TR) AND item IN (SELECT item FROM TR)) AS n_scored,
-       TRUE AS agrees FROM TE""")
+@register("eval_funksvd")
 def eval_funksvd(spark, sf):
-    """M9: held-out evaluation of FunkSVD at the published setting (30 factors, 100 epochs).  ``agrees``:
-    RMSE and MAE equal those recomputed from the emitted factors by plain expressions."""
+    """M9: held-out RMSE and MAE of FunkSVD at the published setting (30 factors, 100 epochs)."""
     train, test = split(spark, sf)
-    m = funk_svd(train)
-    got = rmse_mae(factor_predict(m, test))
-    own = (test.join(m.user_factors, "user").join(m.item_factors, "item")
-           .select((F.lit(m.mu) + F.col("bu") + F.col("bi") + F.expr(
-               "aggregate(transform(sequence(0, size(p) - 1), i -> p[i] * q[i]), 0D, (a, x) -> a + x)")
-               - F.col("rating")).alias("e"))
-           .agg(F.sqrt(F.avg(F.col("e") ** 2)).alias("r2"), F.avg(F.abs("e")).alias("m2")))
-    near = (F.abs(F.col("rmse") - F.col("r2")) < 1e-9) & (F.abs(F.col("mae") - F.col("m2")) < 1e-9)
-    return got.crossJoin(own).select("n", "n_scored", near.alias("agrees"))
+    return finish(rmse_mae(factor_predict(funk_svd(train), test)))
+
+
+EVAL_EPOCHS, EVAL_K = 3, 2
+
+
+def one_each(r):
+    """Each user's smallest item, each such item's smallest user: ratings that share neither."""
+    one = r.groupBy("user").agg(F.min("item").alias("item")).groupBy("item").agg(F.min("user").alias("user"))
+    return r.join(one, ["user", "item"])
+
+
+ONE_EACH_CTES = """ONE AS (SELECT min("user") AS "user", item FROM (SELECT "user", min(item) AS item FROM R GROUP BY "user") GROUP BY item),
+D AS MATERIALIZED (SELECT "user", item, rating FROM ONE JOIN R USING ("user", item))"""
+
+
+def _epochs_sql(epochs: int, k: int, scale: float, lr: float, reg: float, biased: bool) -> str:
+    """State T{n}("user", item, rating, bu, bi, p, q) of conflict-free ratings after n epochs."""
+    vec = lambda col, seed: f"list_transform(range({k}), lambda f: {_init_sql(col, 'f', seed, scale)})"
+    out = [f"""MU AS (SELECT avg(rating) AS mu FROM D),
+T0 AS MATERIALIZED (SELECT "user", item, rating, CAST(0.0 AS DOUBLE) AS bu, CAST(0.0 AS DOUBLE) AS bi, {vec('"user"', 1)} AS p, {vec('item', 8)} AS q FROM D)"""]
+    step = lambda x, y: f"list_transform(range(1, {k} + 1), lambda j: {x}[j] + CAST({lr} AS DOUBLE) * (e * {y}[j] - CAST({reg} AS DOUBLE) * {x}[j]))"
+    score = "rating - ((SELECT mu FROM MU) + bu + bi + list_inner_product(p, q))" if biased else "1.0 - 1.0 / (1.0 + exp(-list_inner_product(p, q)))"
+    for n in range(epochs):
+        out.append(f"""E{n} AS (SELECT *, {score} AS e FROM T{n}),
+T{n + 1} AS MATERIALIZED (SELECT "user", item, rating, bu + CAST({lr} AS DOUBLE) * (e - CAST({reg} AS DOUBLE) * bu) AS bu,
+  bi + CAST({lr} AS DOUBLE) * (e - CAST({reg} AS DOUBLE) * bi) AS bi, {step('p', 'q')} AS p, {step('q', 'p')} AS q FROM E{n})""")
+    return ",\n".join(out)
+
+
+@register("eval_funksvd_epochs", f"""WITH {R_CTE}, {ONE_EACH_CTES}, {_epochs_sql(EVAL_EPOCHS, EVAL_K, 0.1, 0.05, 0.02, True)},
+G AS (SELECT R.rating, (SELECT mu FROM MU) + u.bu + i.bi + list_inner_product(u.p, i.q) AS score
+      FROM R LEFT JOIN T{EVAL_EPOCHS} u ON u."user" = R."user" LEFT JOIN T{EVAL_EPOCHS} i ON i.item = R.item)
+SELECT round(sqrt(avg((score - rating) * (score - rating))), 6) AS rmse, round(avg(abs(score - rating)), 6) AS mae,
+       count(score) AS n_scored, count(*) AS n FROM G""")
+def eval_funksvd_epochs(spark, sf):
+    """M9 + P11: errors on all ratings of a FunkSVD fitted for three epochs on ratings that
+    share no user and no item."""
+    r = ratings(spark, sf)
+    m = funk_svd(one_each(r), n_epochs=EVAL_EPOCHS, n_factors=EVAL_K, learning_rate=0.05, reg=0.02)
+    return finish(rmse_mae(factor_predict(m, r)))
+
+
+@register("lfm_epochs", f"""WITH {R_CTE}, {ONE_EACH_CTES}, {_epochs_sql(2, 3, 1.0, 0.05, 0.1, False)}
+SELECT 'user' AS side, "user" AS id, round(p[1], 6) AS f0, round(p[3], 6) AS f2 FROM T2
+UNION ALL SELECT 'item', item, round(q[1], 6), round(q[3], 6) FROM T2""")
+def lfm_epochs(spark, sf):
+    """Factors after two epochs on positives that share no user and no item, without negatives."""
+    m = lfm(one_each(ratings(spark, sf)), k=3, learning_rate=0.05, regularization_rate=0.1, epochs=2, ratio=0.0)
+    u = m.user_factors.select(F.lit("user").alias("side"), F.col("user").alias("id"), F.col("p")[0].alias("f0"), F.col("p")[2].alias("f2"))
+    i = m.item_factors.select(F.lit("item").alias("side"), F.col("item").alias("id"), F.col("q")[0].alias("f0"), F.col("q")[2].alias("f2"))
+    return finish(u.unionByName(i))
+
+
+@register("fit_error_factors", f"""WITH {R_CTE}, {_vectors_sql('R', START_K, 0.3)}, {bias_ctes('R')},
+G AS (SELECT rating, mu + bi + bu + list_inner_product(p, q) AS score FROM R JOIN P USING ("user") JOIN Q USING (item)
+      JOIN BI USING (item) JOIN BU USING ("user"), MU)
+SELECT round(sqrt(avg((score - rating) * (score - rating))), 6) AS rmse, round(avg(abs(score - rating)), 6) AS mae,
+       count(score) AS n_scored, count(*) AS n FROM G""")
+def fit_error_factors(spark, sf):
+    """M8: RMSE and MAE of known factors and fitted biases on the training cells."""
+    r = ratings(spark, sf)
+    m = initial_model(r, START_K, scale=0.3)
+    m.bias = bias_fit(r)
+    return finish(fit_error(lambda pairs: factor_predict(m, pairs), r))
 
 
 @register("funksvd_topn")
@@ -224,11 +322,69 @@ def lfm_loss_q(spark, sf):
     return finish(lfm_loss(lfm(r), r, 0.1))
 
 
+FM_COLUMNS = ["user", "item", "brand", "segment"]
+
+
+def fm_rows(spark, sf, df):
+    """``df`` (user, item, ...) with the item's brand and the user's market segment."""
+    brand = read_table(spark, sf, "part").select(F.col("p_partkey").alias("item"), F.col("p_brand").alias("brand"))
+    segment = read_table(spark, sf, "customer").select(F.col("c_custkey").alias("user"), F.col("c_mktsegment").alias("segment"))
+    return df.join(brand, "item", "left").join(segment, "user", "left")
+
+
 @register("fm")
 def fm_q(spark, sf):
-    """Factorisation machine on one-hot user and item (5 factors, 30 epochs); held-out scores."""
+    """Factorisation machine on user, item, brand and segment (5 factors, 10 epochs in
+    batches of 200,000 rows); held-out scores."""
     train, test = split(spark, sf)
-    return finish(fm_predict(fm_fit(train), test))
+    m = fm_fit(fm_rows(spark, sf, train), FM_COLUMNS, "rating", ["user", "item"], n_epochs=10, learning_rate=0.3,
+               reg=1e-5, batch_rows=200_000)
+    return finish(fm_predict(m, fm_rows(spark, sf, test)).select("user", "item", "rating", "score"))
+
+
+FM_STEPS, FM_LR, FM_REG, FM_SCALE = 4, 0.05, 0.001, 0.3
+
+
+def _fm_steps_sql() -> str:
+    """Parameters after ``FM_STEPS`` Adagrad steps (k = 2) over the two halves of R in turn."""
+    def slots(col, after):
+        off = " + ".join(f"(SELECT count(*) FROM S_{c})" for c in after) or "0"
+        return f"""S_{col} AS MATERIALIZED (SELECT "{col}", row_number() OVER (ORDER BY count(*) DESC, "{col}") - 1 + {off} AS slot
+FROM D WHERE "{col}" IS NOT NULL GROUP BY "{col}")"""
+    index = ",\n".join(slots(c, FM_COLUMNS[:n]) for n, c in enumerate(FM_COLUMNS))
+    rows = "\nUNION ALL ".join(f'SELECT pos, batch, rating AS y, slot FROM D JOIN S_{c} USING ("{c}")' for c in FM_COLUMNS)
+    steps = []
+    for t in range(FM_STEPS):
+        reg = lambda x: f"coalesce(g{x}, 0.0) + CASE WHEN slot = -1 THEN 0.0 ELSE 2.0 * CAST({FM_REG} AS DOUBLE) * {x} END"
+        cols = ["w", "v1", "v2"]
+        steps.append(f"""A{t} AS (SELECT pos, any_value(y) AS y, sum(w) AS lin, sum(v1) AS s1, sum(v2) AS s2, sum(v1 * v1 + v2 * v2) AS q
+  FROM X JOIN P{t} USING (slot) WHERE batch = {t % 2} GROUP BY pos),
+C{t} AS (SELECT pos, s1, s2, 2.0 * ((SELECT w FROM P{t} WHERE slot = -1) + lin + 0.5 * (s1 * s1 + s2 * s2 - q) - y)
+         / (SELECT count(*) FROM A{t}) AS c FROM A{t}),
+G{t} AS (SELECT slot, sum(c) AS gw, sum(c * (s1 - v1)) AS gv1, sum(c * (s2 - v2)) AS gv2 FROM X JOIN C{t} USING (pos) JOIN P{t} USING (slot)
+         GROUP BY slot UNION ALL SELECT -1, sum(c), 0.0, 0.0 FROM C{t}),
+H{t} AS (SELECT slot, {", ".join(f"{x}, a{x}, {reg(x)} AS h{x}" for x in cols)} FROM P{t} LEFT JOIN G{t} USING (slot)),
+P{t + 1} AS MATERIALIZED (SELECT slot, {", ".join(f"{x} - CAST({FM_LR} AS DOUBLE) * h{x} / sqrt(a{x} + h{x} * h{x}) AS {x}, a{x} + h{x} * h{x} AS a{x}" for x in cols)} FROM H{t})""")
+    init = lambda f: f"CASE WHEN slot = -1 THEN 0.0 ELSE {_init_sql('slot', f, 1, FM_SCALE)} END"
+    return f"""WITH {R_CTE},
+D AS MATERIALIZED (SELECT "user", item, rating, p_brand AS brand, c_mktsegment AS segment, row_number() OVER (ORDER BY "user", item) - 1 AS pos,
+  (row_number() OVER (ORDER BY "user", item) - 1) // CAST(ceil((SELECT count(*) FROM R) / 2) AS BIGINT) AS batch
+  FROM R LEFT JOIN part ON p_partkey = item LEFT JOIN customer ON c_custkey = "user"),
+{index},
+X AS MATERIALIZED ({rows}),
+P0 AS MATERIALIZED (SELECT slot, CAST(0.0 AS DOUBLE) AS w, CAST(0.1 AS DOUBLE) AS aw, {init(0)} AS v1, CAST(0.1 AS DOUBLE) AS av1,
+  {init(1)} AS v2, CAST(0.1 AS DOUBLE) AS av2 FROM (SELECT DISTINCT slot FROM X UNION ALL SELECT -1)),
+{", ".join(steps)}
+SELECT slot, round(w, 6) AS w, round(v1, 6) AS f0, round(v2, 6) AS f1 FROM P{FM_STEPS}"""
+
+
+@register("fm_steps", _fm_steps_sql())
+def fm_steps(spark, sf):
+    """P14 + T10 + T12: all parameters after two epochs of two batches (k = 2, four columns)."""
+    r = ratings(spark, sf)
+    m = fm_fit(fm_rows(spark, sf, r), FM_COLUMNS, "rating", ["user", "item"], n_epochs=2, n_factors=2,
+               learning_rate=FM_LR, reg=FM_REG, batch_rows=-(-r.count() // 2), init_scale=FM_SCALE)
+    return finish(m.weights.select("slot", "w", F.col("v")[0].alias("f0"), F.col("v")[1].alias("f1")))
 
 
 @register("fm_known", f"""WITH {R_CTE}, {SPLIT_CTE}, {_vectors_sql('TR', START_K, 1.0)}
@@ -237,9 +393,13 @@ FROM (SELECT "user", item FROM TE UNION ALL SELECT -1, item FROM TE) LEFT JOIN P
 def fm_known(spark, sf):
     """P14 prediction for known weights, with an unknown user (an all-zero block) per pair."""
     train, test = split(spark, sf)
-    m = initial_model(train, START_K)
-    m.user_factors = m.user_factors.withColumn("bu", F.lit(0.0))
-    m.item_factors = m.item_factors.withColumn("bi", F.lit(0.0))
+    start = initial_model(train, START_K)
+    slots = offset_slots({c: category_slots(train, c) for c in ("user", "item")})
+    known = [slots[c].join(d.withColumnRenamed(c, "value"), "value").select("slot", F.lit(0.0).alias("w"), F.col(f).alias("v"))
+             for c, d, f in (("user", start.user_factors, "p"), ("item", start.item_factors, "q"))]
+    intercept = spark.range(1).select(F.lit(INTERCEPT).cast("long").alias("slot"), F.lit(0.0).alias("w"),
+                                      F.array_repeat(F.lit(0.0), START_K).alias("v"))
+    m = FmModel(slots, known[0].unionByName(known[1]).unionByName(intercept), START_K)
     pairs = test.select("user", "item")
     unknown = pairs.select(F.lit(-1).cast("long").alias("user"), "item")
     return finish(fm_predict(m, pairs.unionByName(unknown)))
@@ -280,18 +440,61 @@ def gbdt_lr_prob(spark, sf):
     return finish(out)
 
 
-
-
-
-
-@register("gbdt_lr_check", """
-SELECT event_id, CAST(event_type = 'purchase' AS DOUBLE) AS label, TRUE AS agrees FROM events
-WHERE CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR) || ':1'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.8""")
+TREE_LEAVES, TREE_NEWTON = 10, 12
+
+
+def _tree_ctes() -> str:
+    """One best-first tree on (hour, k) by brute force over all cuts: T{s} are the rows with
+    their node after s splits, B{s} the split taken next."""
+    steps = [f"""ALL_E AS MATERIALIZED (SELECT event_id, CAST(event_type = 'purchase' AS DOUBLE) AS label, CAST(hour(ts) AS DOUBLE) AS x0,
+  coalesce(CAST(json_extract_string(props, '$.k') AS DOUBLE), -1.0) AS x1,
+  CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR) || ':1'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.8 AS held FROM events),
+T0 AS MATERIALIZED (SELECT event_id, label, x0, x1, held, 0 AS node, label - (SELECT avg(label) FROM ALL_E WHERE NOT held) AS r,
+  (SELECT avg(label) FROM ALL_E WHERE NOT held) * (1 - (SELECT avg(label) FROM ALL_E WHERE NOT held)) AS h FROM ALL_E)"""]
+    for s in range(TREE_LEAVES - 1):
+        cells = " UNION ALL ".join(f"SELECT node, {f} AS f, x{f} AS v, r FROM T{s} WHERE NOT held" for f in (0, 1))
+        steps.append(f"""V{s} AS (SELECT node, f, v, count(*) AS n, sum(r) AS r FROM ({cells}) GROUP BY node, f, v),
+W{s} AS (SELECT node, f, v, lead(v) OVER o AS nv, sum(n) OVER o AS nl, sum(r) OVER o AS rl, sum(n) OVER a AS n, sum(r) OVER a AS r
+  FROM V{s} WINDOW o AS (PARTITION BY node, f ORDER BY v), a AS (PARTITION BY node, f)),
+B{s} AS MATERIALIZED (SELECT node, f, (v + nv) / 2 AS cut, round(nl * (n - nl) / n * pow(rl / nl - (r - rl) / (n - nl), 2), 9) AS gain
+  FROM W{s} WHERE nv IS NOT NULL ORDER BY gain DESC, node, f, cut LIMIT 1),
+T{s + 1} AS MATERIALIZED (SELECT event_id, label, x0, x1, held, r, h, CASE WHEN T{s}.node <> B{s}.node OR gain <= 0 THEN T{s}.node
+  WHEN CASE f WHEN 0 THEN x0 ELSE x1 END < cut THEN {2 * s + 1} ELSE {2 * s + 2} END AS node FROM T{s}, B{s})""")
+    return ",\n".join(steps)
+
+
+@register("best_first_tree", f"""WITH {_tree_ctes()},
+L AS (SELECT node, count(*) AS n, sum(r) / sum(h) AS value FROM T{TREE_LEAVES - 1} WHERE NOT held GROUP BY node),
+S AS ({" UNION ALL ".join(f"SELECT {s} AS step, * FROM B{s} WHERE gain > 0" for s in range(TREE_LEAVES - 1))})
+SELECT 'split' AS kind, node, f AS feature, round(cut, 6) AS threshold, round(gain, 6) AS gain, CAST(NULL AS BIGINT) AS n, CAST(NULL AS DOUBLE) AS value FROM S
+UNION ALL SELECT 'leaf', node, NULL, NULL, NULL, n, round(value, 6) FROM L""")
+def best_first_tree(spark, sf):
+    """Nodes of the first tree (hour, k; ten leaves): every split with its gain, every
+    leaf with its rows and value."""
+    ev = click_events(spark, sf)
+    m = boosted_trees_fit(ev.where(unit_draw(F.col("event_id"), F.lit(1)) < 0.8), ["hour", "k"], "label", 1, TREE_LEAVES)
+    rows = [("leaf", i, None, None, None, n.n, float(n.value)) if n.left is None else
+            ("split", i, n.feature, float(n.threshold), float(n.gain), None, None) for i, n in enumerate(m.rounds[0][0].nodes)]
+    return finish(spark.createDataFrame(rows, "kind string, node int, feature int, threshold double, gain double, n long, value double"))
+
+
+def _one_tree_regression_sql() -> str:
+    """Newton steps for one tree's leaves: w by leaf and the intercept b (an arrow system)."""
+    steps = [f"""N AS (SELECT node, count(*) AS n, sum(label) AS s FROM T{TREE_LEAVES - 1} WHERE NOT held GROUP BY node),
+K0 AS MATERIALIZED (SELECT node, n, s, CAST(0.0 AS DOUBLE) AS w, CAST(0.0 AS DOUBLE) AS b FROM N)"""]
+    for t in range(TREE_NEWTON):
+        steps.append(f"""J{t} AS (SELECT *, n * p - s + w AS g, n * p * (1 - p) AS a FROM (SELECT *, 1 / (1 + exp(-(w + b))) AS p FROM K{t})),
+D{t} AS (SELECT -(sum(n * p - s) - sum(a * g / (a + 1))) / (sum(a) - sum(a * a / (a + 1))) AS db FROM J{t}),
+K{t + 1} AS MATERIALIZED (SELECT node, n, s, w - (g + a * db) / (a + 1) AS w, b + db AS b FROM J{t}, D{t})""")
+    return ",\n".join(steps)
+
+
+@register("gbdt_lr_check", f"""WITH {_tree_ctes()},
+{_one_tree_regression_sql()}
+SELECT event_id, label, round(1 / (1 + exp(-(w + b))), 6) AS prob FROM T{TREE_LEAVES - 1} JOIN K{TREE_NEWTON} USING (node) WHERE held""")
 def gbdt_lr_check(spark, sf):
-    """The held-out events; ``agrees``: the pipeline's probability equals the
-    one computed from the leaves' slots and the weights by a plain expression."""
+    """P16, P17, T11 with one tree (hour, k; ten leaves): probabilities of the held-out events."""
     ev = click_events(spark, sf)
     held = unit_draw(F.col("event_id"), F.lit(1)) >= 0.8
-    m = gbdt_lr_fit(ev.where(~held), ["value", "hour", "k"], "label", n_estimators=5, max_leaf_nodes=10)
-    out = m.transform(ev.where(held))
-    return out.select("event_id", "label", (F.abs(F.col("prob") - m.slot_probability()) < 1e-9).alias("agrees"))
+    m = gbdt_lr_fit(ev.where(~held), ["hour", "k"], "label", n_estimators=1, max_leaf_nodes=TREE_LEAVES)
+    return finish(m.transform(ev.where(held)).select("event_id", "label", "prob"))

@@ -7,12 +7,11 @@ import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.bias import BiasModel
 from ..operators.factor import FactorModel
+from ..operators.fm import FmModel
 from ..operators.fm_ctr import GbdtLrModel
 
 
@@ -50,7 +49,7 @@ def load_tables(spark: SparkSession, path: str) -> tuple[dict[str, DataFrame], d
 
 
 def save_model(model, path: str) -> None:
-    """BiasModel, FactorModel (also FM), TableModel or GbdtLrModel -> parquet directory."""
+    """BiasModel, FactorModel, FmModel, TableModel or GbdtLrModel -> parquet directory."""
     if isinstance(model, BiasModel):
         spark = model.item_bias.sparkSession
         params = {"_kind": "bias", "mu": model.mu, "params": model.params}
@@ -64,16 +63,17 @@ def save_model(model, path: str) -> None:
             tables = {**tables, "bias_item": model.bias.item_bias, "bias_user": model.bias.user_bias}
             params["bias_mu"] = model.bias.mu
             params["bias_params"] = model.bias.params
+    elif isinstance(model, FmModel):
+        spark = model.weights.sparkSession
+        params = {"_kind": "fm", "k": model.k, "columns": list(model.slots), "params": model.params}
+        tables = model.tables()
     elif isinstance(model, TableModel):
         spark = next(iter(model.tables_.values())).sparkSession
         params = {"_kind": "tables", "params": model.params}
         tables = model.tables()
     elif isinstance(model, GbdtLrModel):
         spark = SparkSession.getActiveSession()
-        base = path.rstrip("/")
-        model.feature_model.write().overwrite().save(f"{base}/features")
-        model.lr_model.write().overwrite().save(f"{base}/regression")
-        params = {"_kind": "gbdt_lr", "n_trees": model.n_trees, "feature_cols": model.feature_cols}
+        params = {"_kind": "gbdt_lr", "model": model.to_dict()}
         tables = {}
     else:
         raise TypeError(f"cannot save {type(model).__name__}")
@@ -86,9 +86,9 @@ def load_model(spark: SparkSession, path: str):
     if params["_kind"] == "bias":
         return BiasModel(params["mu"], tables["item_bias"], tables["user_bias"], params["params"])
     if params["_kind"] == "gbdt_lr":
-        base = path.rstrip("/")
-        return GbdtLrModel(PipelineModel.load(f"{base}/features"), LogisticRegressionModel.load(f"{base}/regression"),
-                           params["n_trees"], params["feature_cols"])
+        return GbdtLrModel.from_dict(params["model"])
+    if params["_kind"] == "fm":
+        return FmModel({c: tables[f"slots_{c}"] for c in params["columns"]}, tables["weights"], params["k"], params["params"])
     if params["_kind"] == "tables":
         return TableModel(tables, params["params"])
     bias = None
