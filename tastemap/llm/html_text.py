@@ -1,7 +1,9 @@
 """Main text of web pages by consensus paths of their hosts.
 
 A page is read as a tree of containers.  Every container is named by its generalised path:
-the tags and classes from the root, digits replaced.  First pass: each page scores its
+the tags and classes from the root, digits replaced, known by a 64-bit hash of the parent's
+path and its own name, so that a page takes time and memory in proportion to its length
+however deep it nests.  First pass: each page scores its
 containers by the text they hold directly (link text counts against them, part of the
 score passes to the parents) and votes for the path of the best, and names the other paths
 that hold text on it.  Spark adds both up per host: a path wins if it is the best on at
@@ -17,11 +19,13 @@ import re
 from collections import defaultdict
 from html import unescape
 
+import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_value
+from .common import broadcast_value, written
 from .urls import split_url
 
 BROADCAST_HOSTS = 100_000      # at most so many paths of hosts are broadcast (under 30 MB)
@@ -57,9 +61,9 @@ _DIGITS = re.compile(r"\d+")
 
 
 class Container:
-    __slots__ = ("tag", "path", "parent", "dropped", "named", "blocks", "linked", "order", "had")
+    __slots__ = ("tag", "path", "parent", "dropped", "named", "blocks", "linked", "had")
 
-    def __init__(self, tag: str, path: str, parent, dropped: bool, named: float = 0.0):
+    def __init__(self, tag: str, path: int, parent, dropped: bool, named: float = 0.0):
         """``dropped``: for good; ``named``: dropped by its name, unless it holds more than
         this share of the page's text (0: not by its name)."""
         self.tag, self.path, self.parent, self.dropped, self.named = tag, path, parent, dropped, named
@@ -78,6 +82,12 @@ def _name(tag: str, attributes: dict) -> str:
     return ".".join([tag, *classes])
 
 
+def path_of(parent: int, name: str) -> int:
+    """The path below ``parent`` (0: the root) of a container called ``name``: 64 bits, signed."""
+    h = xxhash.xxh64_intdigest(name, parent & (2 ** 64 - 1))
+    return h - (1 << 64) if h >> 63 else h
+
+
 def _is_dropped(tag: str, attributes: dict) -> bool:
     if tag in DROPPED or "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
@@ -120,8 +130,9 @@ def _drop_by_name(containers: list[Container]) -> None:
 def read_containers(html: str) -> list[Container]:
     """The containers of a page in order, each with its own text blocks (page order number,
     text); text under menus, headers, footers, forms, scripts and the like is left out."""
-    root = Container("", "", None, False)
-    found, stack, inline = [root], [root], 0
+    root = Container("", 0, None, False)
+    found, stack = [root], [root]
+    open_tags: dict[str, int] = defaultdict(int)
     parts: list[str] = []
     block_no = 0
     linked = 0
@@ -157,7 +168,7 @@ def read_containers(html: str) -> list[Container]:
                 if tag == quiet[-1]:
                     quiet.pop()
                     continue
-                if tag in INLINE or tag in TEXT_BLOCKS or not any(c.tag == tag for c in stack):
+                if tag in INLINE or tag in TEXT_BLOCKS or not open_tags[tag]:
                     continue
                 quiet.clear()
             if tag == "a":
@@ -167,10 +178,10 @@ def read_containers(html: str) -> list[Container]:
             flush()
             if tag in TEXT_BLOCKS:
                 continue
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
+            if open_tags[tag]:
+                while (last := stack.pop().tag) != tag:
+                    open_tags[last] -= 1
+                open_tags[tag] -= 1
             continue
         if tag in RAW_TEXT:
             end = re.compile(rf"</{tag}(?=[\s/>]|$)", re.I).search(html, at)
@@ -206,10 +217,11 @@ def read_containers(html: str) -> list[Container]:
                 quiet.append(tag)
             continue
         top = stack[-1]
-        node = Container(tag, f"{top.path}>{_name(tag, attributes)}" if top.path else _name(tag, attributes), top,
+        node = Container(tag, path_of(top.path, _name(tag, attributes)), top,
                          top.dropped or _is_dropped(tag, attributes), _dropped_name(tag, attributes))
         if not rest.endswith("/") or tag not in ("svg", "math"):
             stack.append(node)
+            open_tags[tag] += 1
         found.append(node)
     if at < len(html) and not quiet:
         parts.append(html[at:])
@@ -218,48 +230,63 @@ def read_containers(html: str) -> list[Container]:
     return found
 
 
-def container_scores(containers: list[Container]) -> dict[str, float]:
+def container_scores(containers: list[Container]) -> dict[int, float]:
     """Score of each path: text held directly, less link text; half of it passes on to the
     parent, a quarter to its parent and so on."""
-    scores: dict[str, float] = defaultdict(float)
-    for c in containers:
-        size = sum(len(t) for _, t in c.blocks) - 2 * c.linked
-        weight = 1.0
-        while c is not None and size > 0:
-            scores[c.path] += size * weight * TAG_WEIGHT.get(c.tag, 1.0)
-            weight /= 2
-            c = c.parent
+    own = {id(c): float(max(0, sum(len(t) for _, t in c.blocks) - 2 * c.linked)) for c in containers}
+    scores: dict[int, float] = defaultdict(float)
+    for c in reversed(containers):                                # children come after their parents
+        size = own[id(c)]
+        if size > 0:
+            scores[c.path] += size * TAG_WEIGHT.get(c.tag, 1.0)
+            if c.parent is not None:
+                own[id(c.parent)] += size / 2
     return scores
 
 
-def best_path(containers: list[Container]) -> str | None:
-    """The path with the highest score; its parent instead, as long as the parent (below
-    body) holds text blocks of its own, ``CLIMB`` of the path's text or more: sections
-    of an article that also has paragraphs outside them."""
+def _up(containers: list[Container], values: dict[int, float], join) -> dict[int, float]:
+    """By path, ``join`` of the values at the path and at all paths below it."""
+    parents = {c.path: None if c.parent is None else c.parent.path for c in containers}
+    out = {p: values.get(p, 0) for p in parents}
+    for p, up in reversed(parents.items()):                       # a path's first container comes after its parent's
+        if up is not None:
+            out[up] = join(out[up], out[p])
+    return out
+
+
+def best_path(containers: list[Container]) -> int | None:
+    """The path with the highest score (ties: the first of the page); its parent instead, as
+    long as the parent (below body) holds text blocks of its own, ``CLIMB`` of the path's
+    text or more: sections of an article that also has paragraphs outside them."""
     scores = container_scores(containers)
     if not scores:
         return None
-    best = min(scores, key=lambda p: (-scores[p], p))
-    direct: dict[str, int] = defaultdict(int)
+    place = {c.path: n for n, c in reversed(list(enumerate(containers)))}
+    best = min(scores, key=lambda p: (-scores[p], place[p]))
+    direct: dict[int, int] = defaultdict(int)
     for c in containers:
         direct[c.path] += max(0, sum(len(t) for _, t in c.blocks) - 2 * c.linked)
+    below = _up(containers, direct, lambda a, b: a + b)
     parents = {c.path: c.parent for c in containers}
     while (up := parents[best]) is not None and up.tag not in ("", "html", "body"):
-        below = sum(n for p, n in direct.items() if p == best or p.startswith(best + ">"))
-        if not direct[up.path] or direct[up.path] < CLIMB * below:
+        if not direct[up.path] or direct[up.path] < CLIMB * below[best]:
             break
         best = up.path
     return best
 
 
-def text_under(containers: list[Container], path: str) -> str:
+def text_under(containers: list[Container], path: int) -> str:
     """Blocks of the containers at or below ``path``, in page order."""
-    below = path + ">"
-    blocks = [b for c in containers if c.path == path or c.path.startswith(below) or not path for b in c.blocks]
+    inside: set[int] = set()
+    blocks: list[tuple[int, str]] = []
+    for c in containers:
+        if c.path == path or (c.parent is not None and id(c.parent) in inside):
+            inside.add(id(c))
+            blocks += c.blocks
     return "\n".join(t for _, t in sorted(blocks))
 
 
-def held_paths(containers: list[Container]) -> set[str]:
+def held_paths(containers: list[Container]) -> set[int]:
     """The paths that hold text of their own or below them, dropped by name or not: a box
     that is most of a few short pages does not win on its host."""
     held = set()
@@ -282,12 +309,13 @@ def main_text(html: str | None, known) -> str:
     own = best_path(containers)
     held = held_paths(containers)
     known = {} if known is None else {k["path"]: k["wins"] for k in known if k["path"] in held}
-    paths = [p for p, wins in known.items() if wins and text_under(containers, p)]
+    kept = _up(containers, {c.path: 1 for c in containers if c.blocks}, max)
+    paths = [p for p, wins in known.items() if wins and kept[p]]
     if own is not None and own not in known:
         paths.append(own)
     if len(paths) > 1:
-        scores = container_scores(containers)
-        inside = [max((s for q, s in scores.items() if q == p or q.startswith(p + ">")), default=0.0) for p in paths]
+        highest = _up(containers, container_scores(containers), max)
+        inside = [highest[p] for p in paths]
         taken = 0
         for i in range(1, len(paths)):
             if inside[i] > MUCH * inside[taken]:
@@ -303,12 +331,12 @@ def main_text(html: str | None, known) -> str:
 def host_paths(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """(host, path, votes, wins): the paths that are the best of some page and hold text on
     two or more pages of the host, and whether they win there."""
-    @F.pandas_udf("array<string>")
+    @F.pandas_udf("array<long>")
     def vote(htmls: pd.Series) -> pd.Series:
         def of(html):
             containers = read_containers(html) if html else []
             best = best_path(containers)
-            return None if best is None else [best, *sorted(held_paths(containers) - {best})]
+            return None if best is None else np.array([best, *sorted(held_paths(containers) - {best})], dtype=np.int64)
         return pd.Series([of(h) for h in htmls], dtype=object)
     votes = (pages.select("host", vote(F.col(html_col)).alias("paths")).filter("paths is not null")
              .select("host", F.posexplode("paths").alias("place", "path"))
@@ -318,7 +346,7 @@ def host_paths(pages: DataFrame, html_col: str = "html") -> DataFrame:
 
 
 def _listed():
-    """Paths of a group as an array, most votes first (ties: by name)."""
+    """Paths of a group as an array, most votes first (ties: by hash)."""
     return F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("rank"), "path", "wins")))
 
 
@@ -326,10 +354,11 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
                       html_col: str = "html") -> DataFrame:
     """(id, url, text) per row.  Null or empty html gives an empty text; pages without a
     host (null url) vote together under the empty host; repeated rows give the same text
-    each; extra columns play no part."""
+    each; extra columns play no part; pages of any length and depth are read whole, in time in
+    proportion.  The table of paths is written, so the pages are read twice and no more."""
     base = split_url(pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"),
                                   F.col(html_col).alias("html")), "url").drop("path")
-    paths = host_paths(base).persist()
+    paths = written(host_paths(base), "host-paths")
     if paths.count() <= BROADCAST_HOSTS:
         table = {r["host"]: [{"path": k["path"], "wins": k["wins"]} for k in r["known"]]
                  for r in paths.groupBy("host").agg(_listed().alias("known")).collect()}
@@ -342,9 +371,9 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     else:
         # too many to send around: every different page asks for the paths it has, with
         # each path of a host spread over SALT keys
-        @F.pandas_udf("array<string>")
+        @F.pandas_udf("array<long>")
         def held(htmls: pd.Series) -> pd.Series:
-            return pd.Series([sorted(held_paths(read_containers(h))) for h in htmls], dtype=object)
+            return pd.Series([np.array(sorted(held_paths(read_containers(h))), dtype=np.int64) for h in htmls], dtype=object)
 
         @F.pandas_udf("string")
         def extract_by(known: pd.Series, htmls: pd.Series) -> pd.Series:
@@ -355,5 +384,4 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
                  .distinct().withColumn("salt", F.pmod(F.xxhash64("page"), F.lit(SALT)).cast("int")))
         known = asked.join(salted, ["host", "path", "salt"]).groupBy("host", "page").agg(_listed().alias("known"))
         out = keyed.join(known, ["host", "page"], "left").select("id", "url", extract_by("known", "html").alias("text"))
-    paths.unpersist()
     return out

@@ -38,6 +38,28 @@ def test_deep_and_long_pages():
     assert html_text.main_text(f"<article>{body}</article>", ()).count("\n") == 19_999
 
 
+def test_time_and_memory_follow_the_length_of_a_page():
+    import time
+    import tracemalloc
+    spent, peaks = [], []
+    for depth in (10_000, 100_000):
+        page = "".join(f'<div class="level k{i}">' for i in range(depth)) + "deep" + "</div></section>" * depth
+        tracemalloc.start()
+        began = time.process_time()
+        assert html_text.main_text(page, ()) == "deep"
+        spent.append(time.process_time() - began)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 15 * peaks[0] and peaks[1] < 500e6 and spent[1] < 40 * spent[0]
+
+
+def test_deep_pages_in_a_table(spark):
+    deep = "<div class=a>" * 20_000 + "<p>deep text</p>"
+    rows = [(i, "http://d.com/x", deep if i % 2 else "<div class=a><p>flat text</p></div>") for i in range(4)]
+    got = {r["id"]: r["text"] for r in html_text.extract_main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {i: "deep text" if i % 2 else "flat text" for i in range(4)}
+
+
 def site(path_class, texts, noise):
     body = "".join(f"<p>{t}</p>" for t in texts)
     return f'<html><body><div class="{path_class}">{body}</div><div class="extra">{noise}</div></body></html>'
