@@ -171,7 +171,12 @@ _MODELS: dict = {}
 
 def quality_scores(docs: DataFrame, model: DataFrame, text_col: str = "text", chars_col: str = "n_chars",
                    out: str = "score", bits: int = BITS) -> DataFrame:
-    """``docs`` with the probability of good quality of each text (null: as empty)."""
+    """``docs`` with the probability of good quality of each text (null: as empty).
+
+    Every row is scored for itself: repeated rows and equal scores need no rule, an empty
+    table gives no rows, texts of any length are read whole, a null or NaN count of characters
+    is a value of its own, and extra columns ride along (one already called ``out`` is
+    replaced)."""
     fitted = model.first()                         # fixed size: 2**bits * (1 + factors) floats
     raw = bytes(fitted["model"]) if fitted else FactorisationMachine(bits).to_bytes()
     shared = broadcast_value(docs, raw)
@@ -196,6 +201,8 @@ def quality_scores(docs: DataFrame, model: DataFrame, text_col: str = "text", ch
 
 def quality_fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """Model learnt from at most ``rows`` labelled documents outside the held-out fold.
-    Without labelled documents the model is the untrained one (scores near 0.5)."""
+    Without labelled documents the model is the untrained one (scores near 0.5).  Of several
+    labels of one id the largest counts, of repeated documents one; null ids and labels teach
+    nothing; extra columns are not looked at."""
     sample = labelled_sample(docs.select("doc_id", "text", "n_chars"), labels, "quality", rows, SEED)
     return fm_fit(sample)

@@ -23,6 +23,7 @@ SAMPLE_ROWS = 12_000
 EPOCHS = 4
 SEED = 11
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 6.0, 0.02
+UNKNOWN = 0.0                     # score of every text under a model without weights
 THRESHOLD = 0.5
 
 
@@ -96,8 +97,15 @@ def _dense(key, at, w, bits: int) -> np.ndarray:
 def toxicity_scores(docs: DataFrame, weights: DataFrame, text_col: str = "text", out: str = "score",
                     bits: int = BITS) -> DataFrame:
     """``docs`` with the toxicity probability of each text (null and empty texts: that of
-    the intercept).  ``weights``, or the Arrow table of it, has at most 2**bits + 1 rows."""
+    the intercept).  ``weights``, or the Arrow table of it, has at most 2**bits + 1 rows.
+
+    A model without any weight knows nothing against a text: its scores are ``UNKNOWN``.
+    Every row is scored for itself: repeated rows and equal scores need no rule, an empty
+    table gives no rows, texts of any length are read whole, and extra columns ride along
+    (one already called ``out`` is replaced)."""
     model = weights.toArrow() if isinstance(weights, DataFrame) else weights
+    if not model.num_rows:
+        return docs.withColumn(out, F.lit(UNKNOWN))
     at = model["feature"].to_numpy().copy()
     w = model["weight"].to_numpy().copy()
     shared = broadcast_value(docs, (at, w))
@@ -118,14 +126,17 @@ def toxicity_scores(docs: DataFrame, weights: DataFrame, text_col: str = "text",
 
 def toxicity_fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """Weights learnt from at most ``rows`` labelled documents outside the held-out fold.
-    Without labelled documents there are no weights and every score is 0.5."""
+    Without labelled documents there are no weights.  Of several labels of one id the largest
+    counts, of repeated documents one; null ids, texts and labels teach nothing; extra columns
+    are not looked at."""
     sample = labelled_sample(docs.select("doc_id", "text"), labels, "toxic", rows, SEED)
     return ftrl_fit(sample)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the rows that score ``threshold`` or more; columns as before.
-    Without weights (no usable label) nothing speaks against a document: all are kept."""
+    """``docs`` without the rows that score ``threshold`` or more; columns as before, whatever
+    their names.  Without weights (no usable label) nothing speaks against a document: all are
+    kept.  Copies of a row go or stay together; an empty table stays empty."""
     from .common import packed, unpacked
     weights = toxicity_fit(docs, labels).toArrow()
     if not weights.num_rows:

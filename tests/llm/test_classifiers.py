@@ -85,7 +85,7 @@ def test_toxicity_edges(spark, doc_frame, data):
     assert all(0 <= r["p"] <= 1 for r in scores) and len(scores) == 5
     assert by[(1, True)] == by[(None, False)] < 0.5 <= by[(2, False)]
     out = toxicity.drop_toxic(odd, spark.createDataFrame([], LABELS), threshold=0.51)
-    assert out.columns == odd.columns and out.count() == 5             # no labels: 0.5 for all
+    assert out.columns == odd.columns and out.count() == 5             # no labels: nothing goes
     assert toxicity.toxicity_scores(doc_frame([]), weights).count() == 0
 
 
@@ -173,3 +173,80 @@ def test_quality_on_held_out_and_edges(spark, doc_frame, data):
     assert quality.quality_scores(doc_frame([]), model).count() == 0
     untrained = quality.quality_fit(frame, spark.createDataFrame([], LABELS))
     assert all(abs(r["score"] - 0.5) < 0.2 for r in quality.quality_scores(frame, untrained).collect())
+
+
+def test_without_labels_the_registered_query_predicts_0_below_one_half(doc_frame, spark, tmp_path):
+    from tastemap.llm import registry
+    doc_frame([(1, "some text"), (2, None), (None, "")]).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], LABELS).write.parquet(f"{tmp_path}/labels.parquet")
+    got = registry.QUERIES["op3_toxicity"](spark, str(tmp_path)).collect()
+    assert len(got) == 3 and all(r["score"] < 0.5 and r["predicted"] == 0 for r in got)
+
+
+def plain_grams(words, bits):
+    """Buckets of words, pairs and skip-grams, one by one in whole numbers."""
+    import xxhash
+    mask = (1 << 64) - 1
+    m1, m2, m3 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
+    h = [xxhash.xxh64_intdigest(w.encode(), 0) for w in words]
+    out = {(x * m1 & mask) >> (64 - bits) for x in h}
+    for a, b in zip(h, h[1:]):
+        x = (a * m1 + b * m2) & mask
+        out.add(((x ^ (x >> 29)) * m3 & mask) >> (64 - bits))
+    for gap in (2, 3):
+        for a, b in zip(h, h[gap:]):
+            x = (a * m2 + b * m3 + gap) & mask
+            out.add(((x ^ (x >> 31)) * m1 & mask) >> (64 - bits))
+    return out
+
+
+def test_toxicity_scores_against_plain_sums(spark, doc_frame, data):
+    import re
+    docs, labels = data
+    frame = doc_frame(docs[:200] + [(5000, "A a a, b!  nastyone"), (5001, "")])
+    weights = toxicity.toxicity_fit(doc_frame(docs), spark.createDataFrame(labels, LABELS)).toArrow()
+    w = dict(zip(weights["feature"].to_pylist(), weights["weight"].to_pylist()))
+    for r in toxicity.toxicity_scores(frame, weights).collect():
+        grams = plain_grams(re.findall(r"\w+", (r["text"] or "").lower()), toxicity.BITS)
+        z = sum(w.get(g, 0.0) for g in grams) + w.get(1 << toxicity.BITS, 0.0)
+        assert abs(r["score"] - 1 / (1 + np.exp(-z))) < 1e-9
+
+
+def test_quality_scores_against_all_pairs(spark, doc_frame, data):
+    docs, labels = data
+    model = quality.quality_fit(doc_frame(docs), spark.createDataFrame(labels, LABELS))
+    fm = quality.FactorisationMachine.from_bytes(bytes(model.first()["model"]))
+    frame = doc_frame(docs[:25] + [(5000, ""), (5001, None)])
+    for r in quality.quality_scores(frame, model).collect():
+        at, x = quality.fm_features(r["text"], r["n_chars"], quality.BITS)
+        z = fm.b + sum(float(fm.w[a]) * float(v) for a, v in zip(at, x))
+        z += sum(float(fm.v[at[i]].astype(float) @ fm.v[at[j]].astype(float)) * float(x[i]) * float(x[j])
+                 for i in range(len(at)) for j in range(i))
+        assert abs(r["score"] - 1 / (1 + np.exp(-z))) < 1e-4
+
+
+def test_quality_step_against_plain_adagrad():
+    rng = np.random.default_rng(2)
+    fm = quality.FactorisationMachine(5, 2)
+    at, row = np.concatenate([rng.permutation(32)[:5] for _ in range(6)]), np.repeat(np.arange(6), 5)
+    x, y = rng.random(30).astype(np.float32), rng.integers(0, 2, 6).astype(float)
+    b, w, v = fm.b, fm.w.astype(float), fm.v.astype(float)
+    gw, gv, gb = np.full(32, 1e-6), np.full((32, 2), 1e-6), 1e-6
+    dw, dv, db = np.zeros(32), np.zeros((32, 2)), 0.0
+    for r in range(6):
+        a, z = at[row == r], x[row == r].astype(float)
+        s = v[a] * z[:, None]
+        raw = b + w[a] @ z + sum(s[i] @ s[j] for i in range(5) for j in range(i))
+        g = (1 / (1 + np.exp(-raw)) - y[r]) / 6
+        db += g
+        for i in range(5):
+            dw[a[i]] += g * z[i]
+            dv[a[i]] += g * z[i] * (s.sum(axis=0) - s[i])
+    used = np.unique(at)
+    dw[used] += quality.L2 * w[used]
+    dv[used] += quality.L2 * v[used]
+    fm.learn(at, x, row, y)
+    gw, gv, gb = gw + dw * dw, gv + dv * dv, gb + db * db
+    assert np.allclose(fm.w, w - quality.RATE * dw / np.sqrt(gw), atol=1e-4)
+    assert np.allclose(fm.v, v - quality.RATE * dv / np.sqrt(gv), atol=1e-4)
+    assert abs(fm.b - (b - quality.RATE * db / np.sqrt(gb))) < 1e-6
