@@ -8,9 +8,11 @@ whatever the corpus size:
 2. the configuration linear program (fewest sequences that cover every class) is solved
    by multiplicative weights: each round prices the classes by how little they are
    covered so far, and a knapsack dynamic program finds the best configuration;
-3. rounding: configurations are filled with actual lengths, largest first, the gap is
-   closed best-fit with the largest lengths that fit, and a pattern is repeated until a
-   length runs out; what no configuration took is packed the same way.
+3. rounding: a share of the solution is rounded down; its configurations are filled with
+   actual lengths, largest first, the gap is closed best-fit with the largest lengths that
+   fit, and a pattern without room left is repeated until a length runs out.  What is left,
+   pieces of every size, is packed best-fit decreasing.  Of the shares in ``SHARES`` the one with the fewest
+   sequences counts.
 
 The result is a table of patterns (which lengths, how often, how many sequences).  The
 pieces get their places on the executors: a piece is numbered among the pieces of its
@@ -35,6 +37,7 @@ END_ID = 1
 CLASSES = 64
 ROUNDS = 2000
 GRID = 512                        # capacity units of the knapsack
+SHARES = (1.0, 0.9, 0.5, 0.25, 0.1)   # of the linear program's solution that is rounded
 STEP = 40.0                       # weight step: exp(-STEP * covered share)
 BUCKET_ROWS = 1000                # pieces of one length numbered by one window group
 
@@ -169,6 +172,37 @@ def _fill(stock: _Stock, wanted: list[int], capacity: int) -> dict[int, int]:
     return pattern
 
 
+def best_fit_decreasing(left: list[int], capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Patterns for ``left[n]`` pieces of each length n, longest first, each into the fullest
+    sequence that has room.  Sequences that look alike are handled together."""
+    alike: list[list] = [[] for _ in range(capacity + 1)]        # by room: [pattern, sequences]
+    room = np.zeros(capacity + 1, dtype=bool)
+    for n in range(capacity, 0, -1):
+        todo = left[n]
+        while todo:
+            g = n + int(np.argmax(room[n:])) if room[n:].any() else capacity
+            if not room[g]:
+                alike[g].append(((), -(-todo // (g // n))))
+                room[g] = True
+            pattern, times = alike[g].pop()
+            room[g] = bool(alike[g])
+            each = g // n
+            full = min(times, todo // each)
+            taken = [(full, each)] if full else []
+            todo -= full * each
+            if todo and times > full:                            # the last one takes what is left
+                taken.append((1, todo))
+                todo = 0
+            for k, c in taken:
+                alike[g - c * n].append(((*pattern, (n, c)), k))
+                room[g - c * n] = True
+                times -= k
+            if times and pattern:
+                alike[g].append((pattern, times))
+                room[g] = True
+    return [(dict(p), k) for row in alike for p, k in row if p]
+
+
 def packing_patterns(histogram: dict[int, int], capacity: int = CAPACITY, classes: int = CLASSES,
                      rounds: int = ROUNDS, grid: int = GRID) -> list[tuple[dict[int, int], int]]:
     """[({length: pieces per sequence}, number of sequences)] that use the histogram up."""
@@ -186,24 +220,33 @@ def packing_patterns(histogram: dict[int, int], capacity: int = CAPACITY, classe
     configs = configuration_lp(size, demand, min(grid, capacity), rounds, float((counts * lengths).sum()) / capacity)
     # configurations of large classes first: small pieces are kept to close gaps
     configs.sort(key=lambda c: (-max(upper[c[0] > 0], default=0), -c[1]))
+    bound = -(-sum(n * c for n, c in histogram.items()) // capacity)
+    best = None
+    for share in SHARES:
+        found = _rounded(histogram, configs, upper, share, capacity)
+        if best is None or sum(k for _, k in found) < sum(k for _, k in best):
+            best = found
+        if sum(k for _, k in best) == bound:             # no packing has fewer
+            break
+    return best
+
+
+def _rounded(histogram: dict[int, int], configs, upper: np.ndarray, share: float, capacity: int):
+    """``share`` of the configurations with actual lengths, the rest best-fit decreasing."""
     stock, patterns = _Stock(histogram, capacity), []
-
-    def emit(wanted: list[int], most: int) -> int:
-        pattern = _fill(stock, wanted, capacity)
-        times = min(most, min(stock.left[n] // c for n, c in pattern.items()))
-        for n, c in pattern.items():
-            stock.left[n] -= c * times
-        patterns.append((pattern, times))
-        return times
-
     for config, x in configs:
         wanted = np.repeat(upper, config)[::-1].tolist()
-        todo = math.floor(x)
+        todo = math.floor(share * x)
         while todo > 0 and wanted and stock.largest(capacity):
-            todo -= emit(wanted, todo)
-    while top := stock.largest(capacity):
-        emit([top], max(stock.left))
-    return patterns
+            pattern = _fill(stock, wanted, capacity)
+            if sum(n * c for n, c in pattern.items()) < capacity:
+                break                                    # room lost here is lost for good; the rest may do without
+            times = min(todo, min(stock.left[n] // c for n, c in pattern.items()))
+            for n, c in pattern.items():
+                stock.left[n] -= c * times
+            patterns.append((pattern, times))
+            todo -= times
+    return patterns + best_fit_decreasing(stock.left, capacity)
 
 
 def pattern_intervals(patterns) -> dict[str, np.ndarray]:

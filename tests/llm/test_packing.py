@@ -121,3 +121,50 @@ def test_repeated_rows_nulls_and_empty(doc_frame):
     assert packing.pack_documents(doc_frame([])).count() == 0
     extra = packing.pack_documents(doc_frame([(1, "a b", "s", 3)], ", length int"))
     assert extra.first()["length"] == 3
+
+
+def _uses(patterns, capacity):
+    used = {}
+    for pattern, times in patterns:
+        assert times > 0 and 0 < sum(n * c for n, c in pattern.items()) <= capacity
+        for n, c in pattern.items():
+            used[n] = used.get(n, 0) + c * times
+    return used
+
+
+def test_best_fit_decreasing_is_the_plain_one():
+    """Sequences that look alike together give what one piece at a time gives."""
+    rnd = random.Random(4)
+    for _ in range(60):
+        capacity = rnd.choice([10, 37, 100])
+        pieces = sorted((rnd.randint(1, capacity) for _ in range(rnd.randint(1, 120))), reverse=True)
+        rooms = []
+        for n in pieces:
+            fits = [r for r in rooms if r >= n]
+            if fits:
+                rooms.remove(min(fits))
+                rooms.append(min(fits) - n)
+            else:
+                rooms.append(capacity - n)
+        left = [pieces.count(n) for n in range(capacity + 1)]
+        got = packing.best_fit_decreasing(left, capacity)
+        assert _uses(got, capacity) == {n: c for n, c in enumerate(left) if c}
+        assert sorted(capacity - sum(n * c for n, c in p.items()) for p, k in got for _ in range(k)) == sorted(rooms)
+
+
+@pytest.mark.parametrize("kind", ["flat", "lognormal", "bulky"])
+def test_plans_are_near_the_lower_bound(kind):
+    rng = np.random.default_rng(7)
+    if kind == "flat":
+        histogram = {n: 20 for n in range(1, 4097)}
+    else:
+        lengths = rng.lognormal(6.5, 1.2, 60_000) if kind == "lognormal" else rng.integers(1400, 4097, 20_000)
+        histogram = dict(zip(*np.unique(np.clip(lengths.astype(int), 1, 4096), return_counts=True)))
+        histogram = {int(n): int(c) for n, c in histogram.items()}
+    plan = packing.packing_patterns(histogram, rounds=600)
+    assert _uses(plan, 4096) == histogram
+    used = sum(k for _, k in plan)
+    greedy = sum(k for _, k in packing.best_fit_decreasing([histogram.get(n, 0) for n in range(4097)], 4096))
+    bound = -(-sum(n * c for n, c in histogram.items()) // 4096)
+    assert used <= max(greedy, bound) * 1.002
+    assert kind == "bulky" or used <= bound * 1.002
