@@ -12,12 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import block_of, dot, portable_init, sigmoid
-from ..session import cut_lineage, ship_package
+from ..session import Rewritten, cut_lineage
 from .bias import BiasModel, bias_fit, bias_residuals
-from .blocks import block_product, build_blocks
-from .linalg import apply_matrix, cholesky_qr_apply, global_array_sum, solve_normal
+from .blocks import block_product, build_blocks, unpacked
+from .linalg import gram_of, inverse_factor
 from .prep import dense_index
-from .serve import top_k_per_group
 
 
 @dataclass
@@ -68,8 +67,8 @@ def explicit_als(ratings: DataFrame, k: int = 20, reg: float = 0.001, n_iters: i
     cells (reg not scaled by the count), alternating users and items from item factors
     N(0, init_scale²).  P10 (``use_bias``): fitted on the bias residuals, the bias added
     back once.  The ratings stay in key blocks; a half-step ships every factor row once
-    to each block that needs it, sums the normal equations there and solves them in
-    batches (``blocks.block_product``).  The lineage is cut once per iteration."""
+    to each block that needs it, sums the normal equations and solves them
+    there (``blocks.block_product``).  An iteration is one job and one write."""
     bias = None
     data = ratings.select("user", "item", "rating")
     if use_bias:
@@ -78,23 +77,37 @@ def explicit_als(ratings: DataFrame, k: int = 20, reg: float = 0.001, n_iters: i
     data = cut_lineage(data)
     by_user = build_blocks(data, "user", "item", "rating")
     by_item = build_blocks(data, "item", "user", "rating")
-    q = data.select("item").distinct().select("item", portable_init(F.col("item"), k, seed, init_scale).alias("f"))
-    p = None
+    q = data.select("item").distinct().select("item", portable_init(F.col("item"), k, seed, init_scale).alias("s"))
+    solve = normal_solver(k, reg)
+    users, items = Rewritten(data.sparkSession, "als-users"), Rewritten(data.sparkSession, "als-items")
     for it in range(n_iters):
-        p = solve_normal(block_product(by_user, q, "item", "f", "normal"), "user", k, reg)
+        p = block_product(by_user, q, "item", "s", "normal", finish=solve, binary=True)
         if it == n_iters - 1:
-            p = cut_lineage(p)            # returned as well as used
-        q = cut_lineage(solve_normal(block_product(by_item, p, "user", "f", "normal"), "item", k, reg))
+            p = users.keep(p)             # returned as well as used
+        q = items.keep(block_product(by_item, p, "user", "s", "normal", finish=solve, binary=True))
     by_user.release()
     by_item.release()
-    return FactorModel(p.select("user", F.col("f").alias("p")), q.select("item", F.col("f").alias("q")),
+    return FactorModel(unpacked(p, "user", "s", "p"), unpacked(q, "item", "s", "q"),
                        k, 0.0, bias, params=dict(k=k, reg=reg, n_iters=n_iters, seed=seed))
 
 
+def normal_solver(k: int, reg: float):
+    """Rows [Σ f fᵀ, Σ r f] -> (Σ f fᵀ + reg·I)⁻¹ Σ r f, a batch of k x k systems at a time."""
+    def solve(sums: np.ndarray) -> np.ndarray:
+        out = np.empty((len(sums), k))
+        for at in range(0, len(sums), 4096):
+            s = sums[at:at + 4096]
+            a = s[:, :k * k].reshape(-1, k, k) + reg * np.eye(k)
+            out[at:at + 4096] = np.linalg.solve(a, s[:, k * k:, None])[..., 0]
+        return out
+    return solve
+
+
 def als_half_step(ratings: DataFrame, item_factors: DataFrame, k: int, reg: float) -> DataFrame:
     """One user half-step against given item factors (item, f): (user, f)."""
     by_user = build_blocks(ratings.select("user", "item", "rating"), "user", "item", "rating")
-    return solve_normal(block_product(by_user, item_factors, "item", "f", "normal"), "user", k, reg)
+    out = block_product(by_user, item_factors, "item", "f", "normal", finish=normal_solver(k, reg))
+    return out.withColumnRenamed("s", "f")
 
 
 def normal_equation_residuals(model: FactorModel, ratings: DataFrame, reg: float) -> DataFrame:
@@ -130,116 +143,70 @@ def als_wr(ratings: DataFrame, k: int = 10, reg: float = 0.1, n_iters: int = 10,
 # ================================================================== truncated SVD
 
 def truncated_svd(ratings: DataFrame, k: int = 10, n_iter: int = 4, oversample: int = 10,
-                  seed: int = 0, use_bias: bool = True, bias_model: BiasModel | None = None) -> FactorModel:
+                  seed: int = 0, use_bias: bool = True, bias_model: BiasModel | None = None,
+                  tol: float = 1e-12) -> FactorModel:
     """SVD of the (bias-residual) rating matrix with missing cells = 0 by
     randomised subspace iteration (Halko, Martinsson, Tropp 2011) from a normal test
-    matrix.  The bases stay distributed: products run on the blocked matrix, columns are
-    orthonormalised by Cholesky-QR (twice at the end), and only l x l Gramians reach the
-    driver.  Scores are row·V·Vᵀ = (UΣ)_u · V_i (+ bias)."""
+    matrix.  The bases stay distributed.  A product is one job and one write: its tasks add
+    their share of the Gram matrix, whose triangular factor is handed to the next product as
+    a constant, so no basis is orthonormalised in a pass of its own (but for a second time at
+    the end).  Only l x l matrices reach the driver.  The iteration ends after ``n_iter``
+    rounds, or when the k leading Ritz values stand still (relative change below ``tol``).
+    Scores are row·V·Vᵀ = (UΣ)_u · V_i (+ bias)."""
     bias = None
     a = ratings.select("user", "item", F.col("rating").alias("a"))
     if use_bias:
         bias = bias_model or bias_fit(ratings)
         a = bias_residuals(bias, ratings, "a")
     a = cut_lineage(a)
+    spark = a.sparkSession
     sizes = a.agg(F.countDistinct("user").alias("u"), F.countDistinct("item").alias("i")).first()
     l = min(k + oversample, sizes["u"], sizes["i"])
     k = min(k, l)
     by_user = build_blocks(a, "user", "item", "a")
     by_item = build_blocks(a, "item", "user", "a")
+    tables = {"user": Rewritten(spark, "svd-users"), "item": Rewritten(spark, "svd-items")}
 
-    def times(matrix, vecs: DataFrame, on: str) -> DataFrame:
-        return cut_lineage(block_product(matrix, vecs, on, "v").withColumnRenamed("s", "v"))
-
-    def ortho(df: DataFrame, key: str) -> DataFrame:
-        return cholesky_qr_apply(df, key, "v", l)
+    def times(matrix, vecs: DataFrame, on: str, col: str, r: np.ndarray | None) -> tuple[DataFrame, np.ndarray]:
+        """(rows of the product, their Gram matrix)."""
+        out = tables[matrix.key].keep(block_product(matrix, vecs, on, col, apply=r, binary=True, gram=True))
+        parts = out.where(F.col(matrix.key).isNull()).select("s").collect()           # l x l, one a task
+        g = sum((np.frombuffer(p["s"], np.float64).reshape(l, l) for p in parts), np.zeros((l, l)))
+        return out.where(F.col(matrix.key).isNotNull()), (g + g.T) / 2
 
     omega = a.select("item").distinct().select("item", portable_init(F.col("item"), l, seed).alias("v"))
-    y = times(by_user, omega, "item")
+    y, g = times(by_user, omega, "item", "v", None)
+    before = None
     for _ in range(n_iter):
-        z = times(by_item, ortho(y, "user"), "user")
-        y = times(by_user, ortho(z, "item"), "item")
-    qu = cut_lineage(ortho(cut_lineage(ortho(y, "user")), "user"))
-    z = times(by_item, qu, "user")                                      # rows of Bᵀ = Aᵀ Q
+        z, gz = times(by_item, y, "user", "s", inverse_factor(g))                      # Gram of AᵀQ: Ritz values
+        y, g = times(by_user, z, "item", "s", inverse_factor(gz))
+        ritz = np.linalg.eigvalsh(gz)[::-1][:k]
+        if before is not None and np.abs(ritz - before).max() <= tol * max(ritz[0], 1e-300):
+            break
+        before = ritz
+    once = inverse_factor(g)
+    r = once @ inverse_factor(gram_of(y, "s", once, l))                                # Q = Y r, orthonormal to rounding
+    z, g = times(by_item, y, "user", "s", r)                                           # rows of Bᵀ = Aᵀ Q
     by_user.release()
     by_item.release()
-    g = global_array_sum(z, F.flatten(F.transform(F.col("v"), lambda x: F.transform(F.col("v"), lambda y: x * y))))
-    g = g.reshape(l, l)
-    lam, w = np.linalg.eigh((g + g.T) / 2)
+    lam, w = np.linalg.eigh(g)
     order = np.argsort(lam)[::-1][:k]
     lam, w = np.clip(lam[order], 0, None), w[:, order]
     sig = np.sqrt(lam)
     inv = np.where(sig > 1e-12, 1.0 / np.where(sig > 1e-12, sig, 1.0), 0.0)
-    user_f = apply_matrix(qu, "v", w * sig[None, :], "p").select("user", "p")      # U Σ
-    item_f = apply_matrix(z, "v", w * inv[None, :], "q").select("item", "q")       # V
+    user_f = unpacked(y, "user", "s", "p", r @ (w * sig[None, :]))                     # U Σ
+    item_f = unpacked(z, "item", "s", "q", w * inv[None, :])                           # V
     return FactorModel(user_f, item_f, k, 0.0, bias,
                        params=dict(k=k, n_iter=n_iter, oversample=oversample, seed=seed,
                                    singular_values=sig.tolist()))
 
 
-# ================================================================== top-N for factor models
+# ================================================================== the full grid
 
-USERS_PER_CHUNK = 256
 USERS_PER_BLOCK = 50_000
 ITEMS_PER_BLOCK = 20_000
 
 
-def _topk_block(n: int, link: str, mu: float):
-    """Users (user, p, bu, n_u) against items (item, q, bi): per user the n + n_u best
-    items of the block and all that tie with the last of them."""
-    def run(users: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
-        if len(users) == 0 or len(items) == 0:
-            return pd.DataFrame({"user": [], "item": [], "score": []})
-        items = items.sort_values("item", kind="stable")
-        qmat = np.stack(items["q"].to_numpy())
-        bi, iid = items["bi"].to_numpy(dtype=np.float64), items["item"].to_numpy()
-        out = []
-        for s in range(0, len(users), USERS_PER_CHUNK):
-            ch = users.iloc[s:s + USERS_PER_CHUNK]
-            sc = (np.stack(ch["p"].to_numpy()) @ qmat.T + bi[None, :]
-                  + ch["bu"].to_numpy(dtype=np.float64)[:, None] + mu)
-            keep = np.minimum(n + ch["n_u"].to_numpy(dtype=np.int64), len(iid))
-            most = int(keep.max())
-            best = -np.sort(np.partition(-sc, most - 1, axis=1)[:, :most], axis=1)
-            row, col = np.nonzero(sc >= best[np.arange(len(ch)), keep - 1][:, None])
-            out.append(pd.DataFrame({"user": ch["user"].to_numpy()[row], "item": iid[col], "score": sc[row, col]}))
-        res = pd.concat(out, ignore_index=True)
-        if link == "sigmoid":
-            res["score"] = 1.0 / (1.0 + np.exp(-res["score"]))
-        return res
-    return run
-
-
-def factor_top_n(model: FactorModel, ratings: DataFrame, n: int, exclude_rated: bool = True) -> DataFrame:
-    """Top-n unrated items per user for a dot-product model without emitting the
-    users x items grid: users in U blocks meet items in B blocks (item rows are
-    replicated U times, user rows B times), each task scores its pair of blocks in numpy
-    and emits at most n + n_u rows per user (n_u = the user's rated count, so the rated
-    items can be removed after)."""
-    spark = ratings.sparkSession
-    ship_package(spark)
-    uf = model.user_factors
-    itf = model.item_factors
-    if model.bias is not None:
-        uf = uf.join(model.bias.user_bias, "user", "left")
-        itf = itf.join(model.bias.item_bias, "item", "left")
-    if "bu" not in uf.columns:
-        uf = uf.withColumn("bu", F.lit(0.0))
-    if "bi" not in itf.columns:
-        itf = itf.withColumn("bi", F.lit(0.0))
-    mu = model.mu + (model.bias.mu if model.bias is not None else 0.0)
-    rated = ratings.select("user", "item").distinct()
-    n_u = rated.groupBy("user").agg(F.count(F.lit(1)).alias("n_u"))
-    uf = uf.join(n_u, "user", "left").fillna(0, ["n_u"]) if exclude_rated else uf.withColumn("n_u", F.lit(0))
-    cand = grid_blocks(uf.select("user", "p", F.coalesce("bu", F.lit(0.0)).alias("bu"), "n_u"),
-                       itf.select("item", "q", F.coalesce("bi", F.lit(0.0)).alias("bi")),
-                       _topk_block(n, model.link, mu), "user long, item long, score double")
-    if exclude_rated:
-        cand = cand.join(rated, ["user", "item"], "left_anti")
-    return top_k_per_group(cand, ["user"], [F.col("score").desc(), F.col("item").asc()], n).select(
-        "user", "rank", "item", "score")
-
-
 def grid_blocks(users: DataFrame, items: DataFrame, block, schema: str) -> DataFrame:
     """``block(users, items)`` for every pair of a user block and an item block."""
     par = users.sparkSession.sparkContext.defaultParallelism

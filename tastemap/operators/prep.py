@@ -275,22 +275,29 @@ def sampling_tables(pos: DataFrame, items: DataFrame | None = None) -> SamplingT
 
 def negative_samples(ratings: DataFrame, items: DataFrame | None = None, seed: int = 1,
                      draws_per_positive: int = 5, ratio: float = 1.0, limit: int = GROUP_ROWS,
-                     tables: SamplingTables | None = None) -> DataFrame:
+                     tables: SamplingTables | None = None, seeds: dict[int, int] | None = None) -> DataFrame:
     """Per user, 5·n uniform item draws (md5 of user:draw:seed modulo the item
     count), known items skipped, first occurrence kept, at most ratio·n negatives.
-    Returns positives (label 1) and negatives (label 0)."""
+    Returns positives (label 1) and negatives (label 0).  ``seeds`` (epoch -> seed) draws the
+    samples of several epochs in one pass, told apart by a column ``epoch``."""
     pos = ratings.select("user", "item").distinct()
     t = tables or sampling_tables(pos, items)
-    draws = explode_range(t.per_user.select("user", "n"), ["user"], F.lit(1), F.col("n") * draws_per_positive, "d")
-    draws = draws.withColumn("item_pos", F.pmod(md5_draw(F.col("user"), F.col("d"), F.lit(seed)), F.lit(t.n_items)))
-    cand = draws.join(t.index, "item_pos").join(pos, ["user", "item"], "left_anti")
-    first = cand.groupBy("user", "item").agg(F.min("d").alias("d"), F.first("n").alias("n"))
+    every = seeds or {0: seed}
+    own = F.create_map(*[F.lit(int(x)) for e in every.items() for x in e])
+    epochs = F.explode(F.array(*[F.lit(int(e)) for e in every]))
+    users = t.per_user.select("user", "n", epochs.alias("epoch"))
+    draws = explode_range(users, ["user", "epoch"], F.lit(1), F.col("n") * draws_per_positive, "d")
+    draw = md5_draw(F.col("user"), F.col("d"), F.element_at(own, F.col("epoch")))
+    cand = (draws.withColumn("item_pos", F.pmod(draw, F.lit(t.n_items))).join(t.index, "item_pos")
+            .join(pos, ["user", "item"], "left_anti"))
+    first = cand.groupBy("epoch", "user", "item").agg(F.min("d").alias("d"), F.first("n").alias("n"))
     first = first.withColumn("d", F.col("d").cast("long"))
-    sel = smallest_k_per_group(first, ["user"], "d", lambda _n: F.floor(F.col("n") * F.lit(ratio)),
-                               ["item"], ["user", "item"], 48, limit, "_keep",
+    sel = smallest_k_per_group(first, ["epoch", "user"], "d", lambda _n: F.floor(F.col("n") * F.lit(ratio)),
+                               ["item"], ["epoch", "user", "item"], 48, limit, "_keep",
                                max_group_rows=draws_per_positive * t.most)          # group size <= 5 n_u
-    neg = sel.where(F.col("_keep")).select("user", "item", F.lit(0).alias("label"))
-    return pos.select("user", "item", F.lit(1).alias("label")).unionByName(neg)
+    neg = sel.where(F.col("_keep")).select("epoch", "user", "item", F.lit(0).alias("label"))
+    out = pos.select(epochs.alias("epoch"), "user", "item", F.lit(1).alias("label")).unionByName(neg)
+    return out if seeds else out.drop("epoch")
 
 
 # ---------------------------------------------------------------- generated ranges

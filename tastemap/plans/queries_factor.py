@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.expr import portable_init, unit_draw
-from ..operators.factor import (als_half_step, als_wr, explicit_als, factor_predict, factor_top_n,
+from ..operators.factor import (als_half_step, als_wr, explicit_als, factor_predict,
                                 normal_equation_residuals, truncated_svd)
 from ..operators.fm import INTERCEPT, FmModel, category_slots, fm_fit, fm_predict, offset_slots, one_hot_slots
 from ..operators.fm_ctr import gbdt_lr_fit
+from ..operators.topn import factor_top_n
 from ..operators.trees import boosted_trees_fit
 from ..operators.bias import bias_fit
 from ..operators.metrics import fit_error, rmse_mae

@@ -107,3 +107,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     out = df.checkpoint(eager=True)
     df.unpersist(blocking=False)
     return out
+
+
+class Rewritten:
+    """A table that every step of an iteration writes anew: ``keep(df)`` writes ``df`` to the
+    scratch folder in one job, gives the table read back, and deletes the one before, which
+    nothing needs any more.  Tables handed out last stay."""
+
+    def __init__(self, spark, name: str):
+        self.spark, self.name, self.path = spark, name, None
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        path = scratch_path(self.spark, self.name)
+        df.write.parquet(path)
+        old, self.path = self.path, path
+        if old:
+            delete_path(self.spark, old)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
+def delete_path(spark, path: str) -> None:
+    """Remove a written table, on whatever file system it is."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -9,8 +9,10 @@ from conftest import rows
 from tastemap.operators import blocks as BL
 from tastemap.operators import factor as FA
 from tastemap.operators import sgd
-from tastemap.operators.factor import FactorModel, explicit_als, factor_predict, factor_top_n, truncated_svd
+from tastemap.operators import topn as TN
+from tastemap.operators.factor import FactorModel, explicit_als, factor_predict, truncated_svd
 from tastemap.operators.sgd import funk_svd, lfm_loss
+from tastemap.operators.topn import factor_top_n, group_states
 
 
 def _data(seed=0, users=20, items=15, n=150):
@@ -151,9 +153,9 @@ def _toy_model(spark, k=2, link="identity"):
     return FactorModel(uf, itf, k, 0.5, None, link)
 
 
-@pytest.mark.parametrize("per_block", [20_000, 5])
+@pytest.mark.parametrize("per_block", [20_000, 5, 1])
 def test_factor_top_n_matches_brute_force(spark, monkeypatch, per_block):
-    monkeypatch.setattr(FA, "ITEMS_PER_BLOCK", per_block)
+    monkeypatch.setattr(TN, "ITEMS_PER_BLOCK", per_block)
     m = _toy_model(spark)
     ratings = spark.createDataFrame([(1, 3, 1.0), (1, 5, 1.0), (2, 1, 1.0)], "user long, item long, rating double")
     recs = factor_top_n(m, ratings, 4).toPandas()
@@ -210,3 +212,71 @@ def test_registered_fits_see_all_their_ratings_at_the_published_setting(spark, m
         fits.clear()
         fn(spark, sf)
         assert fits == [(rows, {})], name
+
+
+def test_pieces_of_a_hot_cell_give_the_same_model(spark, monkeypatch):
+    """A user with a third of all ratings: no piece above the limit, same factors as whole cells."""
+    from pyspark.sql import functions as F
+    pdf = _data(6, 30, 200, 300)
+    hot = pd.DataFrame([(1, i, 1.0 + i % 5) for i in range(100, 250)], columns=["user", "item", "rating"])
+    pdf = pd.concat([pdf[pdf.user != 1], hot])
+    df = spark.createDataFrame(pdf)
+    fits = []
+    for limit in (10**9, 25):
+        monkeypatch.setattr(sgd, "CELL_RATINGS", limit)
+        fits.append(funk_svd(df, n_epochs=2, n_factors=2, learning_rate=0.05, blocks=2))
+    a, b = (sorted(rows(m.user_factors, "user", "p", "bu")) for m in fits)
+    assert [x[0] for x in a] == [x[0] for x in b] and np.allclose([x[1] for x in a], [x[1] for x in b], atol=1e-12)
+    strata = sgd.store_strata(df.select("user", "item", F.col("rating").alias("y")), 2, F.lit(0).cast("long"), 25)
+    sizes = [len(r["y"]) // 8 for r in strata.pieces.collect()]
+    assert max(sizes) <= 25 and sum(sizes) == len(pdf) and max(strata.counts.values()) > 1
+    monkeypatch.undo()
+    assert sgd.blocks_for(1000) == 4 and (10**12 / sgd.blocks_for(10**12) ** 2) <= sgd.CELL_RATINGS
+
+
+def test_samples_of_several_epochs_are_the_single_ones(spark):
+    from tastemap.operators.prep import negative_samples
+    df = spark.createDataFrame(_data(7, 12, 40, 90))
+    both = rows(negative_samples(df, seeds={0: 5, 3: 9}), "epoch", "user", "item", "label")
+    for e, seed in ((0, 5), (3, 9)):
+        assert [x[1:] for x in both if x[0] == e] == rows(negative_samples(df, seed=seed), "user", "item", "label")
+
+
+def test_svd_stops_and_splits_heavy_keys(spark, monkeypatch):
+    monkeypatch.setattr(BL.build_blocks, "__defaults__", (7,))                 # keys over several blocks
+    pdf = _data(8, 25, 18, 300)
+    df = spark.createDataFrame(pdf)
+    m = truncated_svd(df, k=3, n_iter=200, oversample=5, use_bias=False)
+    dense = pdf.pivot(index="user", columns="item", values="rating").fillna(0).to_numpy()
+    want = np.linalg.svd(dense, compute_uv=False)[:3]
+    assert np.allclose(m.params["singular_values"], want, rtol=1e-8)
+    u, s, vt = np.linalg.svd(dense)
+    got = factor_predict(m, df).toPandas()
+    best = (u[:, :3] * s[:3]) @ vt[:3]
+    us, its = sorted(pdf.user.unique()), sorted(pdf.item.unique())
+    assert np.allclose(got.score, [best[us.index(a), its.index(b)] for a, b in zip(got.user, got.item)], atol=1e-5)
+
+
+def test_top_n_skips_most_products_and_keeps_ties(spark, monkeypatch):
+    """Skewed item norms, users in few directions: far fewer products than the grid, exact."""
+    monkeypatch.setattr(TN, "ITEMS_PER_BLOCK", 20)
+    monkeypatch.setattr(TN, "USERS_PER_GROUP", 25)
+    rng = np.random.default_rng(11)
+    axes = np.eye(4)
+    users = [(u, (axes[u % 4] * (1 + u % 3) + rng.normal(0, 0.05, 4)).tolist()) for u in range(200)]
+    items = [(i, (axes[i % 4] * 5.0 / (1 + i // 4) ** 0.7 + rng.normal(0, 0.02, 4)).tolist()) for i in range(400)]
+    items += [(1000 + i, items[i][1]) for i in range(8)]                       # exact ties: the smaller id first
+    m = FactorModel(spark.createDataFrame(users, "user long, p array<double>"),
+                    spark.createDataFrame(items, "item long, q array<double>"), 4)
+    rated = [(u, i, 1.0) for u in range(0, 200, 3) for i in range(u % 7, 400, 9)] + [(5, i, 1.0) for i in range(400)]
+    ratings = spark.createDataFrame(rated, "user long, item long, rating double")
+    recs = factor_top_n(m, ratings, 5).toPandas()
+    known = {}
+    for u, i, _ in rated:
+        known.setdefault(u, set()).add(i)
+    q = np.array([v for _, v in items])
+    for u, p in users:
+        s = [(-float(x), i) for (i, _), x in zip(items, np.round(q @ np.array(p), 12)) if i not in known.get(u, ())]
+        assert recs[recs.user == u].sort_values("rank").item.tolist() == [i for _, i in sorted(s)[:5]], u
+    products = group_states(m, ratings, 5, True).agg({"products": "sum"}).first()[0]
+    assert products < 0.4 * len(users) * len(items)
