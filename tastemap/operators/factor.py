@@ -144,14 +144,15 @@ def als_wr(ratings: DataFrame, k: int = 10, reg: float = 0.1, n_iters: int = 10,
 
 def truncated_svd(ratings: DataFrame, k: int = 10, n_iter: int = 4, oversample: int = 10,
                   seed: int = 0, use_bias: bool = True, bias_model: BiasModel | None = None,
-                  tol: float = 1e-12) -> FactorModel:
+                  tol: float = 0.0) -> FactorModel:
     """SVD of the (bias-residual) rating matrix with missing cells = 0 by
     randomised subspace iteration (Halko, Martinsson, Tropp 2011) from a normal test
     matrix.  The bases stay distributed.  A product is one job and one write: its tasks add
     their share of the Gram matrix, whose triangular factor is handed to the next product as
     a constant, so no basis is orthonormalised in a pass of its own (but for a second time at
     the end).  Only l x l matrices reach the driver.  The iteration ends after ``n_iter``
-    rounds, or when the k leading Ritz values stand still (relative change below ``tol``).
+    rounds, or when the k leading Ritz values stand still (relative change up to ``tol``; the
+    vectors are then known to about its square root).
     Scores are row·V·Vᵀ = (UΣ)_u · V_i (+ bias)."""
     bias = None
     a = ratings.select("user", "item", F.col("rating").alias("a"))

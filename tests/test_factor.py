@@ -246,7 +246,7 @@ def test_svd_stops_and_splits_heavy_keys(spark, monkeypatch):
     monkeypatch.setattr(BL.build_blocks, "__defaults__", (7,))                 # keys over several blocks
     pdf = _data(8, 25, 18, 300)
     df = spark.createDataFrame(pdf)
-    m = truncated_svd(df, k=3, n_iter=200, oversample=5, use_bias=False)
+    m = truncated_svd(df, k=3, n_iter=200, oversample=5, use_bias=False, tol=1e-14)
     dense = pdf.pivot(index="user", columns="item", values="rating").fillna(0).to_numpy()
     want = np.linalg.svd(dense, compute_uv=False)[:3]
     assert np.allclose(m.params["singular_values"], want, rtol=1e-8)
