@@ -184,10 +184,9 @@ def test_block_product_heavy_group_path(spark, monkeypatch):
 
 
 def test_popular_items_are_not_joined_on_the_item_alone(spark, capsys):
+    import re
     df = spark.createDataFrame(_random_ratings(3))
-    user_knn_predict(df, df.select("user", "item"), KnnParams(denominator="abs")).explain()
-    plan = capsys.readouterr().out
-    joins = [line for line in plan.splitlines() if "Join" in line]
-    # on the item alone: only the one row per item that counts its raters
-    assert not [j for j in joins if "[t#" in j.split("Inner")[0] and "," not in j.split("]")[0] and "_all" not in j and "Broadcast" not in j
-                and "v#" in j]
+    for p in (KnnParams(inclusive=True), KnnParams(denominator="abs")):
+        user_knn_predict(df, df.select("user", "item"), p).explain()
+        joins = re.findall(r"Join \[([^\]]*)\]", capsys.readouterr().out)
+        assert joins and not [j for j in joins if re.fullmatch(r"t#\d+L?", j)]
