@@ -75,7 +75,7 @@ def docs(doc_frame):
     return doc_frame([(*r, 1) for r in rows], ", leaf int")
 
 
-@pytest.mark.parametrize("depth", [1, 2, 7])
+@pytest.mark.parametrize("depth", [2, 7])
 def test_equals_brute_force_at_every_block_size(doc_frame, depth):
     assert len(check(docs(doc_frame), depth)) == 59
 
@@ -85,7 +85,7 @@ def test_matches_sql(doc_frame, duck):
     same_rows(duck, frame, "documents", merkle.manifest_sql(), merkle.document_manifest(frame))
 
 
-@pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 9, 10])
+@pytest.mark.parametrize("n", [0, 1, 4, 10])
 def test_small_tables(doc_frame, n):
     assert len(check(doc_frame([(i, f"t\n{i}", "s") for i in range(n)]), 2)) == n
 
