@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections import ChainMap
+from struct import pack
 from unicodedata import is_normalized
 
 import numpy as np
@@ -75,7 +75,8 @@ class WordEncoder:
         found = self.parts.get(text)
         if found is None:
             visible = text if text.isascii() else text.encode().decode("latin-1").translate(_VISIBLE)
-            found = np.array([t.id for t in self.tokenizer.model.tokenize(visible)], dtype="<u4").tobytes()
+            ids = [t.id for t in self.tokenizer.model.tokenize(visible)]
+            found = pack(f"<{len(ids)}I", *ids)
             if len(text) <= MEMO_CHARS:
                 self.parts[text] = found
         return found
@@ -83,10 +84,10 @@ class WordEncoder:
     def _plain(self, word: str) -> bytes | None:
         """Ids of a word of Latin letters with or without closing punctuation; else None."""
         letters = word.rstrip(CLOSING)
-        if letters and not (letters.isalpha() and max(letters) < LATIN_END
-                            and (letters.isascii() or is_normalized("NFC", letters))):
+        if letters and not (letters.isalpha() and (letters.isascii() or (max(letters) < LATIN_END
+                                                                         and is_normalized("NFC", letters)))):
             return None
-        lower = letters.lower()
+        lower = letters if letters.islower() else letters.lower()
         if not lower.isalpha() and lower:
             return None
         return (self._part(lower) if lower else b"") + (self._part(word[len(letters):]) if len(word) > len(letters) else b"")
@@ -127,15 +128,14 @@ class WordEncoder:
         if len(memo) > MEMO_WORDS:
             memo.clear()
         split = [_split(t) for t in texts]
-        fresh = set().union(*split).difference(memo)
-        known = memo
+        found = [list(map(memo.get, words)) for words in split]      # one look a word
+        fresh = {w for words, ids in zip(split, found) if None in ids for w, i in zip(words, ids) if i is None}
         if fresh:
             new = self._encode(list(fresh))
             memo.update((w, b) for w, b in new.items() if len(w) <= MEMO_CHARS)
-            long = {w: b for w, b in new.items() if len(w) > MEMO_CHARS}
-            if long:
-                known = ChainMap(long, memo)
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+            found = [[new[w] if i is None else i for w, i in zip(words, ids)] if None in ids else ids
+                     for words, ids in zip(split, found)]
+        return [b"".join(ids) for ids in found]
 
 
 def encoder(path: str) -> WordEncoder:

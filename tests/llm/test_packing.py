@@ -25,6 +25,29 @@ def test_word_by_word_ids_are_the_tokenizers():
         assert got == [direct_ids(t) for t in TEXTS]
 
 
+def test_a_word_is_looked_up_once_beside_long_ones():
+    class Counted(dict):
+        looks = 0
+
+        def get(self, word, default=None):
+            Counted.looks += 1
+            return super().get(word, default)
+
+        def __getitem__(self, word):
+            Counted.looks += 1
+            return super().__getitem__(word)
+
+    enc = tokens.WordEncoder(tokens.vocabulary_path())
+    enc.memo = Counted()
+    long = "z" * (tokens.MEMO_CHARS + 1)
+    texts = [f"the cat {long} sat on the mat", None, f"{long} the cat {long}", "the cat"]
+    for n in (1, 2):                                     # fresh, then remembered
+        got = [np.frombuffer(b, "<u4").tolist() for b in enc(texts)]
+        assert got == [direct_ids(t) for t in texts]
+        assert Counted.looks == n * sum(len((t or "").split()) for t in texts)
+    assert long not in enc.memo
+
+
 def test_odd_words_match_the_tokenizer():
     rng = random.Random(2)
     letters = "abzABZéÉßẞñÑüÜøØœŒæÆĳĲŉſİıǅΣσς́Ωждあ한0١²ª'’-.,!?;:<|>_\x01\u00ad\u0345"
