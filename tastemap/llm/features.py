@@ -7,7 +7,8 @@ import re
 import numpy as np
 
 _WORD = re.compile(r"\w+")
-MEMO_WORDS = 500_000
+MEMO_WORDS = 100_000
+SLICE_ROWS = 256                 # texts of an Arrow batch that are Python strings at a time
 
 # Fixed odd multipliers that mix word hashes into n-gram hashes.
 MIX_1 = np.uint64(0x9E3779B97F4A7C15)
@@ -31,6 +32,13 @@ class WordHashes(dict):
 _HASHES = WordHashes()
 
 
+def texts_of(column):
+    """The texts of an Arrow column, a slice at a time: a batch may hold 10,000 whole texts,
+    and workers keep what they once took."""
+    for at in range(0, len(column), SLICE_ROWS):
+        yield from column.slice(at, SLICE_ROWS).to_pylist()
+
+
 def words_of(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 

@@ -20,12 +20,13 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import packed, unpacked, written
 from .components import connected_components
+from .features import texts_of
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -62,9 +63,9 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def with_fingerprint(docs: DataFrame, text: str = "text", out: str = "fp", shingle: int = SHINGLE) -> DataFrame:
-    @F.pandas_udf("long")
-    def compute(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
+    @F.arrow_udf("long")
+    def compute(texts: pa.Array) -> pa.Array:
+        return pa.array([fingerprint(t, shingle) for t in texts_of(texts)], pa.int64())
     return docs.withColumn(out, compute(F.col(text)))
 
 

@@ -19,7 +19,7 @@ from unicodedata import is_normalized
 import numpy as np
 
 VOCABULARY = "word_bpe_49k.json"
-MEMO_WORDS = 1_000_000          # about 200 MB in a worker
+MEMO_WORDS = 500_000            # about 100 MB in a worker, the parts included
 MEMO_CHARS = 40                 # longer words are encoded each time
 CALL_WORDS = 2000               # new words encoded by one call
 MARK = "\x01"

@@ -11,11 +11,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import broadcast_value
-from .features import gram_features, sigmoid, words_of
+from .features import gram_features, sigmoid, texts_of, words_of
 from .samples import epochs_in_order, labelled_sample
 
 BITS = 20
@@ -67,7 +68,6 @@ def ftrl_fit(sample: DataFrame, text_col: str = "text", bits: int = BITS, epochs
     rows = epochs_in_order(sample.select("__id", "label", features(text_col).alias("features")), epochs)
 
     def learn(batches):
-        import pyarrow as pa
         model = Ftrl(bits)
         for batch in batches:
             labels = batch.column(0).to_numpy(zero_copy_only=False)
@@ -111,15 +111,15 @@ def toxicity_scores(docs: DataFrame, weights: DataFrame, text_col: str = "text",
     shared = broadcast_value(docs, (at, w))
     key = shared._jbroadcast.id() if shared._jbroadcast is not None else id(shared)
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
         table = _dense(key, *shared.value, bits)
         out = np.empty(len(texts))
-        for i, t in enumerate(texts):
+        for i, t in enumerate(texts_of(texts)):
             f = gram_features(words_of(t), bits)
             f = f[table[f] != 0.0]
             out[i] = table[np.unique(f)].sum() + table[-1]
-        return pd.Series(sigmoid(out))
+        return pa.array(sigmoid(out))
 
     return docs.withColumn(out, score(F.col(text_col)))
 

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -6,7 +7,7 @@ import pytest
 
 from tastemap.llm import quality, toxicity
 from tastemap.llm.common import held_out
-from tastemap.llm.features import gram_features, words_of
+from tastemap.llm.features import gram_features, texts_of, words_of
 from tastemap.llm.samples import labelled_sample
 
 VOCAB = [f"word{i}" for i in range(150)]
@@ -121,6 +122,28 @@ def test_ftrl_against_plain_loop():
     assert np.allclose(model.z, z) and np.allclose(model.n, n)
 
 
+def test_scores_take_a_slice_of_a_batch_at_a_time(doc_frame, monkeypatch):
+    import pyarrow as pa
+
+    n = 5000
+    column = pa.array([None if i % 7 == 0 else f"{i} " + "x" * 3000 for i in range(n)])
+    assert list(texts_of(column)) == column.to_pylist()
+    assert list(texts_of(column.slice(0, 0))) == []
+    tracemalloc.start()
+    assert sum(t is None for t in texts_of(column)) == len(range(0, n, 7))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < column.nbytes / 5
+
+    def whole(*args, **kwargs):
+        raise AssertionError("a whole batch of texts as Python strings")
+
+    monkeypatch.setattr(toxicity.F, "pandas_udf", whole)
+    weights = pa.table({"feature": pa.array([1 << toxicity.BITS], pa.int32()), "weight": [0.5]})
+    rows = toxicity.toxicity_scores(doc_frame([(1, "a b"), (2, None)]), weights).collect()
+    assert [round(r["score"], 9) for r in rows] == [round(1 / (1 + np.exp(-0.5)), 9)] * 2
+
+
 def test_gram_features_count():
     assert len(gram_features(words_of("one two three four"), 20)) == 4 + 3 + 2 + 1
     assert len(gram_features([], 20)) == 0
