@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def _valid(c: str):
     return F.col(c).isNotNull() & ~F.isnan(c)
@@ -14,9 +16,11 @@ def _valid(c: str):
 def rmse_mae(pred: DataFrame, score_col: str = "score", actual_col: str = "rating",
              ignore_na: bool = True) -> DataFrame:
     """M1, M2, M9: RMSE and MAE over the scored rows; ``ignore_na=False`` fills a
-    missing score with the mean score (a one-row aggregate, broadcast)."""
+    missing score with the mean score (a one-row aggregate, broadcast); the scores are
+    written once for it, not computed a second time."""
     p = F.col(score_col)
     if not ignore_na:
+        pred = cut_lineage(pred.select(score_col, actual_col))
         mean = pred.agg(F.avg(F.when(_valid(score_col), p)).alias("_m"))
         pred = pred.crossJoin(F.broadcast(mean)).withColumn(
             score_col, F.when(_valid(score_col), p).otherwise(F.col("_m")))
