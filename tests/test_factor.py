@@ -76,6 +76,21 @@ def test_als_matches_numpy(spark, monkeypatch, per_block):
     assert FA.normal_equation_residuals(m, df, 0.1).where("residual > 1e-9").count() == 0
 
 
+def test_blocks_fill_their_partitions_and_routes_are_pages(spark):
+    """One block a partition (by hash alone some tasks had several and others none), and routes
+    that are lists of ids, not a row for every id and block."""
+    from pyspark.sql import functions as F
+    df = spark.range(4000).selectExpr("id % 400 AS user", "id % 37 AS item", "CAST(id % 5 AS double) AS rating")
+    bm = BL.build_blocks(df, "user", "item", "rating", rows_per_block=200)
+    used = bm.cells.select(F.spark_partition_id().alias("p"), "blk").distinct().collect()
+    assert len(used) == len({r["p"] for r in used}) == bm.nblk == max(20, spark.sparkContext.defaultParallelism)
+    routes = bm.routes.collect()
+    assert len(routes) == len({(r["home"], r["blk"]) for r in routes}) <= bm.nblk ** 2
+    needed = {(r["blk"], i) for r in routes for i in np.frombuffer(r["ids"], np.int64).tolist()}
+    assert needed == {(r["blk"], r["other"]) for r in bm.cells.select("blk", "other").distinct().collect()}
+    bm.release()
+
+
 def test_blocks_split_heavy_key(spark):
     pdf = _data(1)
     df = spark.createDataFrame(pdf)
