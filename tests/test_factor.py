@@ -295,3 +295,17 @@ def test_top_n_skips_most_products_and_keeps_ties(spark, monkeypatch):
         assert recs[recs.user == u].sort_values("rank").item.tolist() == [i for _, i in sorted(s)[:5]], u
     products = group_states(m, ratings, 5, True).agg({"products": "sum"}).first()[0]
     assert products < 0.4 * len(users) * len(items)
+
+
+def test_top_n_chunks_take_users_of_like_floors(spark, monkeypatch):
+    """A small chunk wants fewer items than all users of a group at once."""
+    rng = np.random.default_rng(5)
+    monkeypatch.setattr(TN, "ITEMS_PER_BLOCK", 20)
+    users = spark.createDataFrame([(u, rng.normal(size=3).tolist()) for u in range(200)], "user long, p array<double>")
+    items = spark.createDataFrame([(i, (rng.normal(size=3) * (1 + i % 7)).tolist()) for i in range(300)], "item long, q array<double>")
+    none = spark.createDataFrame([], "user long, item long, rating double")
+    sums = []
+    for chunk in (10_000, 2):
+        monkeypatch.setattr(TN, "USERS_PER_CHUNK", chunk)
+        sums.append(group_states(FactorModel(users, items, 3), none, 5, True).agg({"products": "sum"}).first()[0])
+    assert sums[1] < sums[0]
