@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -290,3 +291,44 @@ def test_neighbours_on_either_way(spark, monkeypatch):
         for p in (KnnParams(max_nn=4, denominator="abs"), KnnParams(max_nn=4, inclusive=True)):
             scores = {(u, i): s for u, i, s in rows(user_knn_predict(df, pp, p), "user", "item", "score")}
             _check(scores, _knn_brute(m, su, pairs, p, us, its, "user"))
+
+
+# ------------------------------------------------------------------ passes, wanted pairs, shuffle files
+
+def _random_rows(spark, n=400):
+    rng = np.random.default_rng(3)
+    cells = {(int(g), int(m)) for g, m in zip(rng.integers(0, 40, n), rng.integers(0, 60, n))}
+    return spark.createDataFrame([(g, m, float(rng.normal())) for g, m in sorted(cells)], "g long, m long, x double")
+
+
+def test_product_in_passes_and_of_wanted_pairs_is_the_product(spark, monkeypatch):
+    from tastemap.operators import blockmm
+    x = _random_rows(spark)
+    whole = {(r["a"], r["b"]): r["xy"] for r in blockmm.self_product(x, "g", "m", "x", min_xy=0.0).collect()}
+    ask = [(a, b, n) for n, (a, b) in enumerate([(a, b) for a in range(62) for b in range(0, 62, 3)] * 2)]
+    ask = spark.createDataFrame([*ask, (None, 3, -1), (3, None, -1)], "a long, b long, tag long")
+    for pairs in (blockmm.PASS_PAIRS, 200):
+        monkeypatch.setattr(blockmm, "PASS_PAIRS", pairs)
+        assert {(r["a"], r["b"]): r["xy"] for r in blockmm.self_product(x, "g", "m", "x", min_xy=0.0).collect()} == pytest.approx(whole)
+        got = {(r["tag"], r["a"], r["b"]): r["xy"] for r in blockmm.self_product(x, "g", "m", "x", min_xy=0.0, wanted=ask).collect()}
+        assert got == pytest.approx({(r["tag"], r["a"], r["b"]): whole[r["a"], r["b"]] for r in ask.collect() if (r["a"], r["b"]) in whole})
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(n).getName() for n in range(files.size()) if files.apply(n).getName().startswith("shuffle_")}
+
+
+def test_written_steps_leave_no_shuffle_files(spark):
+    import time
+
+    from tastemap.session import Rewritten, cut_lineage
+    before = _shuffle_files(spark)
+    table = spark.range(20_000).groupBy((F.col("id") % 100).alias("k")).agg(F.sum("id").alias("s"))
+    kept, cut = Rewritten(spark, "test-steps").keep(table), cut_lineage(table)
+    for _ in range(50):
+        if not _shuffle_files(spark) - before:
+            break
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before
+    assert sorted(kept.collect()) == sorted(cut.collect()) and kept.count() == 100
