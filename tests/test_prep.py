@@ -140,3 +140,37 @@ def test_negative_draws_are_never_broadcast(spark, monkeypatch, capsys):
         assert joins and all(("BuildRight" in rest) if most else kind == "SortMergeJoin" for kind, rest in joins), joins
         assert want is None or got == want
         want = got
+
+
+def test_negative_draws_are_the_first_of_each_user(spark):
+    # by hand: draws 1..5n of md5(user:draw:seed); a null user has no known items, a null item is never known
+    import hashlib
+    cells = [(u, i) for u in (1, 2, None) for i in (10, 20, 30, None)] + [(5, 10), (6, 40)]
+    df = spark.createDataFrame([(*c, 1.0) for c in cells], "user long, item long, rating double")
+    index = sorted({i for _, i in cells}, key=lambda i: (i is not None, i or 0))
+    want = []
+    for u in {u for u, _ in cells}:
+        known = {i for v, i in cells if v == u and i is not None and u is not None}
+        n, got = sum(v == u for v, _ in cells), []
+        for d in range(1, 5 * n + 1):
+            text = ":".join(str(x) for x in (u, d, 3) if x is not None)
+            item = index[int(hashlib.md5(text.encode()).hexdigest()[:8], 16) % len(index)]
+            if item not in known and item not in got and len(got) < n:
+                got.append(item)
+        want += [(u, i) for i in got]
+    for limit in (T.GROUP_ROWS, 3):                            # 3: some users' draws are dealt over the tasks
+        neg = T.negative_samples(df, seed=3, limit=limit).where("label = 0")
+        assert sorted(((r["user"], r["item"]) for r in neg.collect()), key=str) == sorted(want, key=str)
+
+
+def test_negative_draws_end_when_there_are_enough(spark, capsys):
+    df = spark.createDataFrame([(1, i, 1.0) for i in range(50)], "user long, item long, rating double")
+    T.negative_samples(df).explain()
+    assert "sequence(" not in capsys.readouterr().out.lower()  # the 5 n draws of a user are no rows
+    known, made = set(range(900)), []
+
+    class Known(set):
+        def __contains__(self, at):
+            made.append(at)
+            return at in known
+    assert len(T._distinct_draws(b"1:", b":1", 5000, 3, 1000, Known())) == 3 and len(made) < 100
